@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: A word is a run of characters other than the space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE_RUN = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 #: Only where the cluster names no folder (tests, a laptop).
 LOCAL_SHARED = "file:///tmp/checkpoints/geoloom"

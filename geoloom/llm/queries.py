@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat
+from . import chat, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_chat": chat.op3_chat}
+    return {"op3_chat": chat.op3_chat, "op4_quality": quality.op4_quality}
 
 
 def oracle_sql() -> dict[str, str]:
