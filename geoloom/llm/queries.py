@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, quality
+from . import chat, langid, quality, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_chat": chat.op3_chat, "op4_quality": quality.op4_quality}
+    return {
+        "op1_simhash": simhash.op1_simhash,
+        "op3_chat": chat.op3_chat,
+        "op4_quality": quality.op4_quality,
+        "op6_langid": langid.op6_langid,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
