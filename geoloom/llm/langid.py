@@ -120,7 +120,8 @@ def _train(dim: int, seed: int):
             if sum(map(len, counts.values())) > 200_000:
                 flush()
         flush()
-        yield pd.DataFrame({"lang": list(sums), "v": list(sums.values())}, columns=["lang", "v"])
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "v": [v.tolist() for v in sums.values()]})
 
     return run
 
@@ -192,8 +193,8 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-#: Texts without letters, or of random letters, point in no language's direction.
-LEAST_SCORE = 0.05
+#: About the cosine of a random direction (1 over the root of the dimension): such texts are of no language known.
+LEAST_SCORE = 0.03
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
