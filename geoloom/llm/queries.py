@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, langid, quality, simhash
+from . import chat, langid, pii, quality, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash": simhash.op1_simhash,
         "op3_chat": chat.op3_chat,
         "op4_quality": quality.op4_quality,
+        "op5_pii": pii.op5_pii,
         "op6_langid": langid.op6_langid,
     }
 
