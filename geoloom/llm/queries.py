@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, langid, pii, quality, simhash
+from . import chat, decontaminate, langid, pii, quality, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,8 +16,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": quality.op4_quality,
         "op5_pii": pii.op5_pii,
         "op6_langid": langid.op6_langid,
+        "op8_warc": warc.op8_warc,
+        "op9_decontaminate": decontaminate.op9_decontaminate,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": chat.ORACLE_SQL}
+    return {"op3_chat": chat.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL}
