@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, langid, pii, quality, simhash, warc
+from . import chat, decontaminate, html, langid, pii, quality, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_langid": langid.op6_langid,
         "op8_warc": warc.op8_warc,
         "op9_decontaminate": decontaminate.op9_decontaminate,
+        "op10_html": html.op10_html,
     }
 
 
