@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, html, langid, pii, quality, simhash, warc
+from . import chat, decontaminate, html, langid, pieces, pii, quality, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": simhash.op1_simhash,
+        "op2_pieces": pieces.op2_pieces,
         "op3_chat": chat.op3_chat,
         "op4_quality": quality.op4_quality,
         "op5_pii": pii.op5_pii,

@@ -277,3 +277,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = near_duplicates(docs)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: one document of each component stays, that with the smallest id; of repeated rows of one id, one.
+
+    Rows without an id stay where their component has no row with one: one of them.
+    """
+    marked = docs.withColumn("_row", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in docs.columns]))
+    groups = near_duplicates(docs).select("doc_id", "fp", "component_id")
+    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    with_id = marked.join(keep, "doc_id", "left_semi").drop("_row")
+    return with_id.dropDuplicates(["doc_id"]).select(*docs.columns)
