@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from . import chat, decontaminate, html, langid, pieces, pii, quality, simhash, warc
 
 
@@ -20,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": warc.op8_warc,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_html": html.op10_html,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -64,15 +64,17 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", words: int = WORDS) -> DataFrame:
-    """Rows (doc_id, fp), fp the fingerprint as a signed 64-bit number."""
+    """``docs`` without the text, with ``fp``: the fingerprint as a signed 64-bit number."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fp = np.fromiter((fingerprint(x or "", words) for x in pdf[text]), np.uint64, len(pdf))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": fp.view(np.int64)})
+            out = pdf.drop(columns=[text]).assign(fp=fp.view(np.int64))
+            yield out.astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", text).mapInPandas(run, "doc_id long, fp long")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
+    return docs.mapInPandas(run, f"{kept}, fp long")
 
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -261,16 +263,16 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, block
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", words: int = WORDS, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """Rows (doc_id, fp, component_id), one for each row of ``docs``."""
+    """``docs`` without the text, with fp, component_id and root (a fingerprint that names the component), one row for each row."""
     prints = stored(fingerprints(docs, text, words), "fingerprints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct")
     edges = links(first.select("fp"), radius, blocks)
     joined = components(edges)  # only fingerprints that have a link
     linked = joined.join(first, joined["node"] == first["fp"]).select("fp", "root", "id")
     least = linked.groupBy("root").agg(F.min("id").alias("component"))
-    named = linked.join(least, "root").select("fp", "component")
+    named = linked.join(least, "root").select("fp", "root", "component")
     out = prints.join(first, "fp").join(named, "fp", "left")
-    return out.select("doc_id", "fp", F.coalesce("component", "id").alias("component_id"))
+    return out.select(*prints.columns, F.coalesce("component", "id").alias("component_id"), F.coalesce("root", "fp").alias("root"))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,12 +282,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each component stays, that with the smallest id; of repeated rows of one id, one.
+    """Pipeline stage: one document of each component stays, that with the smallest id.
 
-    Rows without an id stay where their component has no row with one: one of them.
+    Of rows that repeat id and text, one stays; where no row of a component has
+    an id, one of its rows does.
     """
-    marked = docs.withColumn("_row", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in docs.columns]))
-    groups = near_duplicates(docs).select("doc_id", "fp", "component_id")
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    with_id = marked.join(keep, "doc_id", "left_semi").drop("_row")
-    return with_id.dropDuplicates(["doc_id"]).select(*docs.columns)
+    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
+    groups = near_duplicates(keyed.select("doc_id", "text", "_id", "_hash"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_id", "_hash"))
+    keep = groups.groupBy("root").agg(first.alias("r")).select(F.col("r._id").alias("_id"), F.col("r._hash").alias("_hash")).distinct()
+    return keyed.join(keep, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
