@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import chat, decontaminate, html, langid, pieces, pii, quality, simhash, warc
+from . import chat, decontaminate, html, langid, pieces, pii, quality, simhash, suffixes, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": quality.op4_quality,
         "op5_pii": pii.op5_pii,
         "op6_langid": langid.op6_langid,
+        "op7_suffixes": suffixes.op7_suffixes,
         "op8_warc": warc.op8_warc,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_html": html.op10_html,
