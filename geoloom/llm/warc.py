@@ -34,7 +34,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, small_batches
+from .common import shared_dir, small_batches, stored
 
 ROLL_BYTES, LEAST_BYTES = 256 << 20, 0
 DATE = "2024-01-01T00:00:00Z"
@@ -107,7 +107,8 @@ def with_references(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFra
     html = F.coalesce("html", F.lit(""))
     p = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("_d"), F.octet_length(html).alias("_n"))
     again = p.where(F.col("_n") >= least_bytes).groupBy("_d").agg(F.max("page_id").alias("_last"), F.count(F.lit(1)).alias("_rows"))
-    again = again.where((F.col("_rows") > 1) & F.col("_last").isNotNull()).select("_d", "_last")
+    # written first: where few payloads repeat, its size on disk lets the join send it to the pages, which then aren't shuffled
+    again = stored(again.where((F.col("_rows") > 1) & F.col("_last").isNotNull()).select("_d", "_last"), "repeated-payloads")
     other = F.when(F.coalesce(F.col("page_id") < F.col("_last"), F.col("_last").isNotNull()), F.col("_last"))
     return p.join(again, "_d", "left").select("page_id", "url", "html", other.alias("refers_to"))
 
