@@ -1,0 +1,42 @@
+"""Exact coverage of a region by many circles, tile by tile."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.geometry import edges
+from ..operators.region import combined, uncovered
+
+
+def uncovered_by_tile(spark: SparkSession, region: np.ndarray, circles: DataFrame, tile: float) -> DataFrame:
+    """(ti, tj, missing_m2, pieces) of the region's tiles; ``circles``: (x, y, sr).
+
+    A circle goes to the tiles it meets, each tile is swept by itself, and the
+    areas add up, so a task holds the circles around one tile.
+    """
+    x0, y0, x1, y1 = region[:, [0, 2]].min(), region[:, [1, 3]].min(), region[:, [0, 2]].max(), region[:, [1, 3]].max()
+    span = [(math.floor(a / tile), math.ceil(b / tile) - 1) for a, b in ((x0, x1), (y0, y1))]
+    tiles = spark.createDataFrame([(i, j) for i in range(span[0][0], span[0][1] + 1) for j in range(span[1][0], span[1][1] + 1)], "ti int, tj int")
+
+    def steps(c: str, lo: int, hi: int):
+        a = F.greatest(F.lit(lo), F.floor((F.col(c) - F.col("sr")) / tile).cast("int"))
+        b = F.least(F.lit(hi), F.floor((F.col(c) + F.col("sr")) / tile).cast("int"))
+        return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
+
+    dealt = circles.withColumn("ti", F.explode(steps("x", *span[0]))).withColumn("tj", F.explode(steps("y", *span[1])))
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = key
+        square = np.array(edges([[[(i * tile, j * tile), ((i + 1) * tile, j * tile), ((i + 1) * tile, (j + 1) * tile), (i * tile, (j + 1) * tile)]]]), float)
+        own = combined([region, square], lambda f: f[0] & f[1])
+        if not len(own):
+            return pd.DataFrame({"ti": [], "tj": [], "missing_m2": [], "pieces": []})
+        area, pieces = uncovered(own, pdf[["x", "y", "sr"]].dropna().drop_duplicates().to_numpy())
+        return pd.DataFrame({"ti": [i], "tj": [j], "missing_m2": [round(area, 3)], "pieces": [len(pieces)]})
+
+    return tiles.join(dealt, ["ti", "tj"], "left").groupBy("ti", "tj").applyInPandas(run, "ti int, tj int, missing_m2 double, pieces int")

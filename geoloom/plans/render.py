@@ -14,7 +14,7 @@ from ..operators.aggregates import color_range
 from ..operators.validity import circle_valid, density_valid, point_valid
 
 #: Colours of circles.
-COLLECTED, NOT_COLLECTED = "#2e7d32", "#c62828"
+COLLECTED, NOT_COLLECTED = "#2ca02c", "#1f77b4"
 
 
 def status_color(collected: Column) -> Column:
