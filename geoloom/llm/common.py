@@ -40,6 +40,17 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` doesn't have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(column: str = "text"):
     """Whole text, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

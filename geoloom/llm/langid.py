@@ -197,8 +197,20 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 LEAST_SCORE = 0.03
 
 
+def of_a_language(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", least: float = LEAST_SCORE, dim: int = DIM, seed: int = SEED) -> DataFrame:
+    """``docs`` without the rows of no language, or far from all."""
+    small_batches(docs.sparkSession)
+    langs, prototypes = model
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vectors = Vectors(dim, seed)
+        for pdf in batches:
+            names, scores = predict(["" if x is None else x for x in pdf[text]], langs, prototypes, vectors)
+            yield pdf[[n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)]]
+
+    return docs.mapInPandas(run, docs.schema)
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: rows of no language, or far from all, go."""
-    model = fit(docs.where(~held_out(F.col("doc_id"))).select("text", "lang"))
-    rest = identified(docs, model)
-    return rest.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    """Pipeline stage: documents of no language go."""
+    return of_a_language(docs, fit(docs.where(~held_out(F.col("doc_id"))).select("text", "lang")))

@@ -283,8 +283,9 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def found(docs: DataFrame, weights: np.ndarray, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with counts, base_sha256 and spans."""
+    """``docs`` without the text, with counts, base_sha256 and spans in place of columns of those names."""
     small_batches(docs.sparkSession)
+    docs = docs.drop(*_OUT)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

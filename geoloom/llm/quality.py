@@ -44,9 +44,9 @@ def words(text: Column) -> Column:
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and the features, in fields of the column ``_q``."""
-    names = list(docs.columns)
-    a = docs.withColumn("_t", text_of(text))
+    """All columns of ``docs`` (the text without null) and the features, in fields of the column ``_q``."""
+    docs = docs.drop("_q")
+    a = docs.select(F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text]).alias("_row"), text_of(text).alias("_t"))
     # one pass leaves the few characters that are counted
     a = a.withColumns({"_w": words(F.col("_t")), "_lines": F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != ""), "_odd": F.regexp_replace("_t", r"[^\p{Lu}0-9!?#*$%&|<>]+", "")})
     a = a.withColumns({"_n": F.size("_w"), "_wh": F.transform("_w", lambda x: F.xxhash64(x)), "_chars": F.length(F.array_join("_w", ""))})
@@ -78,7 +78,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         counted("0-9").alias("n_digits"),
         counted("!?").alias("n_shouts"),
     )
-    return a.select(*names, q.alias("_q"))
+    return a.select("_row.*", F.col("_t").alias(text), q.alias("_q")).drop("_")
 
 
 @dataclass(frozen=True)

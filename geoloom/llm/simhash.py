@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored
+from .common import fresh, small_batches, stored
 from .components import components
 
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -262,8 +262,9 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, block
     return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_links(radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", words: int = WORDS, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """``docs`` without the text, with fp, component_id and root (a fingerprint that names the component), one row for each row."""
+def near_duplicates(docs: DataFrame, text: str = "text", words: int = WORDS, radius: int = RADIUS, blocks: int = BLOCKS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (doc_id, columns to keep, fp, component_id, root), one for each row; root is a fingerprint that names the component."""
+    docs = docs.select("doc_id", text, *keep)
     prints = stored(fingerprints(docs, text, words), "fingerprints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct")
     edges = links(first.select("fp"), radius, blocks)
@@ -287,8 +288,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of rows that repeat id and text, one stays; where no row of a component has
     an id, one of its rows does.
     """
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
-    groups = near_duplicates(keyed.select("doc_id", "text", "_id", "_hash"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_id", "_hash"))
-    keep = groups.groupBy("root").agg(first.alias("r")).select(F.col("r._id").alias("_id"), F.col("r._hash").alias("_hash")).distinct()
-    return keyed.join(keep, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    name, digest = fresh(docs, "_id", "_hash")
+    keyed = docs.withColumns({name: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest: F.xxhash64(F.coalesce("text", F.lit("")))})
+    groups = near_duplicates(keyed, keep=(name, digest))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", name, digest))
+    keep = groups.groupBy("root").agg(first.alias("r")).select(F.col("r")[name].alias(name), F.col("r")[digest].alias(digest)).distinct()
+    return keyed.join(keep, [name, digest], "left_semi").dropDuplicates([name, digest]).select(*docs.columns)
