@@ -106,6 +106,17 @@ def record_fingerprint(record: Column) -> Column:
     return F.xxhash64(shape)
 
 
+def _turn(role: str, text: str, names: Column | None):
+    """A list's element as a turn, its role by its usual name."""
+
+    def one(m: Column) -> Column:
+        r = F.coalesce(m[role], F.lit(""))
+        r = F.coalesce(F.try_element_at(names, F.lower(r)), r) if names is not None else r
+        return F.struct(r.alias("role"), F.coalesce(m[text], F.lit("")).alias("text"))
+
+    return one
+
+
 def record_turns(df: DataFrame, record: str = "record", layouts=LAYOUTS) -> DataFrame:
     """Adds ``layout`` and ``turns`` (array of role, text) to rows that hold a record as JSON text, all in the JVM."""
     out = df.withColumn("_fingerprint", record_fingerprint(F.col(record)))
@@ -119,12 +130,7 @@ def record_turns(df: DataFrame, record: str = "record", layouts=LAYOUTS) -> Data
             parsed = F.from_json(F.col(record), f"`{top}` ARRAY<STRUCT<`{role}`: STRING, `{text}`: STRING>>")[top]
             names = F.create_map(*[F.lit(y) for kv in x.roles.items() for y in kv]) if x.roles else None
 
-            def turn(m, role=role, text=text, names=names):
-                r = F.coalesce(m[role], F.lit(""))
-                r = F.coalesce(F.try_element_at(names, F.lower(r)), r) if names is not None else r
-                return F.struct(r.alias("role"), F.coalesce(m[text], F.lit("")).alias("text"))
-
-            made = F.transform(parsed, turn)
+            made = F.transform(parsed, _turn(role, text, names))
         else:
             parsed = F.from_json(F.col(record), ", ".join(f"`{f}` STRING" for _, f in x.pairs))
             every = F.array(*[F.struct(F.lit(r).alias("role"), parsed[f].alias("text")) for r, f in x.pairs])

@@ -1,9 +1,9 @@
 """Benchmark decontamination (operator 9).
 
 Word 4-grams of the test items are seeds.  A first pass counts in how many
-documents each seed occurs; an item's rare seeds are those not more frequent
-than its median seed, so every item keeps at least half of its seeds, however
-often it leaked.  A second pass finds rare seeds in documents, takes the passage
+documents each seed occurs; an item's rare seeds are those found in at most
+``RARE`` documents or four times as often as its median seed, so an item keeps
+its seeds however often it leaked, and loses only common phrases.  A second pass finds rare seeds in documents, takes the passage
 around them, and aligns it with the item by Smith-Waterman over words (match 2,
 mismatch and gap -1).  A passage whose score is at least ``least`` of the item's
 own, or as high as ``long_run`` words in a row, is a copy, edited or not.
@@ -36,6 +36,7 @@ from .common import slices, small_batches
 SEED_WORDS, MATCH, MISS, GAP = 4, 2, -1, -1
 LEAST, LONG_RUN = 0.5, 40
 BLOCK_CHARS = 8_000_000
+RARE = 1000
 
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -129,7 +130,7 @@ class Items:
         return made[n]
 
     def set_rare(self, counts: dict[tuple[int, int], int]) -> None:
-        """Marks the seeds of each item that are at most as frequent as its median seed."""
+        """Marks the seeds of each item that aren't common phrases: not far more frequent than its median seed."""
         self.rare = {n: np.zeros(len(s), bool) for n, s in self.seeds.items()}
         own: dict[tuple[int, int], list[int]] = {}
         for n, lists in self.where.items():
@@ -138,7 +139,7 @@ class Items:
                     own.setdefault((n, i), []).append(k)
         for (n, _), ks in own.items():
             df = np.array([counts.get((n, k), 0) for k in ks])
-            self.rare[n][np.array(ks)[df <= np.median(df)]] = True
+            self.rare[n][np.array(ks)[df <= max(RARE, 4 * np.median(df))]] = True
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import slices, small_batches
 
 DIM, SEED = 1024, 7
+SLICE = 1 << 18  # characters looked at together
 UNKNOWN = "und"
 _BITS = 21  # a code point
 
@@ -66,7 +67,7 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Vectors:
     """Trigram vectors, made when first asked for; forgets them beyond ``most``."""
 
-    def __init__(self, dim: int = DIM, seed: int = SEED, most: int = 60_000) -> None:
+    def __init__(self, dim: int = DIM, seed: int = SEED, most: int = 20_000) -> None:
         self.dim, self.seed, self.most = dim, seed, most
         self.letter: dict[int, np.ndarray] = {}
         self.codes, self.rows = np.empty(0, np.int64), np.empty((0, dim), np.int8)
@@ -94,8 +95,14 @@ class Vectors:
         if len(new):
             if len(self.codes) + len(new) > self.most:
                 self.codes, self.rows, new = np.empty(0, np.int64), np.empty((0, self.dim), np.int8), codes
-            order = np.argsort(both := np.concatenate([self.codes, new]), kind="stable")
-            self.codes, self.rows = both[order], np.concatenate([self.rows, self.make(new)])[order]
+            both = np.concatenate([self.codes, new])
+            order = np.argsort(both, kind="stable")
+            n, rows = len(self.codes), np.empty((len(both), self.dim), np.int8)
+            back = np.argsort(order, kind="stable")  # where each goes; the new ones are made a few at a time
+            rows[back[:n]] = self.rows
+            for i in range(0, len(new), 1024):
+                rows[back[n + i : n + i + 1024]] = self.make(new[i : i + 1024])
+            self.codes, self.rows = both[order], rows
         return np.searchsorted(self.codes, codes)
 
 
@@ -106,14 +113,14 @@ def _train(dim: int, seed: int):
         def flush() -> None:
             for lang, c in counts.items():
                 codes, n = np.fromiter(c, np.int64, len(c)), np.fromiter(c.values(), np.int64, len(c))
-                for i in range(0, len(codes), 8192):
-                    sums[lang] = sums.get(lang, 0) + n[i : i + 8192] @ vectors.make(codes[i : i + 8192]).astype(np.int64)
+                for i in range(0, len(codes), 1024):
+                    sums[lang] = sums.get(lang, 0) + n[i : i + 1024] @ vectors.make(codes[i : i + 1024]).astype(np.int64)
             counts.clear()
 
         for pdf in batches:
             for lang, texts in pdf.groupby("lang")["text"]:
                 texts, into = texts.tolist(), counts.setdefault(lang, {})
-                for a, b in slices(texts):
+                for a, b in slices(texts, SLICE):
                     codes, n = np.unique(trigrams(texts[a:b])[0], return_counts=True)
                     for c, k in zip(codes.tolist(), n.tolist(), strict=True):
                         into[c] = into.get(c, 0) + k
@@ -144,11 +151,12 @@ def fit(training: DataFrame, dim: int = DIM, seed: int = SEED) -> tuple[list[str
 
 def predict(texts: list[str], langs: list[str], prototypes: np.ndarray, vectors: Vectors) -> tuple[list[str], list[float]]:
     names, scores = [], []
-    for a, b in slices(texts):
+    flat = prototypes.T.astype(np.float32)
+    for a, b in slices(texts, SLICE):
         codes, begins = trigrams(texts[a:b])
         used, back = np.unique(codes, return_inverse=True)
         rows = vectors.of(used)
-        near = vectors.rows[rows].astype(np.float32) @ prototypes.T.astype(np.float32) if len(used) else np.zeros((0, len(langs)), np.float32)
+        near = np.concatenate([np.zeros((0, len(langs)), np.float32), *[vectors.rows[rows[i : i + 2048]].astype(np.float32) @ flat for i in range(0, len(rows), 2048)]])
         for i in range(b - a):
             own = back[begins[i] : begins[i + 1]]
             if not len(own) or not langs:
