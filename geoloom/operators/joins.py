@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.scalars import EPS, haversine, squared, unit_vector
+from ..session import cut
 
 
 def _cells(coordinates: list[Column], reach: float | Column) -> list[Column]:
@@ -29,26 +30,28 @@ def _near(cell: list[str]) -> Column:
     return F.array(*[F.struct(*[(F.col(c) + d).alias(c) for c, d in zip(cell, step, strict=True)]) for step in steps])
 
 
-def _bucketed(points: DataFrame, sites: DataFrame, p: list[Column], s: list[Column], reach: float) -> DataFrame:
+def _bucketed(points: DataFrame, sites: DataFrame, p: list[Column], s: list[Column], reach: float, spread: str) -> DataFrame:
+    """Pairs of the same or neighbouring cells.  ``spread``: the side that is copied to the neighbours, which should be the smaller one."""
     names = [f"_c{i}" for i in range(len(p))]
-    a = points.withColumns(dict(zip(names, _cells(p, reach), strict=True)))
+    wide, narrow = ((points, p), (sites, s)) if spread == "points" else ((sites, s), (points, p))
+    a = wide[0].withColumns(dict(zip(names, _cells(wide[1], reach), strict=True)))
     a = a.withColumn("_cell", F.explode(_near(names))).drop(*names)
-    b = sites.withColumn("_cell", F.struct(*[c.alias(n) for c, n in zip(_cells(s, reach), names, strict=True)]))
+    b = narrow[0].withColumn("_cell", F.struct(*[c.alias(n) for c, n in zip(_cells(narrow[1], reach), names, strict=True)]))
     return a.join(b, "_cell").drop("_cell")
 
 
-def pairs_on_sphere(points: DataFrame, sites: DataFrame, reach_m: float, p=("p_lat", "p_lng"), s=("s_lat", "s_lng")) -> DataFrame:
+def pairs_on_sphere(points: DataFrame, sites: DataFrame, reach_m: float, p=("p_lat", "p_lng"), s=("s_lat", "s_lng"), spread: str = "points") -> DataFrame:
     """Pairs within ``reach_m`` metres on the sphere, with ``distance``; also across the poles and the date line.
 
     Cells are cubes around places on the sphere: straight distances don't exceed those along it.
     """
-    pairs = _bucketed(points, sites, list(unit_vector(F.col(p[0]), F.col(p[1]))), list(unit_vector(F.col(s[0]), F.col(s[1]))), reach_m)
+    pairs = _bucketed(points, sites, list(unit_vector(F.col(p[0]), F.col(p[1]))), list(unit_vector(F.col(s[0]), F.col(s[1]))), reach_m, spread)
     return pairs.withColumn("distance", haversine(F.col(p[0]), F.col(p[1]), F.col(s[0]), F.col(s[1]))).where(F.col("distance") <= reach_m)
 
 
-def pairs_on_plane(points: DataFrame, sites: DataFrame, reach: float, p=("px", "py"), s=("sx", "sy")) -> DataFrame:
+def pairs_on_plane(points: DataFrame, sites: DataFrame, reach: float, p=("px", "py"), s=("sx", "sy"), spread: str = "points") -> DataFrame:
     """Pairs within ``reach``, with the squared distance ``d2``."""
-    pairs = _bucketed(points, sites, [F.col(c) for c in p], [F.col(c) for c in s], max(reach, EPS))
+    pairs = _bucketed(points, sites, [F.col(c) for c in p], [F.col(c) for c in s], max(reach, EPS), spread)
     return pairs.withColumn("d2", squared(F.col(p[0]), F.col(p[1]), F.col(s[0]), F.col(s[1]))).where(F.col("d2") <= reach * reach + EPS)
 
 
@@ -71,7 +74,7 @@ def knn(points: DataFrame, sites: DataFrame, k: int, key: str, order: str) -> Da
     reach, done, rest = far * (k / n) ** 0.5, [], points
     w = Window.partitionBy(key).orderBy("d2", order)
     while True:
-        hits = pairs_on_plane(rest, sites, min(reach, far)).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        hits = cut(pairs_on_plane(rest, sites, min(reach, far)).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
         if reach >= far:
             done.append(hits)
             break
@@ -106,7 +109,7 @@ def nearest_norm(points: DataFrame, sites: DataFrame, key: str, site_key: str |
         pairs = pairs_on_plane(rest, sites, min(reach, far))
         if site_key:
             pairs = pairs.where(F.col(key) != F.col(site_key))
-        best = pairs.groupBy(key, "pr").agg(F.min(F.sqrt("d2") / (F.col("pr") + F.col("sr"))).alias("nn"))
+        best = cut(pairs.groupBy(key, "pr").agg(F.min(F.sqrt("d2") / (F.col("pr") + F.col("sr"))).alias("nn")))
         if reach >= far:
             done.append(best.select(key, "nn"))
             break
@@ -123,14 +126,14 @@ def nearest_norm(points: DataFrame, sites: DataFrame, key: str, site_key: str |
 def coverage(samples: DataFrame, circles: DataFrame, key: str) -> DataFrame:
     """(key, n_cover): circles (sx, sy, sr) over each sample (px, py), zero included."""
     most = circles.agg(F.max("sr")).first()[0]
-    over = pairs_on_plane(samples, circles, float(most or 1.0)).where(F.col("d2") <= F.col("sr") * F.col("sr") + EPS) if most is not None else samples.limit(0)
+    over = pairs_on_plane(samples, circles, float(most or 1.0), spread="sites").where(F.col("d2") <= F.col("sr") * F.col("sr") + EPS) if most is not None else samples.limit(0)
     n = over.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return samples.select(key).join(n, key, "left").select(key, F.coalesce("n", F.lit(0)).cast("long").alias("n_cover"))
 
 
 def covering_pairs(samples: DataFrame, circles: DataFrame) -> DataFrame:
     most = circles.agg(F.max("sr")).first()[0] or 1.0
-    return pairs_on_plane(samples, circles, float(most)).where(F.col("d2") <= F.col("sr") * F.col("sr") + EPS)
+    return pairs_on_plane(samples, circles, float(most), spread="sites").where(F.col("d2") <= F.col("sr") * F.col("sr") + EPS)
 
 
 def unique_support(samples: DataFrame, circles: DataFrame, key: str, circle: str) -> DataFrame:
@@ -166,17 +169,14 @@ def greedy_match(pairs: DataFrame, new: str = "new_id", old: str = "old_id") ->
     order = F.struct("d2", new, old)
     rest, done = pairs.select(new, old, "d2"), None
     spark = pairs.sparkSession
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        spark.sparkContext.setCheckpointDir("file:///tmp/checkpoints/geoloom")
-    rest = rest.checkpoint()
+    rest = cut(rest)
     while not rest.isEmpty():
         by_new = rest.groupBy(new).agg(F.min(order).alias("m")).select("m.*")
         by_old = rest.groupBy(old).agg(F.min(order).alias("m")).select("m.*")
         won = by_new.join(by_old, ["d2", new, old], "left_semi")
-        won = won.checkpoint()
+        won = cut(won)
         done = won if done is None else done.unionByName(won)
-        rest = rest.join(won, new, "left_anti").join(won, old, "left_anti").checkpoint()
+        rest = cut(rest.join(won, new, "left_anti").join(won, old, "left_anti"))
     if done is None:
         return spark.createDataFrame([], T.StructType([f for f in pairs.select(new, old, "d2").schema]))
     return done.select(new, old, "d2")

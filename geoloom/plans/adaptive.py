@@ -19,6 +19,7 @@ from ..config import AdaptiveConfig
 from ..functions.scalars import EPS
 from ..operators import region as R
 from ..operators.generators import ROOT3, radius_bands
+from ..session import cut
 from .fixed import bare, box, sample_points
 
 SEED_NORM = 0.40
@@ -311,7 +312,7 @@ def plan(spark: SparkSession, border: np.ndarray, cells: np.ndarray, config: Ada
     most = config.max_radius or int(round(min(2500, max(config.min_radius + 200, config.min_radius + more)) / 50) * 50)
     combos = [(r["scale"], r["band"]) for r in baseline_grid(spark, config).orderBy("order").collect()]
     phases = [(r["px"], r["py"]) for r in phase_grid(spark, config).orderBy("order").collect()]
-    base = evaluated(spark, border, cells, config, most, [(*c, 0.0, 0.0) for c in combos]).checkpoint() if spark.conf.get("spark.checkpoint.dir", None) else evaluated(spark, border, cells, config, most, [(*c, 0.0, 0.0) for c in combos])
+    base = cut(evaluated(spark, border, cells, config, most, [(*c, 0.0, 0.0) for c in combos]))
     shifted = [p for p in phases if p != (0.0, 0.0)]
     if config.phase_budget and shifted:
         done = [(r["scale"], r["band"]) for r in base.drop("circles").orderBy("n", F.desc("p25"), "overlap", "mean_count", "test").collect()]

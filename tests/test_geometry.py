@@ -80,3 +80,27 @@ def test_settings_are_checked():
     for bad in (lambda: number_list(","), lambda: FixedConfig(mode="slow"), lambda: AdaptiveConfig(min_radius=0), lambda: AdaptiveConfig(max_radius=400)):
         with pytest.raises(ConfigError):
             bad()
+
+
+def box_edges(x0, y0, x1, y1):
+    return np.array(G.edges([[[(x0, y0), (x1, y0), (x1, y1), (x0, y1)]]]), float)
+
+
+def test_zones_by_boolean_algebra():
+    from geoloom.plans import zones as Z
+
+    city, hill, district = box_edges(0, 0, 4, 4), box_edges(-3, 0, 0, 4), box_edges(-5, -2, 6, 6)
+    ring = R.combined([district, city, hill], lambda f: f[0] & ~(f[1] | f[2]))
+    assert [R.area(p) for p in Z.polygons(ring)] == pytest.approx([88 - 28])  # one piece with a hole
+    split = R.combined([box_edges(-5, 1, 6, 2), city], lambda f: f[0] & ~f[1])
+    assert sorted(R.area(p) for p in Z.polygons(split)) == pytest.approx([2, 5])
+    assert R.area(Z.anchored(split, (5, 1.5))) == pytest.approx(2)
+    extra = Z.supplement(box_edges(-5, 1, 6, 2), city, hill, (5, 1.5))
+    border = Z.merged_border(city, hill, extra)
+    assert R.area(border) == pytest.approx(16 + 12 + 2)
+    assert R.area(Z.small_zone(city, extra, border, 5.0)) == pytest.approx(16 + 1)
+    doc = Z.geojson(ring)
+    shape = doc["features"][0]["geometry"]["coordinates"]
+    assert len(shape) == 1 and len(shape[0]) == 2
+    with pytest.raises(ValueError):
+        Z.supplement(box_edges(-5, 1, 6, 2), city, hill, (100, 100))
