@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import slices, small_batches
 
 SEED_WORDS, MATCH, MISS, GAP = 4, 2, -1, -1
-LEAST, LONG_RUN = 0.5, 40
+LEAST, LONG_RUN = 0.4, 40
 BLOCK_CHARS = 8_000_000
 RARE = 1000
 
