@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,18 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Rows of an Arrow batch for the jobs that run inside: more where rows are a few numbers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, "10000")
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that ``df`` doesn't have."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, small_batches, stored
+from .common import batch_rows, fresh, small_batches, stored
 from .components import components
 
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -258,7 +258,6 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, block
         F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.xxhash64(F.col("bucket"), F.least(j, F.col("mine")), F.greatest(j, F.col("mine"))))
     )
     dealt = split.select("fp", F.explode(met).alias("bucket"))
-    small_batches(distinct.sparkSession, 100_000)
     return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_links(radius), "a long, b long")
 
 
@@ -267,7 +266,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = WORDS, rad
     docs = docs.select("doc_id", text, *keep)
     prints = stored(fingerprints(docs, text, words), "fingerprints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct")
-    edges = links(first.select("fp"), radius, blocks)
+    with batch_rows(docs.sparkSession, 1 << 16):
+        edges = stored(links(first.select("fp"), radius, blocks), "links")
     joined = components(edges)  # only fingerprints that have a link
     linked = joined.join(first, joined["node"] == first["fp"]).select("fp", "root", "id")
     least = linked.groupBy("root").agg(F.min("id").alias("component"))
