@@ -1 +1 @@
-
+"""Joins, aggregates, windows, generators and regions."""

@@ -1 +1 @@
-
+"""Covers, collection, preservation and maps."""

@@ -1 +1 @@
-
+"""Scans, connectors and sinks."""
