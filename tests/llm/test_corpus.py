@@ -559,3 +559,18 @@ def test_stages_keep_columns(spark, sf_dir):
     empty = odd_docs(spark).limit(0)
     for _, stage in C.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+def test_pieces_forgotten_words():
+    """Samples don't depend on which words the table holds, nor on the texts beside them."""
+    from geoloom.llm.pieces import Model, sampled
+
+    texts = [" ".join(f"word{(7 * i + j) % 90}x{j % 11} the" for j in range(40)) for i in range(30)]
+    keys = [str(i) for i in range(30)]
+    small, large = Model(most_words=60), Model()
+    at_once = sampled(large, texts, keys)
+    for t, k, (own, drawn) in zip(texts, keys, at_once, strict=True):
+        own_again, drawn_again = sampled(small, [t], [k])[0]
+        assert own.tolist() == own_again.tolist()
+        assert [(i.tolist(), p, g, q) for i, p, g, q in drawn] == [(i.tolist(), p, g, q) for i, p, g, q in drawn_again]
+    assert len(small.table) < len(large.table)
