@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import batch_rows, fresh, small_batches, stored
 from .components import components
+from .minhash import near_copies
 
 WORDS, RADIUS, SEED = 4, 4, 42
 BLOCKS, BLOCK_ROWS = 6, 1 << 14
@@ -283,14 +284,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each component stays, that with the smallest id.
+    """Pipeline stage: one document of each component of near copies stays, that with the smallest id.
 
-    Of rows that repeat id and text, one stays; where no row of a component has
-    an id, one of its rows does.
+    The stage has parameters of its own, not those of operator 1: five-word
+    shingles of similarity 0.8 or more link (see ``minhash``).  Of rows that
+    repeat id and text, one stays; where no row of a component has an id, one of
+    its rows does.
     """
-    name, digest = fresh(docs, "_id", "_hash")
+    name, digest, at = fresh(docs, "_id", "_hash", "_at")
     keyed = docs.withColumns({name: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest: F.xxhash64(F.coalesce("text", F.lit("")))})
-    groups = near_duplicates(keyed, keep=(name, digest))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", name, digest))
-    keep = groups.groupBy("root").agg(first.alias("r")).select(F.col("r")[name].alias(name), F.col("r")[digest].alias(digest)).distinct()
+    named = keyed.withColumn(at, F.struct(F.col("doc_id").isNull().alias("n"), "doc_id"))
+    groups = near_copies(named.select(name, digest, at, "text"), (name, digest), (at,))
+    keep = groups.groupBy("root").agg(F.min(F.struct(at, name, digest)).alias("r")).select(F.col("r")[name].alias(name), F.col("r")[digest].alias(digest)).distinct()
     return keyed.join(keep, [name, digest], "left_semi").dropDuplicates([name, digest]).select(*docs.columns)
