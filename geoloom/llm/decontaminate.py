@@ -1,15 +1,16 @@
 """Benchmark decontamination (operator 9).
 
-Word 4-grams of the test items are seeds.  A first pass counts in how many
-documents each seed occurs; an item's rare seeds are those found in at most
-``RARE`` documents or four times as often as its median seed, so an item keeps
-its seeds however often it leaked, and loses only common phrases.  A second pass finds rare seeds in documents, takes the passage
-around them, and aligns it with the item by Smith-Waterman over words (match 2,
-mismatch and gap -1).  A passage whose score is at least ``least`` of the item's
-own, or as high as ``long_run`` words in a row, is a copy, edited or not.
-
-Both passes are narrow: the documents aren't shuffled, and a filter needs no
-join.  The items go to the tasks whole while they have at most ``block_chars``
+Word 4-grams of the test items are seeds, all of them, however common.  One pass
+finds seeds in documents, takes the passage around them, and aligns it with the
+item by Smith-Waterman over words (match 2, mismatch and gap -1).  A passage
+whose score is at least ``least`` of the item's own, or as high as ``long_run``
+words in a row, is a copy, edited or not.  No seed is dropped, so the result for
+a document doesn't depend on the other documents.  What common phrases find is
+set aside without an alignment where no alignment could reach the score: it has
+at most two points for each word of the item that the text, or the passage, has.
+
+The pass is narrow: the documents aren't shuffled, and a filter needs no join.
+The items go to the tasks whole while they have at most ``block_chars``
 characters; beyond that they go block by block, each block of items against all
 documents.
 
@@ -22,7 +23,6 @@ come back once, with the best score.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +36,6 @@ from .common import slices, small_batches
 SEED_WORDS, MATCH, MISS, GAP = 4, 2, -1, -1
 LEAST, LONG_RUN = 0.4, 40
 BLOCK_CHARS = 8_000_000
-RARE = 1000
 
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -94,7 +93,6 @@ class Items:
     #: By seed length: sorted hashes, and for each the (item, place in it) pairs.
     seeds: dict[int, np.ndarray]
     where: dict[int, list[list[tuple[int, int]]]]
-    rare: dict[int, np.ndarray] | None = None
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]]) -> Items:
@@ -129,17 +127,13 @@ class Items:
             made[n] = f
         return made[n]
 
-    def set_rare(self, counts: dict[tuple[int, int], int]) -> None:
-        """Marks the seeds of each item that aren't common phrases: not far more frequent than its median seed."""
-        self.rare = {n: np.zeros(len(s), bool) for n, s in self.seeds.items()}
-        own: dict[tuple[int, int], list[int]] = {}
-        for n, lists in self.where.items():
-            for k, pairs in enumerate(lists):
-                for i, _ in pairs:
-                    own.setdefault((n, i), []).append(k)
-        for (n, _), ks in own.items():
-            df = np.array([counts.get((n, k), 0) for k in ks])
-            self.rare[n][np.array(ks)[df <= max(RARE, 4 * np.median(df))]] = True
+    def reachable(self, own: list[int], words: np.ndarray) -> np.ndarray:
+        """Bound on the score of each of these items in a text with these words: all of its words that the text has, matched."""
+        known = np.unique(words)
+        sizes = np.array([len(self.words[i]) for i in own])
+        flat = np.concatenate([self.words[i] for i in own])
+        found = known[np.minimum(np.searchsorted(known, flat), len(known) - 1)] == flat
+        return MATCH * np.add.reduceat(found.astype(np.int64), np.cumsum(sizes) - sizes)
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -162,28 +156,35 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 def copies(h: np.ndarray, begins: np.ndarray, items: Items, least: float = LEAST, long_run: int = LONG_RUN) -> list[tuple[int, int, int]]:
     """(text, item, score) of the passages that are copies, the best of each text and item."""
-    near: dict[tuple[int, int], list[int]] = {}
+    near: dict[int, dict[int, list[int]]] = {}
     for n, places, numbers in items.hits(h, begins):
-        keep = items.rare[n][numbers]
-        places, numbers = places[keep], numbers[keep]
         texts = np.searchsorted(begins, places, side="right") - 1
         for t, p, s in zip(texts.tolist(), places.tolist(), numbers.tolist(), strict=True):
+            of = near.setdefault(t, {})
             for i, k in items.where[n][s]:
-                near.setdefault((t, i), []).append(p - k)
+                of.setdefault(i, []).append(p - k)
     out = []
-    for (t, i), starts in near.items():
-        size, top = len(items.words[i]), 0
-        full = MATCH * size
-        starts.sort()
-        # passages: starts of the item that lie close together share one
-        for group in np.split(np.array(starts), np.flatnonzero(np.diff(starts) > size) + 1):
-            a = max(int(begins[t]), int(group[0]) - size // 2 - 2)
-            b = min(int(begins[t + 1]), int(group[-1]) + size + size // 2 + 2)
-            top = max(top, align(h[a:b], items.words[i])[0])
-            if top == full:
-                break
-        if top >= min(least * full, MATCH * long_run) and (size > SEED_WORDS or top == full):
-            out.append((t, i, top))
+    for t, of in near.items():
+        own = list(of)
+        bounds = items.reachable(own, h[begins[t] : begins[t + 1]]).tolist()
+        for i, bound in zip(own, bounds, strict=True):
+            size, top = len(items.words[i]), 0
+            full = MATCH * size
+            need = min(least * full, MATCH * long_run)
+            if bound < need:
+                continue
+            starts = sorted(of[i])
+            # passages: starts of the item that lie close together share one
+            for group in np.split(np.array(starts), np.flatnonzero(np.diff(starts) > size) + 1):
+                a = max(int(begins[t]), int(group[0]) - size // 2 - 2)
+                b = min(int(begins[t + 1]), int(group[-1]) + size + size // 2 + 2)
+                if items.reachable([i], h[a:b])[0] < need:
+                    continue
+                top = max(top, align(h[a:b], items.words[i])[0])
+                if top == full:
+                    break
+            if top >= need and (size > SEED_WORDS or top == full):
+                out.append((t, i, top))
     return out
 
 
@@ -197,42 +198,17 @@ def _items(benchmark: DataFrame, block_chars: int) -> Iterator[Items]:
         yield Items.of([(r[0], r[1]) for r in rows.where(part == k).orderBy("item_id", "text").collect()])
 
 
-def seed_counts(docs: DataFrame, items: Items, text: str = "text") -> dict[tuple[int, int], int]:
-    """In how many documents each seed occurs, over all documents; at most a row for each seed comes back."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        for pdf in batches:
-            texts = [x or "" for x in pdf[text]]
-            for a, b in slices(texts):
-                h, begins = word_hashes(texts[a:b])
-                for n, places, numbers in items.hits(h, begins):
-                    of = np.searchsorted(begins, places, side="right")
-                    both = np.unique(of.astype(np.int64) << 32 | numbers) & 0xFFFFFFFF
-                    for k in both.tolist():
-                        seen[(n, k)] += 1
-        if seen:
-            yield pd.DataFrame([(n, k, c) for (n, k), c in seen.items()], columns=["n", "seed", "docs"])
-
-    counted = docs.select(text).mapInPandas(run, "n int, seed int, docs long").groupBy("n", "seed").agg(F.sum("docs").alias("docs"))
-    return {(r["n"], r["seed"]): r["docs"] for r in counted.collect()}
-
-
-def prepared(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_chars: int = BLOCK_CHARS) -> list[Items]:
-    """Blocks of items with their rare seeds marked."""
+def prepared(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[Items]:
+    """Blocks of items with their seeds."""
     small_batches(docs.sparkSession)
-    out = []
-    for items in _items(benchmark, block_chars):
-        items.set_rare(seed_counts(docs, items, text))
-        out.append(items)
-    return out
+    return list(_items(benchmark, block_chars))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Rows (key, item_id, score, share): documents with copies of items; share is the score over the item's own."""
     out = None
     schema = f"`{key}` {dict(docs.dtypes)[key]}, item_id long, score long, share double"
-    for items in prepared(docs, benchmark, text, block_chars):
+    for items in prepared(docs, benchmark, block_chars):
 
         def run(batches: Iterator[pd.DataFrame], items: Items = items) -> Iterator[pd.DataFrame]:
             for pdf in batches:
@@ -252,7 +228,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", least: float = LEAST, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows that hold a copy of an item; rows stay where they are."""
     out = docs
-    for items in prepared(docs, benchmark, text, block_chars):
+    for items in prepared(docs, benchmark, block_chars):
 
         def run(batches: Iterator[pd.DataFrame], items: Items = items) -> Iterator[pd.DataFrame]:
             for pdf in batches:
