@@ -46,13 +46,13 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile(r"[0-9]")
 
-#: Wider searches, each bounded in length.
+#: Wider searches, each bounded in length but for the last, whose run of one class of characters always ends at a border.
 _WIDE = (
     ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:\[at\]|\(at\)|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}\x20?(?:\[dot\]|\(dot\)|\x20dot\x20)\x20?[A-Za-z]{2,12}(?![A-Za-z0-9])"), ("at",)),
     ("phone", re.compile(r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])"), ("digit",)),
     ("identity", re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"), ("digit",)),
     ("account", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"), ("digit",)),
-    ("secret", re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z_+/=-]{24,128}(?![0-9A-Za-z])"), ("digit",)),
+    ("secret", re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z_+/=-]{24,}(?![0-9A-Za-z])"), ("digit",)),
 )
 
 #: Gazetteers.
