@@ -304,12 +304,40 @@ def best(found: DataFrame) -> DataFrame:
     return found.orderBy("n", F.desc("p25"), "overlap", "mean_count", "test").limit(1)
 
 
+def largest_radius(cells: np.ndarray, config: AdaptiveConfig) -> int:
+    """The configured one, or the larger the more the densities differ."""
+    q10, q90 = np.percentile(cells[:, 2], [10, 90])
+    more = next((m for at, m in ((60, 1400), (30, 1200), (15, 1000), (8, 800)) if q90 / max(q10, 1.0) >= at), 600)
+    return config.max_radius or int(round(min(2500, max(config.min_radius + 200, config.min_radius + more)) / 50) * 50)
+
+
+def pruned(spark: SparkSession, border: np.ndarray, cells: np.ndarray, config: AdaptiveConfig | None = None) -> DataFrame:
+    """Circles (x, y, radius, density, kept) of the first valid candidate of the baseline, as patched, and whether pruning keeps them."""
+    config = config or AdaptiveConfig()
+    most, samples = largest_radius(cells, config), sample_points(border, config.coverage_step)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for order, scale, band in pdf[["order", "scale", "band"]].itertuples(index=False):
+            bands = Bands(box(border), config.min_radius, most, int(band), float(scale), (0.0, 0.0))
+            c = Candidate(border, samples, Density(cells, config.min_radius, most), bands, config)
+            c.seed()
+            if c.patch_samples() and c.patch_exact():
+                before = list(c.rows)
+                c.prune()
+                left = set(c.rows)
+                out += [(order, r[0], r[1], int(r[2]), r[3], r in left) for r in before]
+        return pd.DataFrame(out, columns=["order", "x", "y", "radius", "density", "kept"])
+
+    grid = baseline_grid(spark, config)
+    found = cut(grid.repartition(len(config.scales) * len(config.band_steps), "order").groupBy("order").applyInPandas(run, "order int, x double, y double, radius int, density double, kept boolean"))
+    return found.join(F.broadcast(found.agg(F.min("order").alias("order"))), "order").drop("order").orderBy("y", "x", "radius")
+
+
 def plan(spark: SparkSession, border: np.ndarray, cells: np.ndarray, config: AdaptiveConfig | None = None) -> DataFrame:
     """Circles (x, y, radius, density) of the best candidate: all spacings and bands, then shifted lattices of the best ones."""
     config = config or AdaptiveConfig()
-    q10, q90 = np.percentile(cells[:, 2], [10, 90])
-    more = next((m for at, m in ((60, 1400), (30, 1200), (15, 1000), (8, 800)) if q90 / max(q10, 1.0) >= at), 600)
-    most = config.max_radius or int(round(min(2500, max(config.min_radius + 200, config.min_radius + more)) / 50) * 50)
+    most = largest_radius(cells, config)
     combos = [(r["scale"], r["band"]) for r in baseline_grid(spark, config).orderBy("order").collect()]
     phases = [(r["px"], r["py"]) for r in phase_grid(spark, config).orderBy("order").collect()]
     base = cut(evaluated(spark, border, cells, config, most, [(*c, 0.0, 0.0) for c in combos]))

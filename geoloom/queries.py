@@ -552,8 +552,8 @@ def _cells_array(spark: SparkSession, sf_dir: str):
 
     box = G.bounds(REGION)
     c = _plane(view(spark, sf_dir, "cells"), "s", "lat_center", "lon_center").select((F.col("sx") + 4000).alias("sx"), (F.col("sy") + 3500).alias("sy"), "density")
-    near = c.where(G.in_box(F.col("sx"), F.col("sy"), box, 3000.0)).groupBy(F.floor(F.col("sx") / 400).alias("i"), F.floor(F.col("sy") / 400).alias("j")).agg(F.avg("sx"), F.avg("sy"), F.avg("density"))
-    return np.array([(r[2], r[3], r[4]) for r in near.orderBy("i", "j").collect()])
+    near = c.where(G.in_box(F.col("sx"), F.col("sy"), box, 3000.0))
+    return np.array([tuple(r) for r in near.orderBy("sx", "sy", "density").collect()])
 
 
 @query()
@@ -569,8 +569,16 @@ def cover_adaptive_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .config import AdaptiveConfig
     from .plans import adaptive
 
-    config = AdaptiveConfig(coverage_step=200.0, scales=(0.90, 0.94), band_steps=(100,), phases=(0.0, 0.5), phase_budget=2)
-    return adaptive.plan(spark, _regions()[0], _cells_array(spark, sf_dir), config).select(F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), "radius", F.round("density", 6).alias("density"))
+    return adaptive.plan(spark, _regions()[0], _cells_array(spark, sf_dir), AdaptiveConfig()).select(F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), "radius", F.round("density", 6).alias("density"))
+
+
+@query()
+def pruned_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Circles of an adaptive cover before pruning, and whether it keeps them."""
+    from .config import AdaptiveConfig
+    from .plans import adaptive
+
+    return adaptive.pruned(spark, _regions()[0], _cells_array(spark, sf_dir), AdaptiveConfig()).select(F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), "radius", F.round("density", 6).alias("density"), "kept")
 
 
 @query()
