@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches
+from .common import fresh, slices, small_batches, stored
 
 DIM, SEED = 1024, 7
 SLICE = 1 << 18  # characters looked at together
@@ -174,19 +174,19 @@ def predict(texts: list[str], langs: list[str], prototypes: np.ndarray, vectors:
     return names, scores
 
 
-def identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", dim: int = DIM, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; other columns pass through."""
+def identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", dim: int = DIM, seed: int = SEED, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, or columns of other names; other columns pass through."""
     small_batches(docs.sparkSession)
     langs, prototypes = model
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vectors = Vectors(dim, seed)
         for pdf in batches:
-            names, scores = predict(["" if x is None else x for x in pdf[text]], langs, prototypes, vectors)
-            yield pdf.assign(lang_pred=names, score=scores)
+            found = predict(["" if x is None else x for x in pdf[text]], langs, prototypes, vectors)
+            yield pdf.assign(**dict(zip(names, found, strict=True)))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name not in ("lang_pred", "score"))
-    return docs.drop("lang_pred", "score").mapInPandas(run, f"{schema}, lang_pred string, score double")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name not in names)
+    return docs.drop(*names).mapInPandas(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -201,24 +201,41 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-#: About the cosine of a random direction (1 over the root of the dimension): such texts are of no language known.
-LEAST_SCORE = 0.03
+#: Of the stage: more dimensions than operator 6, so that the cosine of a random direction (1 over the root of the dimension) is small.
+STAGE_DIM = 4096
+#: A text is too far from all languages below this share of the score that all but ``FEW`` of the labelled texts of about its length have, and always below ``NOISE`` random cosines.
+SLACK, FEW, NOISE = 0.75, 0.001, 4.0
 
 
-def of_a_language(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", least: float = LEAST_SCORE, dim: int = DIM, seed: int = SEED) -> DataFrame:
-    """``docs`` without the rows of no language, or far from all."""
-    small_batches(docs.sparkSession)
-    langs, prototypes = model
+def size_class(text: Column) -> Column:
+    """About the binary logarithm of a text's length, by its characters."""
+    return F.floor(F.log2(F.greatest(F.length(F.coalesce(text, F.lit(""))), F.lit(1)))).cast("int")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors = Vectors(dim, seed)
-        for pdf in batches:
-            names, scores = predict(["" if x is None else x for x in pdf[text]], langs, prototypes, vectors)
-            yield pdf[[n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)]]
 
-    return docs.mapInPandas(run, docs.schema)
+def limits(labelled: DataFrame, dim: int = DIM) -> dict[int, float]:
+    """Least score by size class, from all rows (size, score) of labelled texts; what reaches the driver is a row for each class."""
+    rows = labelled.groupBy("size").agg(F.percentile_approx("score", FEW, 100_000).alias("q")).collect()
+    low = {r["size"]: r["q"] for r in rows}
+    # a class borrows from its neighbours, as it may have few texts
+    return {c: max(NOISE / dim**0.5, SLACK * min(low[k] for k in (c - 1, c, c + 1) if k in low)) for c in low}
+
+
+def of_a_language(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", training: Column | None = None, dim: int = DIM, seed: int = SEED) -> DataFrame:
+    """``docs`` without the rows of no language, or far from all.
+
+    ``training``: which rows set the limits; without them, or for a length that
+    none of them has nearby, only the limit of noise holds.
+    """
+    pred, score, size = fresh(docs, "_pred", "_score", "_size")
+    scored = stored(identified(docs, model, text, dim, seed, (pred, score)).withColumn(size, size_class(F.col(text))), "scored")
+    least = limits(scored.where(training).where(F.col(pred) != UNKNOWN).select(F.col(size).alias("size"), F.col(score).alias("score")), dim) if training is not None else {}
+    floor = F.lit(NOISE / dim**0.5)
+    limit = F.coalesce(F.create_map(*[F.lit(x) for c in least.items() for x in c])[F.col(size)], floor) if least else floor
+    return scored.where((F.col(pred) != UNKNOWN) & (F.col(score) >= limit)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents of no language go."""
-    return of_a_language(docs, fit(docs.where(~held_out(F.col("doc_id"))).select("text", "lang")))
+    """Pipeline stage: documents of no language go, by limits from the scores of all labelled documents."""
+    training = ~held_out(F.col("doc_id")) & F.col("lang").isNotNull()
+    model = fit(docs.where(training).select("text", "lang"), STAGE_DIM)
+    return of_a_language(docs, model, training=training, dim=STAGE_DIM)
