@@ -74,6 +74,9 @@ class Node:
     bad: bool
     frame: bool
     heading: bool
+    #: The element itself or the nearest around it that has a mark against it; ``hidden`` can't be taken back.
+    mark: Node | None
+    hidden: bool
 
 
 @dataclass(slots=True)
@@ -103,7 +106,7 @@ def _child(parent: Node | None, name: str, attrs: str) -> Node:
     p = parent
     inside = p is not None and p.article
     bad, frame = p is not None and p.bad, p is not None and p.frame
-    good, hidden = name in ("article", "main"), False
+    good, hidden, marked = name in ("article", "main"), p is not None and p.hidden, name in BAD_TAGS
     if attrs:
         tokens: set[str] = set()
         for m in _ATTR.finditer(attrs):
@@ -113,17 +116,20 @@ def _child(parent: Node | None, name: str, attrs: str) -> Node:
             elif key in ("class", "id", "role"):
                 tokens.update(w.lower() for w in _WORDS.findall(value))
         own = tokens & GOOD
-        bad = bad or bool(tokens & BAD) and name not in ("body", "html")
+        marked = marked or bool(tokens & BAD) and name not in ("body", "html")
         frame = frame or bool(tokens & FRAME) and not own and not inside
         good = good or bool(own) and not tokens & BAD and not tokens & FRAME
-    bad = bad or name in BAD_TAGS or hidden
+    bad = bad or marked or hidden
     frame = frame or name == "header" and not inside
-    return Node(name, p, p.depth + 1 if p else 0, (p is not None and p.skipped) or name in SKIPPED, inside or good, bad, frame, name in ("h1", "h2", "h3", "h4", "h5", "h6") or (p is not None and p.heading and name not in BLOCK))
+    node = Node(name, p, p.depth + 1 if p else 0, (p is not None and p.skipped) or name in SKIPPED, inside or good, bad, frame, name in ("h1", "h2", "h3", "h4", "h5", "h6") or (p is not None and p.heading and name not in BLOCK), p.mark if p else None, hidden)
+    if marked:
+        node.mark = node
+    return node
 
 
 def blocks(html: str) -> list[Block]:
     """Text blocks in page order."""
-    root = Node("#root", None, 0, False, False, False, False, False)
+    root = Node("#root", None, 0, False, False, False, False, False, None, False)
     stack, count, out = [root], {}, []
     parts: list[str] = []
     owner, links, linked = root, 0, 0
@@ -249,6 +255,61 @@ START, PER_WORD, MOST_WORDS, ENDS, LINKS, ARTICLE, AGAINST, FRAMED, HEADING, RIG
 SMOOTH, PARENT = 0.5, 0.35
 
 
+#: A marked element is a wrapper of the content if it holds over this share of the words in sentences, and the text without a mark less than that share of its own.
+MOST, REST = 0.5, 0.25
+
+
+def settle_marks(found: list[Block]) -> None:
+    """Takes back marks of elements that wrap the content; what they hold is judged by its own features and other marks.
+
+    These are elements of a marked class, or forms, around the page's only
+    ``main`` or, without one, its only ``article`` that has no mark itself; and
+    marked elements that hold most of the page's sentences where little text has
+    no mark.  Outer elements come first.
+    """
+    if not any(b.node.mark for b in found):
+        return
+    words: dict[int, int] = {}
+    nodes: dict[int, Node] = {}
+    marks: dict[int, Node] = {}
+    for b in found:
+        x = b.node
+        while x is not None and id(x) not in nodes:
+            nodes[id(x)] = x
+            if x.mark is x:
+                marks[id(x)] = x
+            x = x.parent
+        if _SENTENCE.search(b.text) and not b.node.hidden:
+            words[id(b.node.mark)] = words.get(id(b.node.mark), 0) + b.text.count(" ") + 1
+    total, bare = sum(words.values()), words.get(id(None), 0)
+    ordered = sorted(marks.values(), key=lambda x: x.depth)
+    own = dict(words)
+    for x in reversed(ordered):  # with what lies in marked elements inside
+        up = x.parent.mark
+        if up is not None:
+            words[id(up)] = words.get(id(up), 0) + words.get(id(x), 0)
+    taken: set[int] = set()
+    for name in ("main", "article"):
+        core = [x for x in nodes.values() if x.name == name and not x.hidden and x.mark is not x]
+        if core:
+            x = core[0].mark if len(core) == 1 else None
+            while x is not None:
+                if x.name not in BAD_TAGS or x.name == "form":
+                    taken.add(id(x))
+                x = x.parent.mark
+            break
+    still: dict[int, bool] = {id(None): False}
+    for x in ordered:
+        around, holds = still[id(x.parent.mark)], words.get(id(x), 0)
+        if not around and (id(x) in taken or holds > MOST * total and bare < REST * holds):
+            bare += own.get(id(x), 0)
+            still[id(x)] = False
+        else:
+            still[id(x)] = True
+    for x in nodes.values():
+        x.bad = x.hidden or still[id(x.mark)]
+
+
 def score(b: Block, has_article: bool) -> float:
     """Cost of calling the block boilerplate, less that of calling it content."""
     node, words = b.node, b.text.count(" ") + 1
@@ -395,6 +456,7 @@ def main_text(html: str | None) -> str:
     found = blocks(html) if html else []
     if not found:
         return ""
+    settle_marks(found)
     has = any(b.node.article and not b.node.bad for b in found)
     keep = min_cut([score(b, has) for b in found], edges(found))
     return "\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
