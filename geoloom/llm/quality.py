@@ -1,29 +1,35 @@
 """Quality rules by weak supervision (operator 4), in DataFrame functions only.
 
 Each rule looks at one measured feature of a document and votes good, bad or
-abstains.  The votes of all documents are counted by pattern; expectation
-maximisation over the pattern counts estimates the prior share of good
-documents and the accuracy of each rule; the posterior probability of "good"
-given a document's pattern decides, instead of asking that every rule pass.
-The table of patterns has at most 3 ** rules rows (19,683 for nine rules)
-whatever the size of the corpus; only sums over it come to the driver.
+abstains.  The votes of the documents that pass the base rules are counted by
+pattern, as the verdict is about those alone.  Expectation maximisation over the
+counts estimates a mixture: one class of good documents and one class for each
+family of junk (odd characters, repetition, no language), with the share of each
+class and the rate at which each rule votes bad there.  The posterior probability
+of "good" given a document's pattern decides, instead of asking that every rule
+pass.  Starting values weigh as a share of the documents (``START_SHARE``), so the
+result doesn't depend on the size of a table.  The table of patterns has at most
+3 ** rules rows (19,683 for nine rules) whatever the size of the corpus; it comes
+to the driver once, and all rounds run over it there.
 
 Defined results: a null text has no word (kept is false); empty texts likewise;
 very long texts are measured whole; repeated rows are measured and counted each;
-extra columns are ignored; an empty table yields an empty table.
+a posterior of just ``keep`` keeps; extra columns pass through, but for those
+named ``_q``, ``_votes``, ``p_good``, ``base_failed`` and ``kept``, which are
+replaced; an empty table yields an empty table.
 
 Repeated three-word windows are compared by 64-bit hashes of their words.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, SPACES, stored, text_of
+from .common import SPACE_RUN, SPACES, fresh, stored, text_of
 
 #: Fixed values of the base rules.
 MIN_WORDS, REPEAT_PERCENT = 50, 50
@@ -46,7 +52,8 @@ def words(text: Column) -> Column:
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of ``docs`` (the text without null) and the features, in fields of the column ``_q``."""
     docs = docs.drop("_q")
-    a = docs.select(F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text]).alias("_row"), text_of(text).alias("_t"))
+    (none,) = fresh(docs, "_")
+    a = docs.select(F.struct(F.lit(0).alias(none), *[c for c in docs.columns if c != text]).alias("_row"), text_of(text).alias("_t"))
     # one pass leaves the few characters that are counted
     a = a.withColumns({"_w": words(F.col("_t")), "_lines": F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != ""), "_odd": F.regexp_replace("_t", r"[^\p{Lu}0-9!?#*$%&|<>]+", "")})
     a = a.withColumns({"_n": F.size("_w"), "_wh": F.transform("_w", lambda x: F.xxhash64(x)), "_chars": F.length(F.array_join("_w", ""))})
@@ -78,7 +85,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         counted("0-9").alias("n_digits"),
         counted("!?").alias("n_shouts"),
     )
-    return a.select("_row.*", F.col("_t").alias(text), q.alias("_q")).drop("_")
+    return a.select("_row.*", F.col("_t").alias(text), q.alias("_q")).drop(none)
 
 
 @dataclass(frozen=True)
@@ -126,63 +133,72 @@ def with_votes(features: DataFrame, rules=RULES) -> DataFrame:
     return features.withColumn("_votes", F.array(*[vote(r, v[r.name]) for r in rules]))
 
 
+#: Families of junk, by the rules that see it: each is a class of the mixture.
+FAMILIES = (("symbol_ratio", "upper_ratio", "shout_ratio", "digit_ratio"), ("dup_line_ratio", "repeat_ratio", "distinct_ratio"), ("word_length", "function_words"))
+#: Starting values: share of good documents; how often a rule votes bad on good documents, on its own family of junk, and on another; what they weigh, as a share of the documents.
+GOOD_SHARE, ON_GOOD, ON_OWN, ON_OTHER, START_SHARE = 0.85, 0.003, 0.6, 0.2, 0.01
+#: The limits are set so that a rule votes bad on at most this share of good documents; which class is the good one rests on it.
+FALSE_ALARM = 0.003
+
+
 @dataclass(frozen=True)
 class Model:
-    """Share of good documents; for each rule, where it votes, the share of right votes on good and on bad documents."""
+    """Share of each class, the good one first; for each class and rule, the share of bad votes among its votes."""
 
-    prior: float
-    on_good: tuple[float, ...]
-    on_bad: tuple[float, ...]
+    shares: tuple[float, ...]
+    bad: tuple[tuple[float, ...], ...]
 
 
 def posterior(votes: Column, model: Model) -> Column:
-    """Probability of good: the prior's log odds and those of each vote; an abstention tells nothing."""
-    # the weights go in as array constants: the generated code stays the same from round to round
-    both = list(zip(model.on_good, model.on_bad, strict=True))
-    up = F.lit([math.log(g / (1 - b)) for g, b in both])
-    down = F.lit([math.log((1 - g) / b) for g, b in both])
-    share = F.get(F.lit([math.log(model.prior / (1 - model.prior))]), F.lit(0))
-    odds = F.aggregate(F.transform(votes, lambda v, j: F.when(v == 1, F.get(up, j)).when(v == -1, F.get(down, j)).otherwise(0.0)), share, lambda t, x: t + x)
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
-
-
-def fit(voted: DataFrame, rules=RULES, rounds: int = 12, on_good: float = 0.97, on_bad: float = 0.4, edge: float = 0.001) -> Model:
-    """Expectation maximisation over the counts of vote patterns of all documents.
-
-    A rule may miss most bad documents, as each kind of junk trips its own rule,
-    so the accuracies on good and on bad documents are told apart.  Every rule
-    stays better than chance (their sum is above 1), which fixes the meaning of
-    the two classes.  Each round is one sum over the table of patterns.
+    """Probability of the good class; an abstention tells nothing."""
+
+    def score(share: float, bad: tuple[float, ...]) -> Column:
+        down, up = F.lit(np.log(bad).tolist()), F.lit(np.log1p(-np.array(bad)).tolist())
+        each = F.transform(votes, lambda v, j: F.when(v == 1, F.get(up, j)).when(v == -1, F.get(down, j)).otherwise(0.0))
+        return F.aggregate(each, F.lit(float(np.log(share))), lambda t, x: t + x)
+
+    good, *junk = [score(*x) for x in zip(model.shares, model.bad, strict=True)]
+    return F.lit(1.0) / (F.lit(1.0) + sum((F.exp(x - good) for x in junk), F.lit(0.0)))
+
+
+def fit(voted: DataFrame, rules=RULES, families=FAMILIES, rounds: int = 60, edge: float = 0.001) -> Model:
+    """Expectation maximisation over the counts of vote patterns of all rows.
+
+    In every junk class each rule votes bad more often than on good documents,
+    which fixes the meaning of the classes.
     """
-    patterns = stored(voted.groupBy("_votes").agg(F.count(F.lit(1)).alias("n")), "votes")
-    model = Model(0.85, (on_good,) * len(rules), (on_bad,) * len(rules))
-    held = lambda x: min(1 - edge, max(edge, x))
-    for _ in range(rounds):
-        p = patterns.withColumn("p", posterior(F.col("_votes"), model))
-        cells = [F.sum("n").alias("n"), F.sum(F.col("n") * F.col("p")).alias("good")]
-        for j in range(len(rules)):
-            v = F.get(F.col("_votes"), F.lit(j))
-            for side, w in (("g", F.col("p")), ("b", 1 - F.col("p"))):
-                cells += [F.sum(F.when(v == k, F.col("n") * w).otherwise(0.0)).alias(f"{side}{'u' if k > 0 else 'd'}{j}") for k in (1, -1)]
-        s = p.agg(*cells).first()
-        if not s["n"]:
-            break
-        # a few counts from the starting values are added, so that no share rests on nothing
-        good = [held((s[f"gu{j}"] + 10 * on_good) / (s[f"gu{j}"] + s[f"gd{j}"] + 10)) for j in range(len(rules))]
-        bad = [held((s[f"bd{j}"] + 10 * on_bad) / (s[f"bu{j}"] + s[f"bd{j}"] + 10)) for j in range(len(rules))]
-        bad = [max(b, 1 - g + edge) for g, b in zip(good, bad, strict=True)]
-        model = Model((s["good"] + 1) / (s["n"] + 2), tuple(good), tuple(bad))
-    return model
+    rows = voted.groupBy("_votes").agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = sorted((tuple(r["_votes"]), r["n"]) for r in rows)
+    start = np.array([[ON_GOOD] * len(rules), *[[ON_OWN if r.name in f else ON_OTHER for r in rules] for f in families]])
+    first = np.array([GOOD_SHARE, *[(1 - GOOD_SHARE) / len(families)] * len(families)])
+    shares, bad = first, start
+    if rows:
+        votes, n = np.array([v for v, _ in rows]), np.array([float(k) for _, k in rows])
+        down, cast = (votes == -1).astype(float), (votes != 0).astype(float)
+        weight = START_SHARE * n.sum() * first
+        for _ in range(rounds):
+            s = np.log(shares) + down @ np.log(bad).T + (cast - down) @ np.log1p(-bad).T
+            p = np.exp(s - s.max(axis=1, keepdims=True))
+            mass = (n[:, None] * p / p.sum(axis=1, keepdims=True)).T
+            shares = (mass.sum(axis=1) + weight) / (n.sum() + weight.sum())
+            bad = np.clip((mass @ down + weight[:, None] * start) / (mass @ cast + weight[:, None]), edge, 1 - edge)
+            bad[0] = np.minimum(bad[0], FALSE_ALARM)
+            bad[1:] = np.maximum(bad[1:], bad[0] + edge)
+    return Model(tuple(shares.tolist()), tuple(map(tuple, bad.tolist())))
+
+
+def base_failed() -> Column:
+    """What the fixed rules reject."""
+    return (F.col("_q.n_words") < MIN_WORDS) | (100 * F.col("_q.n_repeat_words") > REPEAT_PERCENT * F.col("_q.n_words"))
 
 
 def judged(docs: DataFrame, text: str = "text", rules=RULES, keep: float = 0.5) -> DataFrame:
-    """``docs`` with features, votes, ``p_good``, ``base_failed`` and ``kept``."""
-    voted = with_votes(measured(docs, text), rules)
+    """``docs`` without the text, with features, votes, ``p_good``, ``base_failed`` and ``kept``."""
+    voted = with_votes(measured(docs.drop("_votes", "p_good", "base_failed", "kept"), text), rules)
     # the votes of a document are needed twice: measure once, keep what is small
-    slim = stored(voted.drop(text), "quality")
-    model = fit(slim, rules)
-    failed = (F.col("_q.n_words") < MIN_WORDS) | (100 * F.col("_q.n_repeat_words") > REPEAT_PERCENT * F.col("_q.n_words"))
-    out = slim.withColumn("base_failed", failed).withColumn("p_good", posterior(F.col("_votes"), model))
+    slim = stored(voted.drop(text), "quality").withColumn("base_failed", base_failed())
+    model = fit(slim.where(~F.col("base_failed")), rules)
+    out = slim.withColumn("p_good", posterior(F.col("_votes"), model))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= keep))
 
 
