@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) ->
     for _ in range(most):
         if not seen[0]:
             break
-        now = stored(_small_star(_large_star(now)), "edges")
+        before, now = now, stored(_small_star(_large_star(now)), "edges")
+        discard(before)
         again = mark(now)
         if again == seen:
             break

@@ -1,22 +1,28 @@
 """WARC archives (operator 8): a deterministic sharded writer, and a reader.
 
-Records are range-sorted by page, so neighbouring pages lie in the same file and
-a rerun on the same table and settings writes the same bytes.  Each task writes
-its range as gzip members, one for each record, and rolls to a new file when the
-compressed size reaches ``roll_bytes``.  Headers, record ids and digests are made
-anew from the payload.  A task writes under temporary names that hold its
-attempt; only the names that successful tasks report are moved to their final
-names, and the manifest is written last, so a lost executor or a second attempt
-leaves nothing that a reader would see.
+Records are range-sorted by page, so neighbouring pages lie in the same file.
+The bounds of the ranges (shards) are quantiles of the rows with the least hashes,
+and their number follows from the bytes of the table: both depend on the rows
+alone, so the same rows give the same files, byte for byte, however they are
+dealt and whatever the session's settings are.  A task writes a shard as gzip
+members, one for each record, and rolls to a new file when the compressed size
+reaches ``roll_bytes``.  Headers, record ids and digests are made anew from the
+payload.  A task writes under temporary names that hold its attempt; only the
+names that successful tasks report are moved to their final names, by tasks too,
+and the manifest is written last, so a lost executor or a second attempt leaves
+nothing that a reader would see.
 
 Of records with equal payloads of at least ``least_bytes`` bytes, that with the
 largest page_id is a response, the others are revisits that refer to it.
 
 Defined results: a null html is an empty payload; rows that repeat the largest
 page_id of a payload are all responses; a null page_id is a revisit wherever its
-payload has a page_id, else a response; a null url leaves out the target; extra
-columns are ignored; an empty table gives an empty archive with a manifest.
-Memory: one record at a time, whatever the size of a file.
+payload has a page_id, else a response; a null url leaves out the target; ties in
+page_id are ordered by url, then payload, and rows that agree in all are the same
+record, written again; a very long payload is one record, which a task holds;
+extra columns, whatever their names, are ignored; an empty table gives an empty
+archive with a manifest.  Memory: one record at a time, whatever the size of a
+file or shard.
 """
 
 from __future__ import annotations
@@ -26,17 +32,21 @@ import hashlib
 import json
 import uuid
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, small_batches, stored
+from .common import discard, remember, shared_dir, small_batches, store_of, stored
 
 ROLL_BYTES, LEAST_BYTES = 256 << 20, 0
+#: Payload of a shard, as long as that makes at most so many shards; rows for each shard that place its bounds.
+SHARD_BYTES, MOST_SHARDS, PLACING = 32 << 20, 20_000, 32
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "MANIFEST.json"
@@ -73,18 +83,21 @@ def member(data: bytes) -> bytes:
 
 def _writer(uri: str, roll_bytes: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        store, path = fs.FileSystem.from_uri(uri)
-        part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
-        files, out, size, n = [], None, 0, 0
+        store, path = store_of(uri)
+        attempt, files, out, size, n, now, k = uuid.uuid4().hex, [], None, 0, 0, None, 0
 
         def close() -> None:
-            out.close()
-            files.append((f"_temporary/{attempt}-{len(files)}", f"part-{part:05d}-{len(files):05d}.warc.gz", n, size))
+            nonlocal out, k
+            if out is not None:
+                out.close()
+                files.append((f"_temporary/{attempt}-{len(files)}", f"part-{now:05d}-{k:05d}.warc.gz", n, size))
+                out, k = None, k + 1
 
         for pdf in batches:
-            for page, url, html, refers in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["refers_to"], strict=True):
+            for shard, page, url, html, refers in zip(pdf["shard"], pdf["page_id"], pdf["url"], pdf["html"], pdf["refers_to"], strict=True):
+                if shard != now:
+                    close()
+                    now, k = shard, 0
                 page, refers = None if pd.isna(page) else int(page), None if pd.isna(refers) else int(refers)
                 data = member(record(page, url, (html or "").encode("utf-8", "surrogatepass"), refers, refers is not None))
                 if out is None:
@@ -93,41 +106,91 @@ def _writer(uri: str, roll_bytes: int):
                 size, n = size + len(data), n + 1
                 if size >= roll_bytes:
                     close()
-                    out = None
-        if out is not None:
-            close()
+        close()
         if files:
             yield pd.DataFrame(files, columns=["temp", "file", "records", "bytes"])
 
     return run
 
 
-def with_references(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """Rows (page_id, url, html, refers_to)."""
+def _mover(uri: str):
+    """Gives files their final names; a second attempt finds some of them moved."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, path = store_of(uri)
+        for pdf in batches:
+            for temp, file in zip(pdf["temp"], pdf["file"], strict=True):
+                try:
+                    store.move(f"{path}/{temp}", f"{path}/{file}")
+                except OSError:
+                    if store.get_file_info(f"{path}/{file}").type != fs.FileType.File:
+                        raise
+            yield pdf[["file"]]
+
+    return run
+
+
+def with_references(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Rows (page_id, url, html, refers_to, tie), and a stored table of the same rows (page_id, tie, bytes)."""
     html = F.coalesce("html", F.lit(""))
-    p = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("_d"), F.octet_length(html).alias("_n"))
-    again = p.where(F.col("_n") >= least_bytes).groupBy("_d").agg(F.max("page_id").alias("_last"), F.count(F.lit(1)).alias("_rows"))
+    p = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("_d"), F.octet_length(html).alias("_n")).withColumn("tie", F.xxhash64("url", "_d"))
+    slim = stored(p.select("page_id", "tie", "_d", F.col("_n").cast("long").alias("bytes")), "payloads")
+    again = slim.where(F.col("bytes") >= least_bytes).groupBy("_d").agg(F.max("page_id").alias("_last"), F.count(F.lit(1)).alias("_rows"))
     # written first: where few payloads repeat, its size on disk lets the join send it to the pages, which then aren't shuffled
     again = stored(again.where((F.col("_rows") > 1) & F.col("_last").isNotNull()).select("_d", "_last"), "repeated-payloads")
     other = F.when(F.coalesce(F.col("page_id") < F.col("_last"), F.col("_last").isNotNull()), F.col("_last"))
-    return p.join(again, "_d", "left").select("page_id", "url", "html", other.alias("refers_to"))
+    return p.join(again, "_d", "left").select("page_id", "url", "html", other.alias("refers_to"), "tie"), slim
+
+
+#: Pages without an id come first.
+_FIRST = -(1 << 63)
+
+
+def sharding(slim: DataFrame, shard_bytes: int = SHARD_BYTES) -> Column:
+    """Number of the shard of a row (page_id, tie); of ``slim`` a bounded number of rows places the bounds, the same for the same rows."""
+    n, size = slim.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    shards = min(-(-(size or 0) // shard_bytes) or 1, MOST_SHARDS)
+    page = F.coalesce("page_id", F.lit(_FIRST))
+    chance = min(1.0, PLACING * shards / max(n, 1))
+    chosen = slim.where(F.shiftrightunsigned(F.xxhash64(F.lit(8), page, "tie"), 11) < F.lit(int(chance * 2**53)))
+    keys = sorted((r["page"], r["tie"], r["n"]) for r in chosen.groupBy(page.alias("page"), "tie").agg(F.count(F.lit(1)).alias("n")).collect()) if shards > 1 else []
+    upto = np.cumsum([k[2] for k in keys])
+    at = np.unique(np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards)) if keys else np.empty(0, np.int64)
+    bounds = np.array([keys[i][:2] for i in at], np.int64).reshape(-1, 2)
+    places = [tuple(x) for x in bounds.tolist()]
+
+    @F.pandas_udf("int")
+    def shard(page: pd.Series, tie: pd.Series) -> pd.Series:
+        p, t = page.to_numpy(np.int64), tie.to_numpy(np.int64)
+        out = np.searchsorted(bounds[:, 0], p)
+        for i in np.flatnonzero(np.searchsorted(bounds[:, 0], p, side="right") > out):  # on a bound's page the tie decides
+            out[i] = bisect_left(places, (p[i], t[i]))
+        return pd.Series(out.astype(np.int32))
+
+    return shard(page, F.col("tie"))
 
 
-def write(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, least_bytes: int = LEAST_BYTES) -> list[dict]:
+def write(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, least_bytes: int = LEAST_BYTES, shard_bytes: int = SHARD_BYTES) -> list[dict]:
     """Writes the archive to a folder that executors reach; returns the manifest's entries, one for each file."""
-    small_batches(pages.sparkSession)
-    store, path = fs.FileSystem.from_uri(uri)
+    spark = pages.sparkSession
+    small_batches(spark)
+    store, path = store_of(uri)
     store.create_dir(f"{path}/_temporary", recursive=True)
-    dealt = with_references(pages, least_bytes).repartitionByRange("page_id").sortWithinPartitions("page_id", "url")
-    done = dealt.mapInPandas(_writer(uri, roll_bytes), "temp string, file string, records long, bytes long").collect()
-    entries = []
-    for r in sorted(done, key=lambda r: r["file"]):
-        store.move(f"{path}/{r['temp']}", f"{path}/{r['file']}")
-        entries.append({"file": r["file"], "records": r["records"], "bytes": r["bytes"]})
+    rows, slim = with_references(pages, least_bytes)
+    dealt = rows.withColumn("shard", sharding(slim, shard_bytes)).repartition("shard").sortWithinPartitions("shard", "page_id", "url", "tie", "refers_to")
+    done = dealt.select("shard", "page_id", "url", "html", "refers_to").mapInPandas(_writer(uri, roll_bytes), "temp string, file string, records long, bytes long")
+    done = sorted(done.collect(), key=lambda r: r["file"])
+    if done:
+        names = spark.createDataFrame([(r["temp"], r["file"]) for r in done], "temp string, file string").repartition(max(1, min(len(done) // 64, 1000)))
+        moved = names.mapInPandas(_mover(uri), "file string").count()
+        if moved != len(done):
+            raise RuntimeError(f"{len(done)} files were written, {moved} moved")
+    entries = [{"file": r["file"], "records": r["records"], "bytes": r["bytes"]} for r in done]
     store.delete_dir(f"{path}/_temporary")
     with store.open_output_stream(f"{path}/{MANIFEST}.new") as f:
         f.write(json.dumps({"files": entries}, indent=1).encode())
     store.move(f"{path}/{MANIFEST}.new", f"{path}/{MANIFEST}")
+    discard(slim)
     return entries
 
 
@@ -154,7 +217,7 @@ READ = "page_id long, url string, payload_bytes long, payload_digest string, rec
 
 def _reader(uri: str, payload: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, path = fs.FileSystem.from_uri(uri)
+        store, path = store_of(uri)
         for pdf in batches:
             for name in pdf["file"]:
                 rows = []
@@ -184,7 +247,7 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 def read(spark: SparkSession, uri: str, payload: bool = True) -> DataFrame:
     """Records of the files that the manifest names; ``html`` is null for revisits, or without ``payload``."""
-    store, path = fs.FileSystem.from_uri(uri)
+    store, path = store_of(uri)
     with store.open_input_stream(f"{path}/{MANIFEST}") as f:
         files = [(x["file"],) for x in json.loads(f.read())["files"]]
     names = spark.createDataFrame(files, "file string").repartition(max(1, min(len(files), 10_000)))
@@ -193,7 +256,7 @@ def read(spark: SparkSession, uri: str, payload: bool = True) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
-    uri = uri if "://" in uri or uri.startswith("file:") else f"file://{uri}"
+    remember(spark, uri)
     write(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), uri)
     return read(spark, uri, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
