@@ -1,29 +1,40 @@
 """Main text of web pages by minimum-cut labelling (operator 10).
 
 A page is read into text blocks (runs of text between block-level tags) with
-their place in the element tree.  A linear classifier turns each block's features
-(words, links, sentence ends, the elements, classes and roles around it) into a
-cost: positive for content, negative for boilerplate.  The costs are the
-capacities from the source or to the sink of a graph whose other edges join
-neighbouring blocks and blocks of the same parent, the stronger the more of the
-tree they share.  The minimum cut, found by maximum flow, labels all blocks at
-once.  Blocks whose own capacity exceeds all their edges are settled first, which
-doesn't change the cut.
+their place in the element tree.  A logistic classifier over what a block's text
+looks like (words, sentence end, links, heading, rights) gives log odds of
+content; what the elements, classes and roles around it say is added.  These are
+the capacities from the source or to the sink of a graph whose other edges join
+neighbouring blocks and blocks of the same parent.  An edge is the log odds that
+two such blocks have one label, by how much of the tree they share, and so
+comparable with the blocks' own.  The minimum cut, found by maximum flow, labels
+all blocks at once: a short line among paragraphs is content, a sentence among
+links isn't.  Blocks whose own capacity exceeds all their edges are settled
+first, which doesn't change the cut.
+
+Classifier and edges are fitted on weak labels from the markup (inside an article
+without a mark: content; marked, framed or outside of the page's article: not) of
+a bounded sample, ``FIT_PAGES`` pages in the mean, those with the least hashes;
+they are drawn to hand-set starting weights, which alone hold without a sample.
 
 Defined results: a null or empty html gives the empty text; markup that is cut
-off or never closed ends with the page; repeated rows each come back; very long
-pages are read in full, in time about proportional to their length; extra
-columns are ignored.
+off or never closed ends with the page; repeated rows each come back; where both
+sides of a cut cost the same, a block is not content; very long pages are read in
+full, in time about proportional to their length; extra columns pass through
+(one named ``text`` is replaced); an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import html as _html
+import math
 import re
-from collections import deque
+from bisect import bisect_right
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -250,9 +261,26 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-#: Weights of the classifier.
-START, PER_WORD, MOST_WORDS, ENDS, LINKS, ARTICLE, AGAINST, FRAMED, HEADING, RIGHTS = -1.2, 0.09, 30, 0.8, -4.0, 4.0, -10.0, -6.0, 0.8, -3.0
-SMOOTH, PARENT = 0.5, 0.35
+#: What the markup around a block adds: inside an article, outside of the page's article, marked, framed.
+ARTICLE, OUTSIDE, AGAINST, FRAMED = 4.0, -4.0, -10.0, -6.0
+#: Least words of each class of length.
+WORD_CLASSES = (1, 3, 6, 12, 24, 48)
+#: Starting weights: constant, classes of length, sentence end, some and mostly links, heading, a note of rights.
+START = (-1.2, 0.1, 0.3, 0.7, 1.5, 2.4, 2.7, 0.8, -1.0, -4.0, 0.8, -3.0)
+#: Starting edges: the same parent, much of the tree in common, little.
+START_EDGES = (1.2, 0.8, 0.3)
+#: Share of the places' depth from which much is in common; part of an edge's weight between blocks of different marks, and between those of one parent that aren't neighbours; the most an edge weighs.
+MUCH, UNLIKE, APART, MOST_EDGE = 0.6, 0.1, 0.5, 2.0
+#: Pages of the sample that is fitted, in the mean; blocks that its evidence counts as beside the starting weights.
+FIT_PAGES, EVIDENCE = 4096, 400.0
+
+
+@dataclass(frozen=True)
+class Weights:
+    """Log odds: of the text classifier's columns, and of the edges by relation."""
+
+    text: tuple[float, ...] = START
+    edges: tuple[float, ...] = START_EDGES
 
 
 #: A marked element is a wrapper of the content if it holds over this share of the words in sentences, and the text without a mark less than that share of its own.
@@ -310,25 +338,37 @@ def settle_marks(found: list[Block]) -> None:
         x.bad = x.hidden or still[id(x.mark)]
 
 
-def score(b: Block, has_article: bool) -> float:
-    """Cost of calling the block boilerplate, less that of calling it content."""
-    node, words = b.node, b.text.count(" ") + 1
-    s = START + PER_WORD * min(words, MOST_WORDS) + LINKS * min(1.0, b.linked / len(b.text)) * (0.25 if node.article and words > 3 else 1.0)
+def looks(b: Block) -> tuple[int, ...]:
+    """The classifier's columns that a block's text sets; the constant is 0."""
+    words = b.text.count(" ") + 1
+    linked = b.linked / len(b.text)
+    out = [0, bisect_right(WORD_CLASSES, words)]
     if _SENTENCE.search(b.text):
-        s += ENDS
-    if node.article:
-        s += ARTICLE
-    elif has_article:
-        s -= ARTICLE
-    if node.heading:
-        s += HEADING
-    if node.bad:
-        s += AGAINST
-    if node.frame:
-        s += FRAMED
-    if not node.article and words < 40 and _RIGHTS.search(b.text):
-        s += RIGHTS
-    return s
+        out.append(7)
+    if linked > 0:
+        out.append(9 if linked > 0.5 else 8)
+    if b.node.heading:
+        out.append(10)
+    if words < 40 and _RIGHTS.search(b.text):
+        out.append(11)
+    return tuple(out)
+
+
+def markup(b: Block, has_article: bool) -> float:
+    """What the elements around a block say."""
+    node = b.node
+    return (ARTICLE if node.article else OUTSIDE if has_article else 0.0) + AGAINST * node.bad + FRAMED * node.frame
+
+
+def score(b: Block, has_article: bool, weights: Weights = Weights()) -> float:  # noqa: B008
+    """Log odds of content: capacity from the source, or to the sink if negative."""
+    return sum(weights.text[k] for k in looks(b)) + markup(b, has_article)
+
+
+def weak_label(b: Block, has_article: bool) -> int | None:
+    """By the markup alone; none where it says nothing."""
+    m = markup(b, has_article)
+    return None if not m else int(m > 0)
 
 
 def _shared(a: Node, b: Node) -> float:
@@ -346,16 +386,26 @@ def _shared(a: Node, b: Node) -> float:
     return (2.0 * x.depth + 1) / (da + db + 1)
 
 
-def edges(found: list[Block]) -> list[tuple[int, int, float]]:
-    """Smoothness: neighbours, and the previous block of the same parent."""
+def relation(a: Node, b: Node) -> int:
+    """Class of an edge by what of the tree its ends share."""
+    return 0 if a.parent is b.parent else 1 if _shared(a, b) >= MUCH else 2
+
+
+def edges(found: list[Block], weights: Weights = Weights()) -> list[tuple[int, int, float]]:  # noqa: B008
+    """Smoothness: neighbours, weak where marks differ, and the previous block of the same parent with the same marks."""
     out, last = [], {}
+
+    def add(i: int, j: int, w: float) -> None:
+        a, b = found[i].node, found[j].node
+        out.append((i, j, w if (a.bad, a.frame, a.article) == (b.bad, b.frame, b.article) else UNLIKE * w))
+
     for i, b in enumerate(found):
         if i:
-            out.append((i - 1, i, SMOOTH * _shared(found[i - 1].node, b.node)))
-        key = id(b.node.parent) if b.node.parent is not None else 0
+            add(i - 1, i, weights.edges[relation(found[i - 1].node, b.node)])
+        key = (id(b.node.parent), b.node.bad, b.node.frame, b.node.article)
         j = last.get(key)
         if j is not None and j != i - 1:
-            out.append((j, i, PARENT))
+            add(j, i, APART * weights.edges[0])
         last[key] = i
     return out
 
@@ -452,23 +502,90 @@ def _max_flow(s: list[float], smooth: list[tuple[int, int, float]]) -> list[bool
                 break
 
 
-def main_text(html: str | None) -> str:
+def labelled(html: str | None, weights: Weights = Weights()) -> tuple[list[Block], list[float], list[bool]]:  # noqa: B008
+    """A page's blocks, their own log odds, and the labels of the cut."""
     found = blocks(html) if html else []
     if not found:
-        return ""
+        return [], [], []
     settle_marks(found)
     has = any(b.node.article and not b.node.bad for b in found)
-    keep = min_cut([score(b, has) for b in found], edges(found))
+    own = [score(b, has, weights) for b in found]
+    return found, own, min_cut(own, edges(found, weights))
+
+
+def main_text(html: str | None, weights: Weights = Weights()) -> str:  # noqa: B008
+    found, _, keep = labelled(html, weights)
     return "\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 
-def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``pages`` with the html replaced by ``text``."""
+def _cells(column: str):
+    """Counts of (columns set, weak label) of blocks, and of (relation, same label) of neighbours."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+        for pdf in batches:
+            for x in pdf[column]:
+                found = blocks(x) if x else []
+                if not found:
+                    continue
+                settle_marks(found)
+                has = any(b.node.article and not b.node.bad for b in found)
+                labels = [weak_label(b, has) for b in found]
+                for i, (b, y) in enumerate(zip(found, labels, strict=True)):
+                    if y is not None:
+                        seen["block", looks(b), y] += 1
+                        if i and labels[i - 1] is not None:
+                            seen["edge", (relation(found[i - 1].node, b.node),), int(y == labels[i - 1])] += 1
+        if seen:
+            yield pd.DataFrame([(kind, list(cols), y, n) for (kind, cols, y), n in seen.items()], columns=["kind", "columns", "y", "n"])
+
+    return run
+
+
+def fit(pages: DataFrame, html: str = "html", pages_used: int = FIT_PAGES) -> Weights:
+    """Weights from a bounded sample; counts of a few hundred kinds of blocks reach the driver."""
+    small_batches(pages.sparkSession)
+    chance = min(1.0, pages_used / max(pages.count(), 1))
+    few = pages.select(html).where(F.shiftrightunsigned(F.xxhash64(F.lit(10), html), 11) <= F.lit(int(chance * 2**53)))
+    counted = few.mapInPandas(_cells(html), "kind string, columns array<int>, y int, n long").groupBy("kind", "columns", "y").agg(F.sum("n").alias("n"))
+    rows = sorted((r["kind"], tuple(r["columns"]), r["y"], r["n"]) for r in counted.collect())
+    return fitted([r[1:] for r in rows if r[0] == "block"], [r[1:] for r in rows if r[0] == "edge"])
+
+
+def fitted(seen: list[tuple], met: list[tuple], rounds: int = 25) -> Weights:
+    """Logistic regression drawn to the starting weights (Newton steps), and log odds of equal labels, from (columns, y, n)."""
+    start = np.array(START)
+    w = start.copy()
+    if seen:
+        x = np.zeros((len(seen), len(start)))
+        for i, (cols, _, _) in enumerate(seen):
+            x[i, list(cols)] = 1
+        y, n = np.array([float(r[1]) for r in seen]), np.array([float(r[2]) for r in seen])
+        n *= min(1.0, EVIDENCE / n.sum())
+        for _ in range(rounds):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + np.eye(len(w)), x.T @ (n * (y - p)) - (w - start))
+            w += step
+            if np.abs(step).max() < 1e-9:
+                break
+    total = sum(n for _, _, n in met)
+    both = []
+    for k, e in enumerate(START_EDGES):
+        same, other = (sum(n for (c,), y, n in met if c == k and y == v) * min(1.0, EVIDENCE / max(total, 1)) for v in (1, 0))
+        # starting counts have the starting edge as their log odds
+        odds = math.log((same + 4 * math.exp(e)) / (other + 4))
+        both.append(min(MOST_EDGE, max(0.0, odds)))
+    return Weights(tuple(w.tolist()), tuple(both))
+
+
+def extracted(pages: DataFrame, html: str = "html", weights: Weights | None = None) -> DataFrame:
+    """``pages`` with the html replaced by ``text``; without weights, those fitted on these pages."""
     small_batches(pages.sparkSession)
+    used = fit(pages, html) if weights is None else weights
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.drop(columns=[html]).assign(text=[main_text(x) for x in pdf[html]])
+            yield pdf.drop(columns=[html]).assign(text=[main_text(x, used) for x in pdf[html]])
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name not in (html, "text")]
     return pages.drop("text").mapInPandas(run, ", ".join([*kept, "text string"]))
