@@ -10,32 +10,41 @@ set aside without an alignment where no alignment could reach the score: it has
 at most two points for each word of the item that the text, or the passage, has.
 
 The pass is narrow: the documents aren't shuffled, and a filter needs no join.
-The items go to the tasks whole while they have at most ``block_chars``
-characters; beyond that they go block by block, each block of items against all
-documents.
+Tasks make the index of the items, in blocks of about ``block_chars`` characters,
+and write each to the shared folder; the tasks over the documents read them from
+there, one at a time, and keep the one that they use.  Beyond one block, texts of
+``MANY_CHARS`` characters together meet each block.  So neither the driver nor a
+plan holds an item, and a task holds one block, however large the test sets are.
 
 Words are compared in lower case without punctuation.  Defined results: null and
 empty texts or items match nothing; an item of fewer than four words matches
 where all of its words stand in order; repeated rows each count; very long texts
-are searched whole; extra columns are ignored; rows of the same doc_id and item
-come back once, with the best score.
+are searched whole; a score of just the limit counts, and of ties in a document
+the first passage; extra columns, whatever their names, are ignored or pass
+through; empty tables of documents or items give no match; rows of the same
+doc_id and item come back once, with the best score.
 """
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches
+from .common import remember, shared_dir, slices, small_batches, store_of
 
 SEED_WORDS, MATCH, MISS, GAP = 4, 2, -1, -1
 LEAST, LONG_RUN = 0.4, 40
 BLOCK_CHARS = 8_000_000
+#: Characters of documents that meet each block of items together, where there are several.
+MANY_CHARS = 1 << 24
 
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -188,59 +197,122 @@ def copies(h: np.ndarray, begins: np.ndarray, items: Items, least: float = LEAST
     return out
 
 
-def _items(benchmark: DataFrame, block_chars: int) -> Iterator[Items]:
-    """Blocks of items; the table's size is measured first."""
+def _indexer(uri: str):
+    """Writes the index of each block of items; a second attempt writes the same again."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, path = store_of(uri)
+        now, rows = None, []
+
+        def done() -> pd.DataFrame:
+            temp = f"{path}/_{now}-{uuid.uuid4().hex}"
+            with store.open_output_stream(temp) as f:
+                f.write(pickle.dumps(Items.of(rows)))
+            store.move(temp, f"{path}/{now}")
+            return pd.DataFrame({"block": [now]})
+
+        for pdf in batches:
+            for part, item, text in zip(pdf["part"].tolist(), pdf["item_id"].tolist(), pdf["text"], strict=True):
+                if part != now and rows:
+                    yield done()
+                    rows = []
+                now = part
+                rows.append((item, text))
+        if rows:
+            yield done()
+
+    return run
+
+
+@dataclass(frozen=True)
+class Index:
+    """Blocks of items in a folder that all executors reach."""
+
+    uri: str
+    blocks: tuple[int, ...]
+
+    def each(self) -> Iterator[Items]:
+        for k in self.blocks:
+            yield _block(self.uri, k)
+
+
+@lru_cache(maxsize=1)
+def _block(uri: str, k: int) -> Items:
+    store, path = store_of(uri)
+    with store.open_input_stream(f"{path}/{k}") as f:
+        return pickle.loads(f.read())
+
+
+def indexed(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Index:
+    """The index of the items, made by tasks; what reaches the driver is the number of characters and the names of the blocks."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    uri = f"{shared_dir(spark)}/geoloom-items-{uuid.uuid4().hex}"
+    store, path = store_of(uri)
+    store.create_dir(path, recursive=True)
+    remember(spark, uri)
     rows = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
     size = rows.agg(F.sum(F.length("text") + 1)).first()[0] or 0
-    blocks = -(-size // block_chars) or 1
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for k in range(blocks):
-        yield Items.of([(r[0], r[1]) for r in rows.where(part == k).orderBy("item_id", "text").collect()])
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(-(-size // block_chars) or 1))
+    dealt = rows.withColumn("part", part).repartition("part").sortWithinPartitions("part", "item_id", "text")
+    made = dealt.select("part", F.col("item_id").cast("long"), "text").mapInPandas(_indexer(uri), "block long").collect()
+    return Index(uri, tuple(sorted(r["block"] for r in made)))
+
+
+def _gathered(batches: Iterator[pd.DataFrame], text: str, most: int) -> Iterator[pd.DataFrame]:
+    """Batches of about ``most`` characters or more."""
+    held, size = [], 0
+    for pdf in batches:
+        held.append(pdf)
+        size += sum(len(x or "") for x in pdf[text]) if most else 0
+        if size >= most:
+            yield pd.concat(held, ignore_index=True) if len(held) > 1 else pdf
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _matches(index: Index, text: str, least: float):
+    """(batch, [(place of the text, Items, item, score)]) for batches of documents."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list]]:
+        for pdf in _gathered(batches, text, MANY_CHARS if len(index.blocks) > 1 else 0):
+            texts, found = [x or "" for x in pdf[text]], []
+            hashed = [(a, *word_hashes(texts[a:b])) for a, b in slices(texts)] if index.blocks else []
+            for items in index.each():
+                found += [(a + t, items, i, s) for a, h, begins in hashed for t, i, s in copies(h, begins, items, least)]
+            yield pdf, found
 
-def prepared(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[Items]:
-    """Blocks of items with their seeds."""
-    small_batches(docs.sparkSession)
-    return list(_items(benchmark, block_chars))
+    return run
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Rows (key, item_id, score, share): documents with copies of items; share is the score over the item's own."""
-    out = None
     schema = f"`{key}` {dict(docs.dtypes)[key]}, item_id long, score long, share double"
-    for items in prepared(docs, benchmark, block_chars):
-
-        def run(batches: Iterator[pd.DataFrame], items: Items = items) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                texts, keys, rows = [x or "" for x in pdf[text]], pdf[key].tolist(), []
-                for a, b in slices(texts):
-                    h, begins = word_hashes(texts[a:b])
-                    rows += [(keys[a + t], items.ids[i], s, s / (MATCH * len(items.words[i]))) for t, i, s in copies(h, begins, items, least)]
-                if rows:
-                    frame = pd.DataFrame(rows, columns=[key, "item_id", "score", "share"])
-                    yield frame.astype({key: "Int64"}) if pd.api.types.is_numeric_dtype(frame[key]) else frame
-
-        found = docs.select(key, text).mapInPandas(run, schema)
-        out = found if out is None else out.unionByName(found)
+    matches = _matches(indexed(docs, benchmark, block_chars), text, least)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, found in matches(batches):
+            if found:
+                keys = pdf[key].tolist()
+                frame = pd.DataFrame([(keys[t], items.ids[i], s, s / (MATCH * len(items.words[i]))) for t, items, i, s in found], columns=[key, "item_id", "score", "share"])
+                yield frame.astype({key: "Int64"}) if pd.api.types.is_numeric_dtype(frame[key]) else frame
+
+    out = docs.select(key, text).mapInPandas(run, schema)
     return out.groupBy(key, "item_id").agg(F.max("score").alias("score"), F.max("share").alias("share"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", least: float = LEAST, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows that hold a copy of an item; rows stay where they are."""
-    out = docs
-    for items in prepared(docs, benchmark, block_chars):
-
-        def run(batches: Iterator[pd.DataFrame], items: Items = items) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                texts, good = [x or "" for x in pdf[text]], np.ones(len(pdf), bool)
-                for a, b in slices(texts):
-                    h, begins = word_hashes(texts[a:b])
-                    for t, _, _ in copies(h, begins, items, least):
-                        good[a + t] = False
-                yield pdf[good]
-
-        out = out.mapInPandas(run, docs.schema)
-    return out
+    matches = _matches(indexed(docs, benchmark, block_chars), text, least)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, found in matches(batches):
+            good = np.ones(len(pdf), bool)
+            good[[t for t, *_ in found]] = False
+            yield pdf[good]
+
+    return docs.mapInPandas(run, docs.schema)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
