@@ -19,8 +19,9 @@ pair of blocks a group of its own, so no task holds an unbounded bucket.
 
 Defined results: null and empty texts have fingerprint zero and link like any
 other; a null doc_id is never a component's id unless it has no other; repeated
-rows each come back; extra columns are ignored; an empty table gives an empty
-table.
+rows each come back; very long texts are hashed whole, in runs of shingles; a bit
+set in just half the hashes is 0; extra columns, whatever their names, are
+ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_rows, fresh, small_batches, stored
+from .common import batch_rows, discard, fresh, small_batches, stored
 from .components import components
 from .minhash import near_copies
 
@@ -273,8 +274,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = WORDS, rad
     linked = joined.join(first, joined["node"] == first["fp"]).select("fp", "root", "id")
     least = linked.groupBy("root").agg(F.min("id").alias("component"))
     named = linked.join(least, "root").select("fp", "root", "component")
-    out = prints.join(first, "fp").join(named, "fp", "left")
-    return out.select(*prints.columns, F.coalesce("component", "id").alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    # written first, so that adaptive execution can split the join of a fingerprint that very many rows have
+    roots = stored(first.join(named, "fp", "left").select("fp", F.coalesce("component", "id").alias("component_id"), F.coalesce("root", "fp").alias("root")), "roots")
+    discard(first, edges)
+    return prints.join(roots, "fp").select(*prints.columns, "component_id", "root")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,4 +299,5 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     named = keyed.withColumn(at, F.struct(F.col("doc_id").isNull().alias("n"), "doc_id"))
     groups = near_copies(named.select(name, digest, at, "text"), (name, digest), (at,))
     keep = groups.groupBy("root").agg(F.min(F.struct(at, name, digest)).alias("r")).select(F.col("r")[name].alias(name), F.col("r")[digest].alias(digest)).distinct()
+    keep = stored(keep, "kept")
     return keyed.join(keep, [name, digest], "left_semi").dropDuplicates([name, digest]).select(*docs.columns)
