@@ -14,7 +14,8 @@ any order of the rows.
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 a null id is held out like the text '' (it isn't); without a training row every
 text is ``und``; repeated rows and very long texts count in full; extra columns
-are ignored; ties go to the language first in order.
+pass through, but for those with the names of results, which are replaced; ties
+go to the language first in order; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -17,7 +17,11 @@ is bounded by the number of such cells and not by the corpus.
 
 Defined results: a null text is empty and has no span; repeated rows and very
 long texts are searched in full; every search takes time in proportion to the
-text; extra columns are ignored; without candidates nothing is added.
+text; of candidates that begin at one place the longest counts, and none that
+overlaps a base span; a probability of just ``least`` accepts, but 0.5 itself
+doesn't; extra columns pass through, but for those with the names of results,
+which are replaced; an empty table gives an empty table, and without candidates
+nothing is added.
 """
 
 from __future__ import annotations
@@ -283,7 +287,7 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def found(docs: DataFrame, weights: np.ndarray, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with counts, base_sha256 and spans in place of columns of those names."""
+    """``docs`` without the text, with counts, base_sha256, spans and their number in place of columns of those names."""
     small_batches(docs.sparkSession)
     docs = docs.drop(*_OUT)
 
@@ -293,14 +297,14 @@ def found(docs: DataFrame, weights: np.ndarray, text: str = "text") -> DataFrame
             for x in pdf[text]:
                 base, more = all_spans(x or "", weights)
                 n = Counter(k for k, _, _ in base)
-                rows.append((*(n[k] for k in range(4)), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(base + more)))
+                rows.append((*(n[k] for k in range(4)), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(base + more), len(base) + len(more)))
             yield pd.concat([pdf.drop(columns=[text]).reset_index(drop=True), pd.DataFrame(rows, columns=_OUT)], axis=1)
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
-    return docs.mapInPandas(run, f"{kept}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return docs.mapInPandas(run, f"{kept}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
 
 
-_OUT = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+_OUT = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"]
 
 
 def redact(text: str, weights: np.ndarray) -> str:
