@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from geoloom.llm import chat, components, decontaminate, html, langid, pieces, pii, quality, queries, simhash, suffixes, warc
-from geoloom.llm.common import fresh, shared_dir, slices
+from geoloom.llm.common import fresh, shared_dir, slices, store_of, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -215,6 +215,35 @@ def test_chat_layouts(spark):
     assert got[-1]["layout"] == "unknown"
 
 
+def test_chat_heterogeneous_records(spark):
+    """JSON records and typed tables of every layout, with nulls and other names of roles, against plain Python."""
+    rng = random.Random(12)
+    some = lambda: rng.choice([None, "", "a <|im_end|> b", "line\nline", "<\\\\|x"])
+    records, want = [], {}
+    for i in range(120):
+        x = rng.choice([y for y in chat.LAYOUTS if not y.row])
+        if x.items:
+            top, role, text = x.items
+            turns = [(rng.choice(["user", "assistant", "HUMAN", "gpt", None]), some()) for _ in range(rng.randint(1, 4))]
+            turns[0] = ("user", "first")  # types of a list are told by its values
+            rec = {top: [{role: r, text: t} for r, t in turns]}
+            want[i] = [(x.roles.get((r or "").lower(), r or ""), t or "") for r, t in turns]
+        else:
+            rec = {f: some() for _, f in x.pairs}
+            want[i] = [(r, rec[f]) for r, f in x.pairs if rec[f] is not None]
+        records.append((i, json.dumps(rec), x.name))
+    df = spark.createDataFrame([r[:2] for r in records], "conv_id long, record string")
+    got = {r["conv_id"]: r for r in chat.record_turns(df).collect()}
+    assert all(got[i]["layout"] == name and [tuple(t) for t in got[i]["turns"]] == want[i] for i, _, name in records)
+    rows = spark.createDataFrame([(5, 1, "GPT", None, "x"), (5, 0, "human", "hi", "y")], "id long, index int, from string, value string, turn string")
+    assert sorted(map(tuple, chat.table_turns(rows).collect())) == [(5, 0, "user", "hi"), (5, 1, "assistant", "")]
+    typed = spark.createDataFrame([(7, [("user", "q"), (None, None)])], "conv_id long, messages array<struct<role: string, content: string>>")
+    assert sorted(map(tuple, chat.table_turns(typed).collect())) == [(7, 0, "user", "q"), (7, 1, "", "")]
+    with pytest.raises(ValueError, match="no layout"):
+        chat.table_turns(df.drop("record"))
+    assert chat.conversation_digests(rows.limit(0)).collect() == []
+
+
 # --- 4 ---
 
 
@@ -237,29 +266,49 @@ def test_quality_query(spark, sf_dir, docs):
 
 
 def test_quality_em_by_brute_force(spark, sf_dir):
-    """The fit in DataFrame functions against the same rounds in Python."""
-    voted = quality.with_votes(quality.measured(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
+    """The fit over counted patterns against the same rounds in plain Python, document by document, and the posterior in the JVM."""
+    slim = stored(quality.with_votes(quality.measured(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))).drop("text"), "votes")
+    voted = slim.where(~quality.base_failed())
     model = quality.fit(voted, rounds=4)
-    votes = np.array([r[0] for r in voted.select("_votes").collect()])
-    m = votes.shape[1]
-    prior, g, b = 0.85, np.full(m, 0.97), np.full(m, 0.4)
-    for _ in range(4):
-        odds = math.log(prior / (1 - prior)) + (votes == 1) @ np.log(g / (1 - b)) + (votes == -1) @ np.log((1 - g) / b)
-        p = 1 / (1 + np.exp(-odds))
-        prior = (p.sum() + 1) / (len(p) + 2)
-        up, down = votes == 1, votes == -1
-        g = np.clip((p @ up + 9.7) / (p @ (up | down) + 10), 0.001, 0.999)
-        b = np.clip(((1 - p) @ down + 4) / ((1 - p) @ (up | down) + 10), 0.001, 0.999)
-        b = np.maximum(b, 1 - g + 0.001)
-    assert model.prior == pytest.approx(prior) and np.allclose(model.on_good, g) and np.allclose(model.on_bad, b)
+    votes = [r[0] for r in voted.select("_votes").collect()]
+    names = [r.name for r in quality.RULES]
+    start = [[0.003] * 9, *[[0.6 if x in f else 0.2 for x in names] for f in quality.FAMILIES]]
+    first = [0.85, 0.05, 0.05, 0.05]
 
+    def chances(v, shares, bad):
+        p = [s * math.prod(b if x == -1 else 1 - b if x == 1 else 1 for x, b in zip(v, row, strict=True)) for s, row in zip(shares, bad, strict=True)]
+        return [x / sum(p) for x in p]
 
-def test_quality_keeps_good_labels(spark, sf_dir):
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    j = queries.queries()["op4_quality"](spark, sf_dir).join(labels, "doc_id").where("NOT base_failed")
-    good = j.where("quality = 1").agg(F.avg(F.col("kept").cast("double"))).first()[0]
-    bad = j.where("quality = 0").agg(F.avg(F.col("kept").cast("double"))).first()[0]
-    assert good > 0.97 and bad < 0.6
+    shares, bad = first, start
+    for _ in range(4):
+        p = [chances(v, shares, bad) for v in votes]
+        w = [0.01 * len(votes) * x for x in first]
+        mass = [sum(q[c] for q in p) for c in range(4)]
+        shares = [(mass[c] + w[c]) / (len(votes) + sum(w)) for c in range(4)]
+        sums = lambda c, j, kinds: sum(q[c] for q, v in zip(p, votes, strict=True) if v[j] in kinds)  # noqa: E731, B023
+        bad = [[min(0.999, max(0.001, (sums(c, j, (-1,)) + w[c] * start[c][j]) / (sums(c, j, (-1, 1)) + w[c]))) for j in range(9)] for c in range(4)]
+        bad[0] = [min(x, 0.003) for x in bad[0]]
+        bad[1:] = [[max(x, g + 0.001) for x, g in zip(row, bad[0], strict=True)] for row in bad[1:]]
+    assert np.allclose(model.shares, shares) and np.allclose(model.bad, bad)
+    got = voted.select("_votes", quality.posterior(F.col("_votes"), model).alias("p")).distinct().collect()
+    assert all(r["p"] == pytest.approx(chances(r["_votes"], shares, bad)[0], abs=1e-9) for r in got)
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_quality_verdict_by_labels(spark, sf_dir, size):
+    """Of labelled documents that pass the base rules: good ones stay, bad ones go, at every size of the table."""
+    where = sf_dir.replace("sf0.001", size)
+    labels = spark.read.parquet(f"{where}/labels.parquet")
+    j = queries.queries()["op4_quality"](spark, where).join(labels, "doc_id").where("NOT base_failed")
+    share = {r["quality"]: r["k"] for r in j.groupBy("quality").agg(F.avg(F.col("kept").cast("double")).alias("k")).collect()}
+    assert share[1] >= 0.97 and share[0] <= 0.2
+
+
+def test_quality_ties_and_clashing_names(spark):
+    good = " ".join(["the", "of", "and", "to", "in", *[f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80)]])
+    rows = [(i, good, "mine", "a", 5) for i in range(4)] + [(9, None, "mine", "b", 6)]
+    got = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, _q string, _ string, kept int")).collect()
+    assert sorted((r["doc_id"], r["_"], r["kept"]) for r in got) == [*[(i, "a", True) for i in range(4)], (9, "b", False)]
 
 
 def test_quality_odd(spark):
@@ -314,6 +363,23 @@ def test_pii_model_and_redaction(spark):
         pii.candidates(long)  # in time about proportional to the text
 
 
+def test_empty_tables_and_clashing_names(spark):
+    kind = "doc_id long, text string, spans int, n_ip string, lang string, lang_pred int, score string, pieces int, lossless string, bands int, key string, item_id int, part int"
+    none = spark.createDataFrame([], kind)
+    text = "write to anna@example.org about the long report of the day"
+    one = spark.createDataFrame([(1, text, 7, "x", "en", 3, "s", 4, "l", 5, "k", 6, 8)], kind)
+    bench = spark.createDataFrame([(3, "the long report of the day", 1)], "item_id long, text string, part int")
+    assert pii.found(none, pii.fit(none)).collect() == [] and pieces.encoded(none).collect() == [] and pieces.encoded_digests(none).collect() == []
+    assert langid.identified(none, langid.fit(none)).collect() == [] and decontaminate.contaminated(none, bench).collect() == [] and decontaminate.clean(one, bench.limit(0)).count() == 1
+    (r,) = pii.found(one, pii.fit(one)).collect()
+    assert (r["n_email"], r["n_ip"], r["n_spans"], r["lang"]) == (1, 0, 1, "en")
+    (r,) = langid.identified(one, langid.fit(one)).collect()
+    assert r["lang_pred"] == "en" and r["score"] > 0.9 and r["spans"] == 7
+    (r,) = pieces.encoded(one).collect()
+    assert r["lossless"] is True and r["key"] == "k" and len(r["pieces"]) > 5
+    assert decontaminate.clean(one, bench).count() == 0 and decontaminate.clean(one, bench, block_chars=4).count() == 0
+
+
 # --- 6 ---
 
 
@@ -391,8 +457,26 @@ def test_suffixes(spark, block):
         texts.append(t)
     texts += [None, "", "x" * 1500, "ab" * 700, texts[3], texts[3], "y" * 399, "y" * 399]
     df = spark.createDataFrame([(i if i % 9 else None, t) for i, t in enumerate(texts)], "doc_id long, text string").withColumn("h1", F.lit(0))
-    got = sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffixes.deduplicated(df, block=block).collect())
-    assert got == sorted(brute_removal([(t or "").encode() for t in texts], 400))
+    got = sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], r["n_repeated"]) for r in suffixes.deduplicated(df, block=block).collect())
+    data = [(t or "").encode() for t in texts]
+    assert got == sorted((*x, y[1]) for x, y in zip(brute_removal(data, 400), brute_removal(data, 256), strict=True))
+
+
+def test_suffixes_empty_table_and_clashing_names(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert suffixes.deduplicated(df).collect() == []
+    text = "".join(random.Random(2).choices("abcdefgh ", k=700))
+    rows = [(1, text, "x", 0, 0), (2, "zz" + text[:500], "y", 1, 1), (2, "short", None, None, None)]
+    got = suffixes.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, cells string, anchor long, parts long")).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [(1, 500), (2, 0), (2, 500)]
+
+
+def test_anchors_do_not_depend_on_slices():
+    rng = random.Random(8)
+    texts = [bytes(rng.choices(b"ab ", k=rng.randint(256, 3000))) for _ in range(40)]
+    parts = [[x.tolist() for x in suffixes.anchors([t])[1:]] for t in texts]
+    t, *rest = suffixes.anchors(texts)
+    assert [[x[t == i].tolist() for x in rest] for i in range(len(texts))] == parts
 
 
 def test_two_stage_sorting():
@@ -409,7 +493,7 @@ def test_two_stage_sorting():
 
 
 def test_suffixes_query(spark, sf_dir, docs):
-    rows = {r["doc_id"]: tuple(r)[1:] for r in queries.queries()["op7_suffixes"](spark, sf_dir).collect()}
+    rows = {r["doc_id"]: tuple(r)[1:5] for r in queries.queries()["op7_suffixes"](spark, sf_dir).collect()}
     ids = sorted(docs)
     assert [rows[i] for i in ids] == brute_removal([docs[i].encode() for i in ids], 400)
 
@@ -438,6 +522,30 @@ def test_warc_odd_rolls_and_is_deterministic(spark, tmp_path):
     assert {r["record_type"] for r in warc.read(spark, f"file://{tmp_path}/d").collect()} == {"response"}
 
 
+def test_warc_same_bytes_however_dealt(spark, sf_dir, tmp_path):
+    """Many rows a shard, a page that a third of the rows share, other partitions and another order: the same archive."""
+    pages = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/pages.parquet").select("page_id", "url", "html")
+    hot = F.when(F.col("page_id") % 3 == 0, 7).otherwise(F.col("page_id")).alias("page_id")
+    df = pages.union(pages.select(hot, "url", "html")).union(pages.limit(40))
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    for name, n in (("a", 3), ("b", 7)):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        warc.write(df.orderBy(F.xxhash64("url", F.lit(n))).repartition(n), f"file://{tmp_path}/{name}", roll_bytes=60_000, shard_bytes=300_000)
+    spark.conf.set("spark.sql.shuffle.partitions", kept)
+    a, b = ({x.name: x.read_bytes() for x in (tmp_path / n).iterdir()} for n in "ab")
+    assert a == b and len({x[:10] for x in a}) > 4 and len(a) > 8
+    entries = json.loads(a["MANIFEST.json"])["files"]
+    assert sum(e["records"] for e in entries) == df.count() and max(e["records"] for e in entries) > 50
+    pages_in = [[int(re.search(rb"X-Page: (-?\d+)", x)[1]) for x in warc.records(iter([a[e["file"]]]))] for e in entries]
+    flat = [x for part in pages_in for x in part]
+    assert flat == sorted(flat)
+
+
+def test_warc_schemes():
+    assert store_of("/some/where")[1] == store_of("file:///some/where")[1] == "/some/where"
+    assert store_of("dbfs:/x/y")[1] == "/dbfs/x/y"
+
+
 # --- 9 ---
 
 
@@ -534,13 +642,31 @@ def test_html_query(spark, sf_dir):
 # --- the pipeline ---
 
 
+def brute_similar(texts):
+    """Least id of each component of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more."""
+    low = {i: WORD.findall(re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")) for i, t in texts.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in low.items()}
+    root = {i: i for i in texts}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(texts), 2):
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            x, y = sorted((top(a), top(b)))
+            root[y] = x
+    return {i: top(i) for i in texts}
+
+
 def test_pipeline(spark, sf_dir, docs):
     import corpus_pipeline as C
 
     assert [len(s) for s in C.STAGES] == [2] * 5 and C.ORACLE_SQL is None
     out = C.run(spark, sf_dir).collect()
     ids = sorted(docs)
-    group = dict(zip(ids, brute_components(ids, [brute_fingerprint(docs[i]) for i in ids]), strict=True))
+    group = brute_similar({i: docs[i] for i in ids})
     leaks = {r["doc_id"] for r in queries.queries()["op9_decontaminate"](spark, sf_dir).collect()}
     kept = {r["doc_id"] for r in out}
     assert kept == {i for i in ids if group[i] == i and i not in leaks}  # every text here has a language
