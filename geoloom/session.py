@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Only where the cluster names no folder (tests, a laptop).
+#: Only for a local master (tests, a laptop).
 LOCAL_CHECKPOINTS = "file:///tmp/checkpoints/geoloom"
 
 
@@ -20,5 +20,7 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows as a reliable checkpoint in the folder that the cluster names: later steps neither repeat the work nor need the executors that did it."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         spark.sparkContext.setCheckpointDir(LOCAL_CHECKPOINTS)
     return df.checkpoint()
