@@ -1,28 +1,32 @@
 """Removal of long repeated strings with suffix arrays (operator 7).
 
 Every byte that lies in a string of ``length`` bytes which also starts elsewhere,
-in any document, goes.
+in any document, goes.  The same order tells which bytes lie in repeated strings
+of ``shorter`` bytes; these are counted and stay.
 
-1. Candidates.  Each window of ``length`` bytes has one anchor, the 32-byte gram
+1. Candidates.  Each window of ``shorter`` bytes has one anchor, the 32-byte gram
    in it with the least hash (the leftmost of equals).  Equal windows have equal
    anchors at the same place, so a window whose anchor gram occurs once in the
    corpus occurs once.  Windows of a document in a row share anchors; only one row
-   for about 185 bytes is shuffled, and counts are combined before the shuffle.
+   for about 113 bytes is shuffled, and counts are combined before the shuffle.
 2. The stretches of text around repeated anchors are dealt by anchor and sorted
    in blocks by two-stage suffix sorting: suffixes smaller than their successors
    are sorted directly, the others induced by one scan over the buckets.  Windows
    that are adjacent in that order and share ``length`` bytes occur twice.
-3. An anchor with more windows than a block is sorted in several blocks.  The
-   distinct windows of each such block meet again by digest, so what repeats
-   across blocks is found too, without any task holding the whole anchor.
+3. The stretches of an anchor with more windows than a block are dealt over
+   several groups from the start, by their texts.  The distinct windows of each
+   such block meet again by digest, so what repeats across blocks is found too,
+   without any task holding, or streaming over, the whole anchor.
 
 Texts that occur several times are looked at once: they go as a whole if they
 have ``length`` bytes.
 
 Defined results: a null or empty text has no byte and no span; a repeated row is
 a copy of its text; repeats count wherever they start, overlapping themselves
-too; very long texts are cut into no pieces; extra columns are ignored; rows with
-a null doc_id are judged like any other.
+too; of grams with equal hashes in a window the leftmost is the anchor, which no
+bound of a slice or block changes; very long texts are cut into no pieces; extra
+columns, whatever their names, are ignored; rows with a null doc_id are judged
+like any other; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -35,11 +39,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored, text_of
+from .common import discard, small_batches, stored, text_of
 
-LENGTH, GRAM = 400, 32
+LENGTH, SHORTER, GRAM = 400, 256, 32
 BLOCK = 1 << 16  # windows sorted together
 SLICE = 1 << 18  # bytes looked at together
+_PLACE = np.uint64(34)  # bits of a key that hold the place in a slice; the others hold the hash
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
 
@@ -53,7 +58,7 @@ def _words8(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def anchors(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(texts: list[bytes], length: int = SHORTER) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first window, last window, hash of the anchor) for each run of windows with one anchor."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum([len(t) for t in texts])
@@ -66,8 +71,7 @@ def anchors(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.nd
         h += x[8 * j : 8 * j + n]
         h *= _M[j]
     h ^= h >> np.uint64(32)
-    bits = np.uint64(max(1, int(n).bit_length()))
-    place = np.arange(n, dtype=np.uint64)
+    bits, place = _PLACE, np.arange(n, dtype=np.uint64)
     key = (h >> bits << bits) | place
     width, have, m = length - GRAM + 1, 1, key
     while 2 * have <= width:
@@ -184,59 +188,72 @@ def common_prefixes(data: bytes, order: np.ndarray, most: int = LENGTH) -> np.nd
     return out
 
 
-FOUND = "part int, h1 long, h2 long, lo array<int>, hi array<int>, digests binary, refs binary"
+FOUND = "part int, h1 long, h2 long, lo array<int>, hi array<int>, lo2 array<int>, hi2 array<int>, digests binary, refs binary"
+#: (h1, h2, first window) of each text that has the stretch; a stretch is its bytes and its number of windows.
+Refs = list[tuple[int, int, int]]
+Rows = dict[tuple[bytes, int], Refs]
 
 
 def _runs(starts: np.ndarray) -> tuple[list[int], list[int]]:
     """Ascending places as ranges, ends included."""
+    if not len(starts):
+        return [], []
     cut = np.flatnonzero(np.diff(starts) > 1)
     return starts[np.concatenate([[0], cut + 1])].tolist(), starts[np.concatenate([cut, [len(starts) - 1]])].tolist()
 
 
-def _sorted_block(rows: dict[bytes, list[tuple[int, int, int]]], split: bool, parts: int, length: int) -> list[tuple]:
+def _sorted_block(rows: Rows, split: bool, parts: int, length: int, shorter: int) -> list[tuple]:
     """Repeated windows of a block of stretches; of a split anchor's block also its distinct windows, by digest."""
     out = []
     stretches = list(rows)
-    sizes = np.array([len(s) for s in stretches])
+    sizes, count = np.array([len(s) for s, _ in stretches]), np.array([n for _, n in stretches])
     offs = np.cumsum(sizes) - sizes
-    data = b"".join(stretches) + b"\x00\xff" + bytes(length + 16)
-    count = sizes - length + 1
+    data = b"".join(s for s, _ in stretches) + b"\x00\xff" + bytes(length + 16)
     positions = np.repeat(offs - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
     order = np.array(two_stage(data, positions, length))
-    equal = common_prefixes(data, order, length) >= length
-    repeated = equal.copy()
-    repeated[:-1] |= equal[1:]
-    twice = np.zeros(len(data), bool)
-    twice[order[repeated]] = True
-    for s, o, n in zip(stretches, offs.tolist(), count.tolist(), strict=True):
-        refs = rows[s]
-        hits = np.arange(n) if len(refs) > 1 else np.flatnonzero(twice[o : o + n])
-        if len(hits):
-            lo, hi = _runs(hits)
+    same = common_prefixes(data, order, length)
+    # near a text's end a window may have fewer bytes than ``length``: then it has none of that length
+    room = (offs + sizes)[np.searchsorted(offs, order, side="right") - 1] - order
+    flags, leaders = [], []
+    for size in (length, shorter):
+        whole, run = room >= size, np.cumsum(same < size)
+        found = np.zeros(len(data), bool)
+        found[order[whole & (np.bincount(run[whole], minlength=int(run[-1]) + 1)[run] > 1)]] = True
+        flags.append(found)
+        if split:
+            at = np.flatnonzero(whole)
+            leaders.append(order[at[np.unique(run[at], return_index=True)[1]]])
+    for (s, n), o in zip(stretches, offs.tolist(), strict=True):
+        refs = rows[s, n]
+        hits = [np.arange(max(0, min(n, len(s) - size + 1))) if len(refs) > 1 else np.flatnonzero(f[o : o + n]) for f, size in zip(flags, (length, shorter), strict=True)]
+        if len(hits[1]):
+            (lo, hi), (lo2, hi2) = map(_runs, hits)
             for h1, h2, a in refs:
-                out.append((-1, h1, h2, [a + v for v in lo], [a + v for v in hi], None, None))
-    if split:
-        leaders = order[~equal]
-        digests = np.frombuffer(b"".join(hashlib.blake2b(data[i : i + length], digest_size=16).digest() for i in leaders.tolist()), np.uint64).reshape(-1, 2)
-        which = np.searchsorted(offs, leaders, side="right") - 1
-        refs = np.array([(rows[stretches[w]][0][0], rows[stretches[w]][0][1], rows[stretches[w]][0][2] + int(i - offs[w])) for w, i in zip(which.tolist(), leaders.tolist(), strict=True)], np.int64).reshape(-1, 3)
+                out.append((-1, h1, h2, [a + v for v in lo], [a + v for v in hi], [a + v for v in lo2], [a + v for v in hi2], None, None))
+    for kind, (size, first) in enumerate(zip((length, shorter), leaders, strict=False)):
+        if not len(first):
+            continue
+        digests = np.frombuffer(b"".join(hashlib.blake2b(data[i : i + size], digest_size=16).digest() for i in first.tolist()), np.uint64).reshape(-1, 2)
+        which = np.searchsorted(offs, first, side="right") - 1
+        one = np.array([rows[s][0] for s in stretches], np.int64)[which]
+        one[:, 2] += first - offs[which]
         part = (digests[:, 0] % np.uint64(parts)).astype(np.int64)
         for p in np.unique(part).tolist():
             k = part == p
-            out.append((p, 0, 0, [], [], digests[k].tobytes(), refs[k].tobytes()))
+            out.append((kind * parts + p, 0, 0, [], [], [], [], digests[k].tobytes(), one[k].tobytes()))
     return out
 
 
-def _blocks(parts: int, length: int, block: int):
-    """Sorts stretches in blocks of whole anchors; an anchor that doesn't fit goes in several blocks."""
+def _blocks(parts: int, length: int, shorter: int, block: int):
+    """Sorts stretches in blocks of whole anchors; an anchor that is split, or doesn't fit, goes in several blocks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        closed: dict[bytes, list[tuple[int, int, int]]] = {}  # stretches of whole anchors
-        open_: dict[bytes, list[tuple[int, int, int]]] = {}  # of the anchor being read
+        closed: Rows = {}  # stretches of whole anchors
+        open_: Rows = {}  # of the anchor being read
         windows, own, now, split = 0, 0, None, False
 
-        def made(rows: dict, part_of_split: bool) -> Iterator[pd.DataFrame]:
-            found = _sorted_block(rows, part_of_split, parts, length)
+        def made(rows: Rows, part_of_split: bool) -> Iterator[pd.DataFrame]:
+            found = _sorted_block(rows, part_of_split, parts, length, shorter)
             if found:
                 yield pd.DataFrame(found, columns=[c.split()[0] for c in FOUND.split(", ")])
 
@@ -246,26 +263,27 @@ def _blocks(parts: int, length: int, block: int):
             for s, refs in open_.items():
                 if len(open_) > 1 or len(refs) > 1:
                     closed.setdefault(s, []).extend(refs)
-                    windows += len(s) - length + 1
+                    windows += s[1]
             open_, own = {}, 0
 
         for pdf in batches:
-            for anchor, h1, h2, a, stretch in zip(pdf["anchor"].tolist(), pdf["h1"].tolist(), pdf["h2"].tolist(), pdf["a"].tolist(), pdf["stretch"], strict=True):
-                if anchor != now:
+            columns = (pdf[c].tolist() for c in ("anchor", "deal", "parts", "h1", "h2", "a", "n"))
+            for anchor, deal, of, h1, h2, a, n, stretch in zip(*columns, pdf["stretch"], strict=True):
+                if (anchor, deal) != now:
                     if split:
                         if open_:
                             yield from made(open_, True)
-                        open_, own, split = {}, 0, False
+                        open_, own = {}, 0
                     close()
-                    now = anchor
+                    now, split = (anchor, deal), of > 1
                     if windows >= block:
                         yield from made(closed, False)
                         closed, windows = {}, 0
-                stretch = bytes(stretch)
-                refs = open_.get(stretch)
+                key = (bytes(stretch), n)
+                refs = open_.get(key)
                 if refs is None:
-                    open_[stretch] = [(h1, h2, a)]
-                    own += len(stretch) - length + 1
+                    open_[key] = [(h1, h2, a)]
+                    own += n
                 else:
                     refs.append((h1, h2, a))
                     own += 8  # a long list of copies ends the block too
@@ -283,7 +301,7 @@ def _blocks(parts: int, length: int, block: int):
     return run
 
 
-def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _across(batches: Iterator[pd.DataFrame], parts: int) -> Iterator[pd.DataFrame]:
     """Windows whose digest came from two blocks or more; one part at a time."""
     now, digests, refs = None, [], []
 
@@ -300,8 +318,9 @@ def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             r = r[hit]
             r = r[np.lexsort((r[:, 2], r[:, 1], r[:, 0]))]
             cut = np.flatnonzero((r[1:, :2] != r[:-1, :2]).any(axis=1)) + 1
-            rows = [(int(g[0, 0]), int(g[0, 1]), *_runs(np.unique(g[:, 2]))) for g in np.split(r, cut)]
-            yield pd.DataFrame(rows, columns=["h1", "h2", "lo", "hi"])
+            ranges = ((int(g[0, 0]), int(g[0, 1]), *_runs(np.unique(g[:, 2]))) for g in np.split(r, cut))
+            rows = [(h1, h2, lo, hi, [], []) if now < parts else (h1, h2, [], [], lo, hi) for h1, h2, lo, hi in ranges]
+            yield pd.DataFrame(rows, columns=["h1", "h2", "lo", "hi", "lo2", "hi2"])
 
     for pdf in batches:
         for p, d, r in zip(pdf["part"].tolist(), pdf["digests"], pdf["refs"], strict=True):
@@ -315,26 +334,31 @@ def _across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from done()
 
 
-def repeated(texts: DataFrame, cells: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
-    """Rows (h1, h2, lo, hi): ranges of first bytes of windows that occur twice.  ``texts``: distinct candidates with ``cells`` (a, b, anchor)."""
+RANGES = "h1 long, h2 long, lo array<int>, hi array<int>, lo2 array<int>, hi2 array<int>"
+
+
+def repeated(texts: DataFrame, windows: int, length: int = LENGTH, shorter: int = SHORTER, block: int = BLOCK) -> DataFrame:
+    """Rows (h1, h2, lo, hi, lo2, hi2): ranges of first bytes of windows of ``length`` and of ``shorter`` bytes that occur twice.
+
+    ``texts``: distinct candidates with their ``cells`` (a, b, anchor, parts); ``windows``: how many those have.
+    """
 
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for h1, h2, text, cell in zip(pdf["h1"], pdf["h2"], pdf["text"], pdf["cells"], strict=True):
                 data = text.encode("utf-8", "surrogatepass")
-                rows += [(c["anchor"], h1, h2, c["a"], data[c["a"] : c["b"] + length]) for c in cell]
+                rows += [(c["anchor"], (h1 ^ c["a"] * 0x9E3779B1) % c["parts"], c["parts"], h1, h2, c["a"], c["b"] - c["a"] + 1, data[c["a"] : c["b"] + length]) for c in cell]
             if rows:
-                yield pd.DataFrame(rows, columns=["anchor", "h1", "h2", "a", "stretch"])
+                yield pd.DataFrame(rows, columns=["anchor", "deal", "parts", "h1", "h2", "a", "n", "stretch"])
 
-    cut = texts.mapInPandas(stretches, "anchor long, h1 long, h2 long, a int, stretch binary")
-    windows = cells.agg(F.sum(F.col("b") - F.col("a") + 1)).first()[0] or 0
+    cut = texts.mapInPandas(stretches, "anchor long, deal int, parts int, h1 long, h2 long, a int, n int, stretch binary")
     parts = max(16, windows // 2_000_000)
-    dealt = cut.repartition("anchor").sortWithinPartitions("anchor", "h1", "h2", "a")
-    found = stored(dealt.mapInPandas(_blocks(parts, length, block), FOUND), "windows")
-    inside = found.where("part < 0").select("h1", "h2", "lo", "hi")
+    dealt = cut.repartition("anchor", "deal").sortWithinPartitions("anchor", "deal", "h1", "h2", "a")
+    found = stored(dealt.mapInPandas(_blocks(parts, length, shorter, block), FOUND), "windows")
+    inside = found.where("part < 0").select("h1", "h2", "lo", "hi", "lo2", "hi2")
     across = found.where("part >= 0").select("part", "digests", "refs").repartition("part").sortWithinPartitions("part")
-    return inside.unionByName(across.mapInPandas(_across, "h1 long, h2 long, lo array<int>, hi array<int>"))
+    return inside.unionByName(across.mapInPandas(lambda batches: _across(batches, parts), RANGES))
 
 
 def removed(text: bytes, lo: list[int], hi: list[int], length: int = LENGTH) -> tuple[int, int, bytes]:
@@ -353,43 +377,55 @@ def removed(text: bytes, lo: list[int], hi: list[int], length: int = LENGTH) ->
     return sum(b - a for a, b in spans), len(spans), b"".join(kept)
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
-    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), one for each row of ``docs``."""
-    spark = docs.sparkSession
-    small_batches(spark)
+def deduplicated(docs: DataFrame, length: int = LENGTH, shorter: int = SHORTER, block: int = BLOCK) -> DataFrame:
+    """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_repeated), one for each row of ``docs``."""
+    small_batches(docs.sparkSession)
     named = keyed(docs.select("doc_id", "text"))
     size = F.octet_length("text")
     slim = stored(named.select("doc_id", "h1", "h2", size.cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")), "texts")
-    runs = stored(named.where(size >= length).select("h1", "h2", "text").mapInPandas(_anchor_rows(length), "h1 long, h2 long, a int, b int, anchor long"), "anchors")
-    who = F.xxhash64("h1", "h2", "a")
-    again = runs.groupBy("anchor").agg(F.min(who).alias("x"), F.max(who).alias("y")).where("x <> y").select("anchor")
-    cells = runs.join(again, "anchor", "left_semi")
-    of_text = stored(cells.groupBy("h1", "h2").agg(F.collect_set(F.struct("a", "b", "anchor")).alias("cells")), "cells")
-    once = named.where(size >= length).groupBy("h1", "h2").agg(F.first("text").alias("text"))
+    long_enough = named.where(size >= shorter)
+    runs = stored(long_enough.select("h1", "h2", "text").mapInPandas(_anchor_rows(shorter), "h1 long, h2 long, a int, b int, anchor long"), "anchors")
+    who, some = F.xxhash64("h1", "h2", "a"), block // 4
+    again = runs.groupBy("anchor").agg(F.min(who).alias("x"), F.max(who).alias("y"), F.sum(F.col("b") - F.col("a") + 1).alias("windows")).where("x <> y")
+    # written first, so that adaptive execution can split the join of an anchor that many runs have
+    again = stored(again.select("anchor", F.when(F.col("windows") > block, F.ceil(F.col("windows") / some)).otherwise(1).cast("int").alias("parts")), "repeated-anchors")
+    cells = runs.join(again, "anchor")
+    of_text = stored(cells.groupBy("h1", "h2").agg(F.collect_set(F.struct("a", "b", "anchor", "parts")).alias("cells")), "cells")
+    discard(runs, again)
+    # the copies of a text are combined before the shuffle, which the join then needs no more
+    once = long_enough.groupBy("h1", "h2").agg(F.first("text").alias("text"))
     texts = stored(once.join(of_text, ["h1", "h2"]), "candidates")
-    flat = of_text.select(F.explode("cells").alias("c")).select("c.a", "c.b")
-    hits = repeated(texts, flat, length, block).groupBy("h1", "h2").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"))
+    windows = of_text.select(F.aggregate("cells", F.lit(0).cast("long"), lambda t, c: t + c["b"] - c["a"] + 1).alias("n")).agg(F.sum("n")).first()[0] or 0
+    discard(of_text)
+    flat = [F.flatten(F.collect_list(c)).alias(c) for c in ("lo", "hi", "lo2", "hi2")]
+    hits = repeated(texts, windows, length, shorter, block).groupBy("h1", "h2").agg(*flat)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for h1, h2, text, lo, hi in zip(pdf["h1"], pdf["h2"], pdf["text"], pdf["lo"], pdf["hi"], strict=True):
-                n, spans, kept = removed(text.encode("utf-8", "surrogatepass"), lo.tolist(), hi.tolist(), length)
-                rows.append((h1, h2, n, spans, hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(rows, columns=["h1", "h2", "removed", "spans", "kept"])
+            for h1, h2, text, *ranges in zip(*(pdf[c] for c in ("h1", "h2", "text", "lo", "hi", "lo2", "hi2")), strict=True):
+                lo, hi, lo2, hi2 = (x.tolist() for x in ranges)
+                data = text.encode("utf-8", "surrogatepass")
+                n, spans, kept = removed(data, lo, hi, length)
+                rows.append((h1, h2, n, spans, hashlib.sha256(kept).hexdigest(), removed(data, lo2, hi2, shorter)[0]))
+            yield pd.DataFrame(rows, columns=["h1", "h2", "removed", "spans", "kept", "repeated"])
 
-    judged = texts.drop("cells").join(hits, ["h1", "h2"]).mapInPandas(cut, "h1 long, h2 long, removed long, spans long, kept string")
+    judged = texts.drop("cells").join(hits, ["h1", "h2"]).mapInPandas(cut, "h1 long, h2 long, removed long, spans long, kept string, repeated long")
     copies = slim.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("copies"))
-    verdict = copies.join(judged, ["h1", "h2"], "left").where((F.col("copies") > 1) | F.col("removed").isNotNull())
-    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
-    pick = lambda all_, some, none: F.when(whole, all_).otherwise(F.coalesce(some, none))
+    # written first for the same reason: a text may have very many copies
+    verdict = stored(copies.join(judged, ["h1", "h2"], "left").where((F.col("copies") > 1) | F.col("removed").isNotNull()), "verdicts")
+    discard(texts)
+    twice = F.col("copies") > 1
+    pick = lambda all_, some, none, least=length: F.when(twice & (F.col("n_bytes") >= least), all_).otherwise(F.coalesce(some, none))
     return slim.join(verdict, ["h1", "h2"], "left").select(
         "doc_id", "n_bytes",
         pick(F.col("n_bytes"), F.col("removed"), F.lit(0)).cast("long").alias("n_removed"),
         pick(F.lit(1), F.col("spans"), F.lit(0)).cast("long").alias("n_spans"),
         pick(F.lit(hashlib.sha256(b"").hexdigest()), F.col("kept"), F.col("sha")).alias("kept_sha256"),
+        pick(F.col("n_bytes"), F.col("repeated"), F.lit(0), shorter).cast("long").alias("n_repeated"),
     )
 
 
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's columns, and after them n_repeated: bytes covered by strings of 256 bytes that also start elsewhere."""
     return deduplicated(spark.read.parquet(f"{sf_dir}/documents.parquet"))
