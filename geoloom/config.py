@@ -20,6 +20,17 @@ def number_list(text: str, kind=float) -> tuple:
     return out
 
 
+#: Fixed value: the key of an example configuration.
+PLACEHOLDER_KEY = "YOUR_API_KEY_HERE"
+
+
+def usable_key(key: str | None, placeholder: str = PLACEHOLDER_KEY) -> str:
+    """A service key that is neither missing nor the placeholder of an example."""
+    if not key or not key.strip() or key.strip() == placeholder:
+        raise ConfigError("no service key is set")
+    return key.strip()
+
+
 @dataclass(frozen=True)
 class FixedConfig:
     """Cover with circles of 500 and 1000 metres.  mode: fast, fast-local or auto."""

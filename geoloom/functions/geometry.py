@@ -87,3 +87,10 @@ def disk(x: float, y: float, r: float, per_quarter: int = 64) -> Ring:
     """The polygon inscribed in a circle."""
     n = 4 * per_quarter
     return [(x + r * math.cos(2 * math.pi * k / n), y - r * math.sin(2 * math.pi * k / n)) for k in range(n)]
+
+
+def disk_points(x: Column, y: Column, r: Column, per_quarter: int = 64) -> Column:
+    """The same polygon as an array of structs (x, y), for circles in rows."""
+    n = 4 * per_quarter
+    turn = lambda k: k * (2 * math.pi / n)
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.struct((x + r * F.cos(turn(k))).alias("x"), (y - r * F.sin(turn(k))).alias("y")))

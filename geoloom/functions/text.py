@@ -20,7 +20,11 @@ def fixed(c: Column, digits: int, grouped: bool = False) -> Column:
 
 
 def percent_encode(s: Column) -> Column:
-    return F.replace(F.replace(F.url_encode(s), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A"))
+    """Everything but letters, digits and ``-._~``."""
+    s = F.url_encode(s)
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        s = F.replace(s, F.lit(a), F.lit(b))
+    return s
 
 
 #: The styles of popups.

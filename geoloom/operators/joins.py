@@ -31,7 +31,10 @@ def _near(cell: list[str]) -> Column:
 
 
 def _bucketed(points: DataFrame, sites: DataFrame, p: list[Column], s: list[Column], reach: float, spread: str) -> DataFrame:
-    """Pairs of the same or neighbouring cells.  ``spread``: the side that is copied to the neighbours, which should be the smaller one."""
+    """Pairs of the same or neighbouring cells.  ``spread``: the side that is copied to the neighbours, which should be the smaller one.
+
+    A dense cell is one key of an inner join of two shuffles, which adaptive execution splits by rows; its pairs are the result's.
+    """
     names = [f"_c{i}" for i in range(len(p))]
     wide, narrow = ((points, p), (sites, s)) if spread == "points" else ((sites, s), (points, p))
     a = wide[0].withColumns(dict(zip(names, _cells(wide[1], reach), strict=True)))
@@ -131,6 +134,12 @@ def coverage(samples: DataFrame, circles: DataFrame, key: str) -> DataFrame:
     return samples.select(key).join(n, key, "left").select(key, F.coalesce("n", F.lit(0)).cast("long").alias("n_cover"))
 
 
+def coverage_and_nearest(samples: DataFrame, circles: DataFrame, key: str, circle: str) -> DataFrame:
+    """(key, n_cover, nearest): also the distance to the nearest of all circles' centres, infinite without circles."""
+    nearest = knn(samples.select(key, "px", "py"), circles.select(circle, "sx", "sy"), 1, key, circle).select(key, F.sqrt("d2").alias("nearest"))
+    return coverage(samples, circles, key).join(nearest, key, "left").withColumn("nearest", F.coalesce("nearest", F.lit(float("inf"))))
+
+
 def covering_pairs(samples: DataFrame, circles: DataFrame) -> DataFrame:
     most = circles.agg(F.max("sr")).first()[0] or 1.0
     return pairs_on_plane(samples, circles, float(most), spread="sites").where(F.col("d2") <= F.col("sr") * F.col("sr") + EPS)

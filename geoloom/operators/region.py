@@ -66,12 +66,14 @@ def combined(layers: Sequence[np.ndarray], rule: Rule) -> np.ndarray:
         at = sorted(cuts)
         pieces += [(*(e[:2] + a * d), *(e[:2] + b * d)) for a, b in zip(at, at[1:], strict=False)]
     p = np.unique(np.array(pieces).round(9), axis=0)
+    p = p[(p[:, :2] != p[:, 2:]).any(axis=1)]
     mid, d = (p[:, :2] + p[:, 2:]) / 2, p[:, 2:] - p[:, :2]
     n = np.stack([-d[:, 1], d[:, 0]], axis=1) / np.linalg.norm(d, axis=1, keepdims=True) * 1e-6
     left, right = (rule([inside(*(mid + s * n).T, e) for e in layers]) for s in (1, -1))
     kept = p[left != right]
     ends = np.concatenate([kept[:, 2:], kept[:, :2]], axis=1)
-    first = np.where((kept[:, :2] < kept[:, 2:])[:, [0]], kept, ends)  # the same edge of two layers counts once
+    forward = (kept[:, 0] < kept[:, 2]) | ((kept[:, 0] == kept[:, 2]) & (kept[:, 1] < kept[:, 3]))
+    first = np.where(forward[:, None], kept, ends)  # the same edge of two layers counts once, upright ones too
     return np.unique(first.round(9), axis=0)
 
 

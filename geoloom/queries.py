@@ -191,10 +191,9 @@ def knn_idw_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(IDW + """, scale AS (SELECT quantile_cont(ln(1 + greatest(density, 0)), 0.05) AS lo, quantile_cont(ln(1 + greatest(density, 0)), 0.95) AS hi FROM cells)
 SELECT input_index, CAST(least(1900e0, greatest(500e0, round_even((1900e0 - CASE WHEN hi <= lo THEN 1e0 ELSE least(1e0, greatest(0e0, (ln(1 + greatest(density, 0)) - lo) / (hi - lo))) END * 1400e0) / 25e0, 0) * 25)) AS INT) AS radius_m FROM idw, scale""")
 def recommended_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lo, hi = A.log_scale(F.col("density"))
-    scale = view(spark, sf_dir, "cells").agg(lo.alias("lo"), hi.alias("hi"))
-    norm = S.density_norm(F.col("density"), F.col("lo"), F.col("hi"))
-    return seed_density(spark, sf_dir).join(F.broadcast(scale)).select("input_index", S.radius_of_norm(norm, 500, 1900).alias("radius_m"))
+    lo, hi = A.log_scale(view(spark, sf_dir, "cells"), F.col("density"))
+    norm = S.density_norm(F.col("density"), F.lit(lo), F.lit(hi))
+    return seed_density(spark, sf_dir).select("input_index", S.radius_of_norm(norm, 500, 1900).alias("radius_m"))
 
 
 @query(PLANE + f""", pairs AS (SELECT a.circle, min(sqrt((a.sx - b.sx) * (a.sx - b.sx) + (a.sy - b.sy) * (a.sy - b.sy)) / (a.sr + b.sr)) AS nn FROM circles a JOIN circles b ON a.circle <> b.circle GROUP BY 1)
@@ -203,7 +202,8 @@ def nearest_norm_spacing(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = circles(spark, sf_dir)
     p = s.select("circle", F.col("sx").alias("px"), F.col("sy").alias("py"), F.col("sr").alias("pr"))
     nn = J.nearest_norm(p, s.select(F.col("circle").alias("other"), "sx", "sy", "sr"), "circle", "other")
-    return nn.agg(F.count(F.lit(1)).alias("n"), F.round(F.min("nn"), 6).alias("least"), F.round(A.percentile(F.col("nn"), 0.25), 6).alias("p25"))
+    (p25,) = A.quantiles(nn, F.col("nn"), 0.25)
+    return nn.agg(F.count(F.lit(1)).alias("n"), F.round(F.min("nn"), 6).alias("least")).withColumn("p25", F.round(F.lit(p25).cast("double"), 6))
 
 
 @query(PLANE + """ SELECT CAST(count(*) AS BIGINT) AS violations FROM circles a WHERE a.sr < 1000 AND EXISTS (SELECT 1 FROM circles b WHERE b.sr >= 1000
@@ -271,17 +271,17 @@ SQL["polygon_area_centroid"] = _oriented_sql()
 
 @query(WITH + " SELECT round(quantile_cont(density, 0.1), 6) AS q10, round(quantile_cont(density, 0.5), 6) AS q50, round(quantile_cont(density, 0.9), 6) AS q90, round(quantile_cont(ln(1 + greatest(density, 0)), 0.05), 9) AS lo, round(quantile_cont(ln(1 + greatest(density, 0)), 0.95), 9) AS hi FROM cells")
 def density_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = F.col("density")
-    lo, hi = A.log_scale(d)
-    return view(spark, sf_dir, "cells").agg(*[F.round(A.percentile(d, p / 100), 6).alias(f"q{p}") for p in (10, 50, 90)], F.round(lo, 9).alias("lo"), F.round(hi, 9).alias("hi"))
+    cells = view(spark, sf_dir, "cells")
+    q = [(f"q{p}", v, 6) for p, v in zip((10, 50, 90), A.quantiles(cells, F.col("density"), 0.1, 0.5, 0.9), strict=True)]
+    q += [(n, v, 9) for n, v in zip(("lo", "hi"), A.log_scale(cells, F.col("density")), strict=True)]
+    return spark.range(1).select(*[F.round(F.lit(v).cast("double"), digits).alias(n) for n, v, digits in q])
 
 
 @query(WITH + """, q AS (SELECT quantile_cont(density, 0.1) AS a, quantile_cont(density, 0.9) AS b FROM cells), r AS (SELECT b / greatest(a, 1) AS r FROM q)
 SELECT CAST(round_even(least(2500, greatest(700, 500 + CASE WHEN r >= 60 THEN 1400 WHEN r >= 30 THEN 1200 WHEN r >= 15 THEN 1000 WHEN r >= 8 THEN 800 ELSE 600 END)) / 50e0, 0) * 50 AS INT) AS max_radius FROM r""")
 def auto_max_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = F.col("density")
-    q = view(spark, sf_dir, "cells").agg(A.percentile(d, 0.1).alias("a"), A.percentile(d, 0.9).alias("b"))
-    return q.select(A.auto_max_radius(F.col("a"), F.col("b")).alias("max_radius"))
+    q10, q90 = A.quantiles(view(spark, sf_dir, "cells"), F.col("density"), 0.1, 0.9)
+    return spark.range(1).select(A.auto_max_radius(F.lit(q10), F.lit(q90)).alias("max_radius"))
 
 
 @query(WITH + " SELECT round(quantile_cont(density, 0.02), 6) AS scale_min, round(quantile_cont(density, 0.98), 6) AS scale_max FROM cells")
@@ -436,7 +436,16 @@ def preserve_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_flags(new, old).select("new_id", "collected")
 
 
-@query()
+@query(OLD.replace("WITH seeds", "WITH RECURSIVE seeds", 1) + f""", fresh AS (SELECT n.* FROM new n WHERE NOT EXISTS (SELECT 1 FROM merged m WHERE round(n.lat, 6) = m.la AND round(n.lng, 6) = m.ln)),
+free AS (SELECT * FROM (SELECT o.*, s.lat, s.lng, row_number() OVER (PARTITION BY la, ln ORDER BY o.input_index) AS rn FROM old o JOIN seeds s USING (input_index)) x
+ WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM new n WHERE round(n.lat, 6) = x.la AND round(n.lng, 6) = x.ln)),
+near AS (SELECT f.input_index AS a, o.input_index AS b, o.collected, pow((f.lng - o.lng) * {num(KX)}, 2) + pow((f.lat - o.lat) * {num(KY)}, 2) AS d2 FROM fresh f, free o),
+pairs AS (SELECT *, row_number() OVER (ORDER BY d2, a, b) AS i FROM near WHERE d2 <= 90000 + 1e-9),
+greedy(i, taken_a, taken_b) AS (SELECT CAST(0 AS BIGINT), CAST([] AS INT[]), CAST([] AS INT[]) UNION ALL SELECT p.i, CASE WHEN list_contains(taken_a, a) OR list_contains(taken_b, b) THEN taken_a ELSE list_append(taken_a, a) END,
+ CASE WHEN list_contains(taken_a, a) OR list_contains(taken_b, b) THEN taken_b ELSE list_append(taken_b, b) END FROM greedy g JOIN pairs p ON p.i = g.i + 1),
+won AS (SELECT unnest(taken_a) AS a, unnest(taken_b) AS b FROM (SELECT * FROM greedy ORDER BY i DESC LIMIT 1))
+SELECT n.input_index AS new_id, n.lat, n.lng, coalesce(m.collected, o.collected, false) AS collected, CASE WHEN m.la IS NOT NULL THEN 'exact' WHEN w.a IS NOT NULL THEN 'nearest' ELSE 'none' END AS match
+FROM new n LEFT JOIN merged m ON round(n.lat, 6) = m.la AND round(n.lng, 6) = m.ln LEFT JOIN won w ON w.a = n.input_index LEFT JOIN free o ON o.input_index = w.b""")
 def preserve_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .plans.preserve import preserve
 
@@ -472,10 +481,13 @@ def phase_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- reviews, popups, maps ---
 
 
-@query("""WITH f AS (SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS t, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders)
-SELECT o_custkey, substr(min(t), 1, 10) AS earliest FROM f WHERE rn <= 5 GROUP BY 1""")
+@query("""WITH f AS (SELECT o_custkey, o_orderdate + to_hours(CAST(o_orderkey * 7 % 24 AS INT)) AS t, CAST([0, 7, -5, 13][o_orderkey % 4 + 1] AS INT) AS zone, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders),
+k AS (SELECT o_custkey, strftime(t, '%Y-%m-%d') AS day, row_number() OVER (PARTITION BY o_custkey ORDER BY t - to_hours(zone), strftime(t, '%Y-%m-%d')) AS k FROM f WHERE rn <= 5) SELECT o_custkey, day AS earliest FROM k WHERE k = 1""")
 def earliest_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    """Times with offsets: the earliest instant, with the date that its own text has."""
+    at = F.timestamp_add("HOUR", F.col("o_orderkey") * 7 % 24, F.col("o_orderdate"))
+    zone = F.get(F.array(*[F.lit(z) for z in ("Z", "+07:00", "-05:00", "+13:00")]), F.col("o_orderkey") % 4)
+    t = F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), zone)
     r = W.top(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", t.alias("t")), ["o_custkey"], ["o_orderkey"], 5)
     return r.groupBy("o_custkey").agg(F.collect_list("t").alias("times")).select("o_custkey", T.earliest_date(F.col("times")).alias("earliest"))
 
@@ -591,8 +603,11 @@ def union_disk_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import collection_queries, item_queries  # noqa: F401  (they register theirs)
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Only for a local master (tests, a laptop).
@@ -16,6 +18,16 @@ def session(name: str = "geoloom", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder that doesn't exist yet, beside the checkpoints, where all executors reach it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        base = LOCAL_CHECKPOINTS
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows as a reliable checkpoint in the folder that the cluster names: later steps neither repeat the work nor need the executors that did it."""
     spark = df.sparkSession

@@ -12,8 +12,10 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators.joins import pairs_on_sphere
+from ..operators.windows import top
 
 LOG = "seed_index int, source string, page int, pos int, place_id string, lat double, lng double, next_token string"
 PAGE = 20
@@ -21,8 +23,6 @@ PAGE = 20
 
 def nearby(seeds: DataFrame, places: DataFrame, most: int = PAGE) -> DataFrame:
     """Strict circle, the first ``most`` places by their order ``k``."""
-    from ..operators.windows import top
-
     s = seeds.select(F.col("input_index").alias("seed_index"), "radius", F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
     p = places.select("place_id", "k", F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng"))
     reach = seeds.agg(F.max("radius")).first()[0] or 1
@@ -31,22 +31,50 @@ def nearby(seeds: DataFrame, places: DataFrame, most: int = PAGE) -> DataFrame:
     return ranked.select("seed_index", F.lit("nearby").alias("source"), F.lit(0).alias("page"), "pos", "place_id", F.col("s_lat").alias("lat"), F.col("s_lng").alias("lng"), F.lit(None).cast("string").alias("next_token"))
 
 
+def text_search(seeds: DataFrame, places: DataFrame, cap: int = 60, page: int = PAGE, reach_factor: float = 2.0) -> DataFrame:
+    """Paged search that prefers the circle but isn't held to it: places inside first, then those around it, each by their order ``k``.
+
+    A page has a token for the next one as long as there is more; the service ends at ``cap`` results.
+    """
+    s = seeds.select(F.col("input_index").alias("seed_index"), "radius", F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
+    p = places.select("place_id", "k", F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng"))
+    reach = float(seeds.agg(F.max("radius")).first()[0] or 1) * reach_factor
+    near = pairs_on_sphere(s, p, reach).where(F.col("distance") <= F.col("radius") * reach_factor).withColumn("outside", F.col("distance") > F.col("radius"))
+    ranked = top(near, ["seed_index"], ["outside", "k"], cap, "n")
+    last = F.max("n").over(Window.partitionBy("seed_index"))
+    number = F.floor((F.col("n") - 1) / page).cast("int")
+    token = F.when(last > (F.col("page") + 1) * page, F.concat(F.lit("t"), (F.col("page") + 1).cast("string")))
+    paged = ranked.withColumns({"page": number, "pos": (F.col("n") - number * page).cast("int")})
+    return paged.select("seed_index", F.lit("text").alias("source"), "page", "pos", "place_id", F.col("s_lat").alias("lat"), F.col("s_lng").alias("lng"), token.alias("next_token"))
+
+
 def requested(requests: DataFrame, call: Callable[[dict], list[dict]], schema: str = LOG, lanes: int = 4, pause_s: float = 0.2) -> DataFrame:
-    """Rows that a service gives for each request; a request that fails gives none.  Credentials come from ``call``'s own configuration."""
+    """Rows that a service gives for each request, with ``error`` null.
+
+    A request that fails gives one row that has only those columns that the
+    request has too, and the error's text, so that failures can be counted; an
+    empty answer gives no row.  The pause follows every request, failed ones too.
+    Credentials come from ``call``'s own configuration.
+    """
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import time
 
-        names = [c.split()[0] for c in schema.split(", ")]
         for pdf in batches:
             rows = []
             for r in pdf.to_dict("records"):
                 try:
-                    rows += call(r)
-                except OSError:
-                    pass
+                    rows += [{**a, "error": None} for a in call(r) or []]
+                except (OSError, ValueError) as e:
+                    rows.append({**{c: r.get(c) for c in names}, "error": f"{type(e).__name__}: {e}"})
                 time.sleep(pause_s)
             if rows:
-                yield pd.DataFrame(rows, columns=names)
+                yield pd.DataFrame(rows, columns=[*names, "error"])
+
+    return requests.repartition(lanes).mapInPandas(run, f"{schema}, error string")
+
 
-    return requests.repartition(lanes).mapInPandas(run, schema)
+def request_counts(answers: DataFrame) -> DataFrame:
+    """One row: rows answered, requests failed."""
+    return answers.agg(F.count_if(F.col("error").isNull()).alias("answered"), F.count("error").alias("failed"))
