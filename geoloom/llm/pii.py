@@ -7,8 +7,8 @@ candidate, labelers vote personal, not personal or abstain: the strict regex, a
 checksum or range test, a gazetteer (known top-level domains, card and calling
 prefixes, key names), the words before it, the words that speak against it, and
 its borders.  Vote patterns of all candidates of all documents are counted;
-expectation maximisation over the counts estimates each labeler's accuracy on
-personal and on other spans; its posteriors are the targets of the final span
+expectation maximisation over the counts estimates, kind by kind, how each labeler
+votes on personal and on other spans; its posteriors are the targets of the final span
 classifier, a logistic regression over the shape of a span and its surroundings,
 which decides about the candidates that aren't base spans.
 
@@ -223,20 +223,37 @@ def cells(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInPandas(run, "cell string, n long").groupBy("cell").agg(F.sum("n").alias("n"))
 
 
-def label_em(votes: np.ndarray, n: np.ndarray, rounds: int = 30, edge: float = 0.005) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
-    """Posterior of "personal" for each pattern; prior; accuracies on personal and on other spans."""
-    m = votes.shape[1]
-    prior, on, off = 0.7, np.full(m, 0.8), np.full(m, 0.6)
-    up, down = votes == 1, votes == -1
+#: How votes (-1, 0, 1) are believed to fall on personal and on other spans before any is seen.
+GOOD, BAD = np.array([0.12, 0.4, 0.48]), np.array([0.36, 0.4, 0.24])
+
+
+def label_em(votes: np.ndarray, n: np.ndarray, rounds: int = 60, edge: float = 0.005, anchor: float = 0.1) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
+    """For the vote patterns of one kind: posterior of "personal"; prior; shares of each labeler's votes on personal and on other spans.
+
+    An abstention is a vote of its own, as some labelers only ever speak against
+    a span.  The first beliefs count as a share ``anchor`` of all candidates (ten at
+    least), so they keep their meaning in small and large tables alike.
+    """
+    share = max(10.0, anchor * float(n.sum()))
+    hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
+    prior, good, bad = 0.7, np.tile(GOOD, (votes.shape[1], 1)), np.tile(BAD, (votes.shape[1], 1))
     for _ in range(rounds):
-        odds = math.log(prior / (1 - prior)) + up @ np.log(on / (1 - off)) + down @ np.log((1 - on) / off)
+        odds = math.log(prior / (1 - prior)) + np.einsum("ijv,jv->i", hot, np.log(good) - np.log(bad))
         p = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
-        good, bad = n * p, n * (1 - p)
-        prior = float(np.clip((good.sum() + 1) / (n.sum() + 2), edge, 1 - edge))
-        on = np.clip((good @ up + 8) / (good @ (up | down) + 10), edge, 1 - edge)
-        off = np.clip((bad @ down + 6) / (bad @ (up | down) + 10), edge, 1 - edge)
-        off = np.clip(off, 1 - on + edge, 1 - edge)  # better than chance: keeps the meaning of the classes
-    return p, prior, on, off
+        yes, no = n * p, n * (1 - p)
+        prior = float(np.clip((yes.sum() + 1) / (n.sum() + 2), edge, 1 - edge))
+        good = (np.einsum("i,ijv->jv", yes, hot) + share * GOOD) / (yes.sum() + share)
+        bad = (np.einsum("i,ijv->jv", no, hot) + share * BAD) / (no.sum() + share)
+    return p, prior, good, bad
+
+
+def targets(kinds: np.ndarray, votes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Posterior of each pattern; every kind has reliabilities of its own, as a checksum says more of some kinds than of others."""
+    out = np.zeros(len(n))
+    for k in np.unique(kinds):
+        own = kinds == k
+        out[own] = label_em(votes[own], n[own])[0]
+    return out
 
 
 def _encoded(shapes: np.ndarray) -> np.ndarray:
@@ -269,8 +286,8 @@ def fit(docs: DataFrame, text: str = "text") -> np.ndarray:
     if not rows:
         return np.zeros(sum(SHAPE_SIZES) + 1)
     table, n = np.array([r[0] for r in rows]), np.array([float(r[1]) for r in rows])
-    target = label_em(table[:, : len(LABELERS)], n)[0]
-    return fit_logistic(_encoded(table[:, len(LABELERS) :]), target, n)
+    m = len(LABELERS)
+    return fit_logistic(_encoded(table[:, m:]), targets(table[:, m], table[:, :m], n), n)
 
 
 def all_spans(text: str, weights: np.ndarray, least: float = 0.5) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
