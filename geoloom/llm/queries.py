@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import chat, decontaminate, html, langid, pieces, pii, quality, simhash, suffixes, warc
+from . import chat, decontaminate, divergence, html, langid, middle, pieces, pii, quality, simhash, suffixes, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,9 +23,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": warc.op8_warc,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_html": html.op10_html,
+        "op12_middle": middle.op12_middle,
+        "op13_divergence": divergence.op13_divergence,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": chat.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL}
+    return {"op3_chat": chat.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL, "op12_middle": middle.ORACLE_SQL, "op13_divergence": divergence.ORACLE_SQL}
