@@ -49,8 +49,8 @@ from .common import small_batches, stored
 LEAST, SCALE, TOP = 10, 1_000_000_000, 10
 #: Cells of a row of the sketch, a power of two: so many for each document, between these bounds.
 CELLS_A_DOCUMENT, FEWEST_CELLS, MOST_CELLS = 64, 1 << 20, 1 << 27
-#: Cells of a slice, the unit in which sketches are merged; entries after which a task hands over what it counted.
-SLICE, MOST_HELD = 1 << 16, 300_000
+#: Cells of a slice, the unit in which sketches are merged; bytes hashed at a time; entries after which a task hands over what it counted.
+SLICE, CHUNK, MOST_HELD = 1 << 16, 1 << 20, 600_000
 _term = re.compile(rb"[a-z\x80-\xff]+")
 
 
@@ -60,27 +60,87 @@ def _terms(value: pa.Scalar) -> list[bytes]:
     return _term.findall(b.lower()) if b else []
 
 
-def _cells(lang: bytes, terms: list[bytes], cells: int) -> np.ndarray:
-    """Places of the terms in the two rows of the sketch, as an array of shape (2, terms)."""
-    seed = xxhash.xxh64_intdigest(lang)
-    h = np.array([xxhash.xxh64_intdigest(t, seed) for t in terms], np.uint64)
+#: Each byte of a term, A-Z lower-cased; 0 for all others.
+_CODES = np.array([b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], np.uint8)
+#: An odd base of the terms' hash and its inverse modulo 2 ** 64; both are free choices.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+class Hasher:
+    """64-bit hashes of the terms of a buffer, without a Python object for each: differences of prefix sums."""
+
+    def __init__(self) -> None:
+        self.up, self.down = _powers(_BASE, CHUNK), _powers(_INVERSE, CHUNK)
+
+    def _grown(self, n: int) -> None:
+        if n > len(self.up):  # a term that is longer than a chunk
+            self.up, self.down = _powers(_BASE, n), _powers(_INVERSE, n)
+
+    def __call__(self, data: np.ndarray, breaks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(begin of each term, hash) for runs of terms; no term crosses one of the ``breaks``."""
+        begin = 0
+        while begin < len(data):
+            end = min(len(data), begin + CHUNK)
+            while end < len(data) and _CODES[data[end]] and _CODES[data[end - 1]]:  # not within a term
+                tail = _CODES[data[end : end + CHUNK]] == 0
+                end += int(tail.argmax()) if tail.any() else len(tail)
+            code = _CODES[data[begin:end]]
+            self._grown(len(code))
+            word = np.concatenate([[False], code != 0, [False]])
+            cut = np.zeros(len(code) + 1, bool)
+            cut[breaks[np.searchsorted(breaks, begin) : np.searchsorted(breaks, end, "right")] - begin] = True
+            first = np.flatnonzero(word[1:-1] & (~word[:-2] | cut[:-1]))
+            last = np.flatnonzero(word[1:-1] & (~word[2:] | cut[1:]))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * self.up[: len(code)], dtype=np.uint64)])
+            yield first + begin, (sums[last + 1] - sums[first]) * self.down[first]
+            begin = end
+
+
+def _mixed(h: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
+    """Hashes of terms of languages, every bit of which depends on all."""
+    h = (h ^ seed) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
+def _seed(lang: bytes) -> np.uint64:
+    return np.uint64(xxhash.xxh64_intdigest(lang))
+
+
+def _cells(h: np.ndarray, cells: int) -> np.ndarray:
+    """Places in the two rows of the sketch, as an array of shape (2, terms)."""
     mask = np.uint64(cells - 1)
     return np.stack([h & mask, (h >> np.uint64(32) & mask) + np.uint64(cells)]).astype(np.int64)
 
 
-def _columns(batch: pa.RecordBatch) -> tuple[list[bytes], list[bytes], pa.Array]:
-    lang, source, text = (batch.column(k).cast(pa.large_binary()) for k in range(3))
-    return lang.to_pylist(), source.to_pylist(), text
+def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values, and where each begins (and the last ends)."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8, offsets[-1] - offsets[0], offsets[0]) if data is not None and data.size else np.zeros(0, np.uint8)
+    return data, offsets - offsets[0]
+
+
+def _added(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(h, kind="stable")
+    h, n = h[order], n[order]
+    at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[: len(h)])
+    return h[at], np.add.reduceat(n, at) if len(at) else n
 
 
 def _sketching(cells: int):
     """Cells that a task's documents touch, as slices: places in the slice and counts up to 255."""
 
-    def emit(held: dict[bytes, Counter]) -> Iterator[pa.RecordBatch]:
-        at = [_cells(lang, list(c), cells) for lang, c in held.items()]
-        n = [np.tile(np.fromiter(c.values(), np.int64, len(c)), (2, 1)) for c in held.values()]
-        place, inverse = np.unique(np.concatenate([x.ravel() for x in at]), return_inverse=True)
-        count = np.minimum(np.bincount(inverse, np.concatenate([x.ravel() for x in n])), 255).astype(np.uint8)
+    def emit(h: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        place, count = _added(_cells(h, cells).ravel(), np.tile(n, 2))
+        count = np.minimum(count, 255).astype(np.uint8)
         slices, begin = np.unique(place // SLICE, return_index=True)
         end = [*begin[1:], len(place)]
         low = (place % SLICE).astype(np.uint16)
@@ -88,17 +148,31 @@ def _sketching(cells: int):
         yield pa.RecordBatch.from_arrays([pa.array(slices, pa.int32()), pa.array(rows, pa.binary())], ["slice", "cells"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, Counter] = {}
+        hasher, held, size = Hasher(), [], 0
         for batch in batches:
-            langs, _, texts = _columns(batch)
-            for lang, text in zip(langs, texts, strict=True):
-                if terms := _terms(text):
-                    held.setdefault(lang, Counter()).update(set(terms))
-            if sum(map(len, held.values())) >= MOST_HELD:
-                yield from emit(held)
-                held = {}
+            langs, texts = batch.column(0).cast(pa.large_binary()).to_pylist(), batch.column(2).cast(pa.large_binary())
+            seeds = {x: _seed(x) for x in set(langs)}
+            of_doc = np.array([seeds[x] for x in langs], np.uint64)
+            data, offsets = _buffer(texts)
+            for first, h in hasher(data, offsets[1:-1]):
+                doc = np.searchsorted(offsets, first, "right") - 1
+                h = _mixed(h, of_doc[doc])
+                order = np.argsort(h, kind="stable")  # keeps the order of documents
+                h, doc = h[order], doc[order]
+                new = np.concatenate([[True], h[1:] != h[:-1]])[: len(h)]
+                other = new | np.concatenate([[True], doc[1:] != doc[:-1]])[: len(h)]
+                at = np.flatnonzero(new)
+                if len(at):
+                    held.append((h[at], np.add.reduceat(other.astype(np.int64), at)))
+                    size += len(at)
+            if size >= 4 * MOST_HELD:
+                held = [_added(*map(np.concatenate, zip(*held, strict=True)))]
+                size = len(held[0][0])
+                if size >= 2 * MOST_HELD:
+                    yield from emit(*held[0])
+                    held, size = [], 0
         if held:
-            yield from emit(held)
+            yield from emit(*_added(*map(np.concatenate, zip(*held, strict=True))))
 
     return run
 
@@ -141,34 +215,52 @@ def possible(docs: DataFrame, cells: int, least: int = LEAST) -> bytes:
     return bytes(bits)
 
 
+_COUNTED = "lang string, term string, df long, uses array<struct<source: string, n: long>>"
+
+
 def _counting(shared, cells: int):
-    """(lang, term, source, n, df) of a task's documents, without terms that the sketch rules out."""
+    """(lang, term, df, uses by source) of a task's documents, without terms that the sketch rules out."""
 
-    def emit(bits: np.ndarray, held: dict[tuple[bytes, bytes], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, df) in held.items():
-            terms = list(n)
-            at = _cells(lang, terms, cells)
+    def emit(bits: np.ndarray, hasher: Hasher, held: dict[bytes, tuple[Counter, dict[bytes, Counter]]]) -> Iterator[pa.RecordBatch]:
+        for lang, (df, by_source) in held.items():
+            terms = list(df)
+            joined = np.frombuffer(b" ".join(terms), np.uint8)
+            at = _cells(_mixed(np.concatenate([h for _, h in hasher(joined, np.zeros(0, np.int64))]), _seed(lang)), cells)
             good = ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=0)
             left = [t for t, g in zip(terms, good, strict=True) if g]
-            if left:
-                names = [pa.array([x] * len(left), pa.binary()).cast(pa.string()) for x in (lang, source)]
-                counts = [pa.array([c[t] for t in left], pa.int64()) for c in (n, df)]
-                yield pa.RecordBatch.from_arrays([names[0], pa.array(left, pa.binary()).cast(pa.string()), names[1], *counts], ["lang", "term", "source", "n", "df"])
+            place = {t: k for k, t in enumerate(left)}
+            which, uses, names = [], [], []
+            for k, (source, n) in enumerate(by_source.items()):
+                row = np.fromiter((place.get(t, -1) for t in n), np.int64, len(n))
+                which.append(row[row >= 0])
+                uses.append(np.fromiter(n.values(), np.int64, len(n))[row >= 0])
+                names.append(np.full(len(which[-1]), k, np.int32))
+            if not left:
+                continue
+            which, uses, names = map(np.concatenate, (which, uses, names))
+            order = np.argsort(which, kind="stable")
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(left)))]).astype(np.int32)
+            sources = pa.DictionaryArray.from_arrays(pa.array(names[order]), pa.array(list(by_source), pa.binary()).cast(pa.string())).cast(pa.string())
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([sources, pa.array(uses[order])], ["source", "n"]))
+            lang_column = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(left), np.int32)), pa.array([lang], pa.binary()).cast(pa.string())).cast(pa.string())
+            whole = pa.RecordBatch.from_arrays([lang_column, pa.array(left, pa.binary()).cast(pa.string()), pa.array([df[t] for t in left], pa.int64()), lists], ["lang", "term", "df", "uses"])
+            for k in range(0, len(left), 50_000):
+                yield whole.slice(k, 50_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint8)
-        held: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
+        bits, hasher = np.frombuffer(shared.value, np.uint8), Hasher()
+        held: dict[bytes, tuple[Counter, dict[bytes, Counter]]] = {}
         for batch in batches:
-            langs, sources, texts = _columns(batch)
-            for lang, source, text in zip(langs, sources, texts, strict=True):
+            langs, sources, texts = (batch.column(k).cast(pa.large_binary()) for k in range(3))
+            for lang, source, text in zip(langs.to_pylist(), sources.to_pylist(), texts, strict=True):
                 if terms := _terms(text):
-                    n, df = held.setdefault((lang, source), (Counter(), Counter()))
-                    n.update(terms)
+                    df, by_source = held.setdefault(lang, (Counter(), {}))
+                    by_source.setdefault(source, Counter()).update(terms)
                     df.update(set(terms))
-            if sum(len(n) for n, _ in held.values()) >= MOST_HELD:
-                yield from emit(bits, held)
+            if sum(len(n) for _, by_source in held.values() for n in by_source.values()) >= MOST_HELD:
+                yield from emit(bits, hasher, held)
                 held = {}
-        yield from emit(bits, held)
+        yield from emit(bits, hasher, held)
 
     return run
 
@@ -178,8 +270,11 @@ def counted(docs: DataFrame, least: int = LEAST, cells: int | None = None) -> Da
     spark = docs.sparkSession
     cells = cells or cells_for(docs.count())
     shared = spark.sparkContext.broadcast(possible(docs, cells, least))
-    rows = docs.mapInArrow(_counting(shared, cells), "lang string, term string, source string, n long, df long")
-    each = rows.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    rows = docs.mapInArrow(_counting(shared, cells), _COUNTED).repartition("lang", "term")
+    # the documents of a row count once, with the first of its sources
+    uses = rows.select("lang", "term", "df", F.posexplode("uses").alias("at", "use"))
+    uses = uses.select("lang", "term", "use.source", "use.n", F.when(F.col("at") == 0, F.col("df")).otherwise(0).alias("df"))
+    each = uses.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
     own = Window.partitionBy("lang", "term")
     each = each.withColumns({"lang_df": F.sum("df").over(own), "lang_n": F.sum("n").over(own), "head": (F.row_number().over(own.orderBy("source")) == 1).cast("int")})
     return each.where(F.col("lang_df") >= least).select("lang", "term", "source", "n", "lang_n", "head")
