@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import chat, decontaminate, divergence, html, langid, middle, pieces, pii, quality, simhash, suffixes, warc
+from . import chat, decontaminate, divergence, html, langid, middle, pieces, pii, quality, simhash, suffixes, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": warc.op8_warc,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_html": html.op10_html,
+        "op11_urls": urls.op11_urls,
         "op12_middle": middle.op12_middle,
         "op13_divergence": divergence.op13_divergence,
         "pipeline": corpus_pipeline.run,

@@ -109,7 +109,7 @@ def mined(labelled: DataFrame, support: float = SUPPORT, fewest: int = FEWEST, c
     shares = {r["verdict"]: r["n"] / total for r in sets.where(F.col("verdict").isNotNull() & (F.size("tokens") == 0)).collect()}
     if not shares:
         return empty
-    share = F.get(F.create_map(*[F.lit(x) for kv in shares.items() for x in kv]), F.col("verdict"))
+    share = F.element_at(F.create_map(*[F.lit(x) for kv in shares.items() for x in kv]), F.col("verdict"))
     plain = sets.where(F.col("verdict").isNull()).select("tokens", "n")
     rules = sets.where(F.col("verdict").isNotNull() & (F.size("tokens") > 0)).withColumnRenamed("n", "hits").join(plain, "tokens")
     rules = rules.withColumn("confidence", F.col("hits") / F.col("n")).where((F.col("confidence") >= confidence) & (F.col("confidence") > share))
