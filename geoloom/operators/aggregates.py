@@ -76,12 +76,14 @@ def color_range(values: DataFrame, c: str) -> DataFrame:
     return s.select(F.when(flat, F.col("lo")).otherwise(F.col("x")).alias("scale_min"), F.when(flat, F.col("lo") + 1.0).otherwise(F.col("y")).alias("scale_max"))
 
 
-def cover_metrics(counts: DataFrame, c: str = "n_cover") -> DataFrame:
-    """(overlap_ratio, mean_multiplicity, uncovered); without samples (1, 0, 0)."""
+def cover_metrics(counts: DataFrame, c: str = "n_cover", n: str | None = None) -> DataFrame:
+    """(overlap_ratio, mean_multiplicity, uncovered); without samples (1, 0, 0).  ``n``: how many samples a row stands for, one if left out."""
+    n = F.col(n) if n else F.lit(1)
+    total = F.nullif(F.sum(n).cast("double"), F.lit(0.0))
     return counts.agg(
-        F.coalesce(F.avg((F.col(c) >= 2).cast("double")), F.lit(1.0)).alias("overlap_ratio"),
-        F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias("mean_multiplicity"),
-        F.count_if(F.col(c) == 0).alias("uncovered"),
+        F.coalesce(F.sum(F.when(F.col(c) >= 2, n).otherwise(0)) / total, F.lit(1.0)).alias("overlap_ratio"),
+        F.coalesce(F.sum(F.col(c) * n) / total, F.lit(0.0)).alias("mean_multiplicity"),
+        F.coalesce(F.sum(F.when(F.col(c) == 0, n).otherwise(0)), F.lit(0)).cast("long").alias("uncovered"),
     )
 
 

@@ -3,7 +3,7 @@
 Two sides meet in a grid whose cells are as wide as the reach; the side named
 ``points`` looks into its own and the neighbouring cells, so the join is an
 equi-join on the cell with the exact distance as a residual test.  Nearest
-neighbours widen the reach, round by round, only for points that aren't settled.
+neighbours and coverage follow the density of a table instead, see ``pyramid``.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from ..functions.scalars import EPS, haversine, squared, unit_vector
 from ..session import cut
+from .pyramid import coverage, coverage_histogram, knn, unique_support  # noqa: F401  (part of this module's interface)
 
 
 def _cells(coordinates: list[Column], reach: float | Column) -> list[Column]:
@@ -65,31 +66,6 @@ def _extent(points: DataFrame, sites: DataFrame) -> tuple[float, int]:
     return float(((r[0] or 0.0) ** 2 + (r[1] or 0.0) ** 2) ** 0.5) + 1.0, int(r[2] or 0)
 
 
-def knn(points: DataFrame, sites: DataFrame, k: int, key: str, order: str) -> DataFrame:
-    """The ``k`` nearest sites of each point (px, py), with ``rank``; ties go to the lower ``order`` of the site.
-
-    A point is settled once ``k`` sites lie within the reach.  The reach begins
-    where ``k`` sites are expected and doubles.
-    """
-    far, n = _extent(points, sites)
-    if not n:
-        return points.crossJoin(sites.limit(0)).withColumns({"d2": F.lit(0.0), "rank": F.lit(1)})
-    reach, done, rest = far * (k / n) ** 0.5, [], points
-    w = Window.partitionBy(key).orderBy("d2", order)
-    while True:
-        hits = cut(pairs_on_plane(rest, sites, min(reach, far)).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
-        if reach >= far:
-            done.append(hits)
-            break
-        settled = hits.where(F.col("rank") == k).select(key)
-        done.append(hits.join(settled, key, "left_semi"))
-        rest = rest.join(settled, key, "left_anti")
-        if rest.isEmpty():
-            break
-        reach *= 2
-    return reduce(DataFrame.unionByName, done)
-
-
 def idw(neighbours: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """Inverse squared distance mean of the neighbours; a site at the point itself gives its value."""
     w = 1 / F.greatest(F.col("d2"), F.lit(1e-12))
@@ -126,14 +102,6 @@ def nearest_norm(points: DataFrame, sites: DataFrame, key: str, site_key: str |
     return points.select(key).join(found, key, "left").select(key, F.coalesce("nn", F.lit(float("inf"))).alias("nn"))
 
 
-def coverage(samples: DataFrame, circles: DataFrame, key: str) -> DataFrame:
-    """(key, n_cover): circles (sx, sy, sr) over each sample (px, py), zero included."""
-    most = circles.agg(F.max("sr")).first()[0]
-    over = pairs_on_plane(samples, circles, float(most or 1.0), spread="sites").where(F.col("d2") <= F.col("sr") * F.col("sr") + EPS) if most is not None else samples.limit(0)
-    n = over.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return samples.select(key).join(n, key, "left").select(key, F.coalesce("n", F.lit(0)).cast("long").alias("n_cover"))
-
-
 def coverage_and_nearest(samples: DataFrame, circles: DataFrame, key: str, circle: str) -> DataFrame:
     """(key, n_cover, nearest): also the distance to the nearest of all circles' centres, infinite without circles."""
     nearest = knn(samples.select(key, "px", "py"), circles.select(circle, "sx", "sy"), 1, key, circle).select(key, F.sqrt("d2").alias("nearest"))
@@ -145,14 +113,6 @@ def covering_pairs(samples: DataFrame, circles: DataFrame) -> DataFrame:
     return pairs_on_plane(samples, circles, float(most), spread="sites").where(F.col("d2") <= F.col("sr") * F.col("sr") + EPS)
 
 
-def unique_support(samples: DataFrame, circles: DataFrame, key: str, circle: str) -> DataFrame:
-    """(circle, n_unique, n_covered): samples that only this circle covers, and all that it covers."""
-    edges = covering_pairs(samples, circles).select(key, circle)
-    n = edges.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    out = edges.join(n, key).groupBy(circle).agg(F.count_if(F.col("n") == 1).alias("n_unique"), F.count(F.lit(1)).alias("n_covered"))
-    return circles.select(circle).join(out, circle, "left").select(circle, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_unique", "n_covered")])
-
-
 def missing_keys(required: DataFrame, have: DataFrame, key: str) -> DataFrame:
     return required.join(have, key, "left_anti")
 

@@ -160,7 +160,7 @@ COVER = PLANE + f", cover AS (SELECT s.place_id, count(c.circle) AS n FROM sampl
 
 @query(COVER + " SELECT round(avg(CASE WHEN n >= 2 THEN 1e0 ELSE 0e0 END), 9) AS overlap_ratio, round(avg(CAST(n AS DOUBLE)), 9) AS mean_multiplicity, CAST(count(CASE WHEN n = 0 THEN 1 END) AS BIGINT) AS uncovered FROM cover")
 def coverage_multiplicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = A.cover_metrics(J.coverage(samples(spark, sf_dir), circles(spark, sf_dir), "place_id"))
+    m = A.cover_metrics(J.coverage_histogram(samples(spark, sf_dir), circles(spark, sf_dir), "place_id"), n="n")
     return m.select(F.round("overlap_ratio", 9).alias("overlap_ratio"), F.round("mean_multiplicity", 9).alias("mean_multiplicity"), "uncovered")
 
 
@@ -593,17 +593,8 @@ def pruned_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive.pruned(spark, _regions()[0], _cells_array(spark, sf_dir), AdaptiveConfig()).select(F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), "radius", F.round("density", 6).alias("density"), "kept")
 
 
-@query()
-def union_disk_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Area of the region that the seeds' circles leave uncovered, tile by tile."""
-    from .plans.coverage import uncovered_by_tile
-
-    c = circles(spark, sf_dir).select((F.col("sx") + 4000).alias("x"), (F.col("sy") + 3500).alias("y"), "sr")
-    return uncovered_by_tile(spark, _regions()[0], c, 2000.0)
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import collection_queries, item_queries  # noqa: F401  (they register theirs)
+    from . import collection_queries, item_queries, polygon_queries  # noqa: F401  (they register theirs)
 
     return dict(QUERIES)
 
