@@ -45,32 +45,34 @@ class Grid:
     def slack(self) -> float:
         return 1e-12 * (self.size + abs(self.x0) + abs(self.y0))
 
-    def width(self, level: Column | int) -> Column | float:
-        return self.size / 4.0**level if isinstance(level, int) else F.lit(self.size) / F.pow(F.lit(4.0), level)
+    # SQL text: a search builds these many times, and a text costs the driver one call
+    @property
+    def width(self) -> str:
+        """Width of a cell of the column level."""
+        return f"({self.size!r}D / pow(4D, level))"
 
-    def index(self, v: Column, origin: float, cells: Column | int, width: Column | float) -> Column:
-        cells = F.lit(cells) if isinstance(cells, int) else cells
-        return F.greatest(F.lit(0), F.least(cells - 1, F.floor((v - origin) / width))).cast("long")
+    def index(self, v: str, origin: float, cells: str = "cast(pow(4D, level) AS BIGINT)") -> str:
+        """Number of the cell of the column level that a coordinate lies in; the nearest for one outside."""
+        return f"greatest(0L, least({cells} - 1, cast(floor(({v} - {origin!r}D) / {self.width}) AS BIGINT)))"
 
-    def finest(self, x: Column, y: Column) -> dict[str, Column]:
-        """The cell of a place on the finest level; places outside belong to the nearest cell."""
-        w = self.width(DEPTH)
-        return {"_x": self.index(x, self.x0, SIDE, w), "_y": self.index(y, self.y0, SIDE, w)}
+    def finest(self, rows: DataFrame, x: str, y: str) -> DataFrame:
+        """With _x and _y, the cell on the finest level."""
+        cell = [self.index(v, o).replace("level", str(DEPTH)) for v, o in ((f"`{x}`", self.x0), (f"`{y}`", self.y0))]
+        return rows.withColumns({"_x": F.expr(cell[0]), "_y": F.expr(cell[1])})
 
-    def bounds2(self, x: Column, y: Column) -> tuple[Column, Column]:
+    def bounds2(self, x: str, y: str) -> tuple[str, str]:
         """Least and greatest squared distance from a place to the cell in the columns level, cx and cy."""
-        w, out = self.width(F.col("level")), []
-        for v, origin, c in ((x, self.x0, F.col("cx")), (y, self.y0, F.col("cy"))):
-            low = F.lit(origin) + c * w - self.slack
-            high = low + w + 2 * self.slack
-            out.append((F.greatest(low - v, v - high, F.lit(0.0)), F.greatest(v - low, high - v)))
-        return tuple(out[0][k] * out[0][k] + out[1][k] * out[1][k] for k in range(2))
+        out = []
+        for v, origin, c in ((x, self.x0, "cx"), (y, self.y0, "cy")):
+            low = f"({origin!r}D + {c} * {self.width} - {self.slack!r}D)"
+            high = f"({origin!r}D + ({c} + 1) * {self.width} + {self.slack!r}D)"
+            out.append((f"greatest({low} - {v}, {v} - {high}, 0D)", f"greatest({v} - {low}, {high} - {v})"))
+        return tuple(f"(pow({out[0][k]}, 2) + pow({out[1][k]}, 2))" for k in range(2))
 
 
-def _up(level: Column, x: str = "_x", y: str = "_y", of: Column | int = DEPTH) -> dict[str, Column]:
-    """The cell of a level that holds a cell of a finer one."""
-    shift = (HALVINGS * ((F.lit(of) if isinstance(of, int) else of) - level)).cast("int")
-    return {"cx": F.call_function("shiftright", F.col(x), shift), "cy": F.call_function("shiftright", F.col(y), shift)}
+def _up(x: str = "_x", y: str = "_y", of: str = str(DEPTH)) -> dict[str, Column]:
+    """The cell of the column level that holds a cell of a finer one."""
+    return {c: F.expr(f"shiftright({v}, cast({HALVINGS} * ({of} - level) AS INT))") for c, v in (("cx", x), ("cy", y))}
 
 
 @dataclass(frozen=True)
@@ -85,16 +87,16 @@ class Pyramid:
     leaves: DataFrame
     rows: DataFrame
 
-    def open_cells(self) -> Column:
+    @property
+    def open_cells(self) -> str:
         """Cells that have children to look at."""
-        return (F.col("level") < self.start) | ((F.col("n") > self.most) & (F.col("level") < DEPTH))
+        return f"(level < {self.start} OR (n > {self.most} AND level < {DEPTH}))"
 
-    def opened(self, cells: DataFrame, which: Column) -> DataFrame:
+    def opened(self, cells: DataFrame, which: str) -> DataFrame:
         """Cells (level, cx, cy, n, and other columns) with those of ``which`` replaced by their children that hold rows."""
-        own = F.struct(*[F.col(c) for c in CELL])
-        below = F.array(*[F.struct((F.col("level") + 1).alias("level"), (F.col("cx") * 4 + a).alias("cx"), (F.col("cy") * 4 + b).alias("cy")) for a in range(4) for b in range(4)])
         others = [c for c in cells.columns if c not in (*CELL, "n")]
-        now = cells.select(*others, F.explode(F.when(which, below).otherwise(F.array(own))).alias("_cell"))
+        below = "transform(sequence(0, 15), i -> struct(level + 1 AS level, cx * 4 + i div 4 AS cx, cy * 4 + i % 4 AS cy))"
+        now = cells.select(*others, F.expr(f"explode(CASE WHEN {which} THEN {below} ELSE array(struct(level, cx, cy)) END) AS _cell"))
         return now.select(*others, "_cell.*").join(self.counts, CELL)
 
 
@@ -110,15 +112,15 @@ def build(rows: DataFrame, x: str, y: str, cap: int, also: DataFrame | None = No
     grid = Grid(float(r[0]), float(r[2]), max(float(r[1] - r[0]), float(r[3] - r[2]), 1e-6) * (1 + 1e-9))
     total = int(r[4])
     start = min(DEPTH, max(0, math.ceil(math.log(max(1.0, total / cap), 16))))
-    keyed = rows.withColumns(grid.finest(F.col(x), F.col(y)))
+    keyed = grid.finest(rows, x, y)
     level = F.col("level")
 
     def counted(df: DataFrame, first: int, last: int) -> DataFrame:
-        each = df.select("_x", "_y", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("level")).withColumns(_up(level))
+        each = df.select("_x", "_y", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("level")).withColumns(_up())
         return each.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"))
 
     coarse = cut(counted(keyed, 0, start))
-    at_start, most = keyed.withColumn("level", F.lit(start)).withColumns(_up(level)), DENSE * cap
+    at_start, most = keyed.withColumn("level", F.lit(start)).withColumns(_up()), DENSE * cap
     even = coarse.where((level == start) & (F.col("n") <= most))
     heavy = coarse.where((level == start) & (F.col("n") > most)).select(*CELL)
     if start == DEPTH or heavy.isEmpty():
@@ -130,7 +132,7 @@ def build(rows: DataFrame, x: str, y: str, cap: int, also: DataFrame | None = No
     # a leaf: few enough rows, or the finest level, below a cell that was split
     split = fine.withColumns({"_cx": F.shiftright("cx", HALVINGS), "_cy": F.shiftright("cy", HALVINGS)}).join(above, ["level", "_cx", "_cy"]).where(F.col("_n") > most)
     leaves = cut(split.where((F.col("n") <= most) | (level == DEPTH)).select(*CELL, "n"))
-    down = dense.withColumn("level", F.explode(F.sequence(F.lit(start + 1), F.lit(DEPTH)))).withColumns(_up(level)).join(leaves.drop("n"), CELL)
+    down = dense.withColumn("level", F.explode(F.sequence(F.lit(start + 1), F.lit(DEPTH)))).withColumns(_up()).join(leaves.drop("n"), CELL)
     rest = at_start.join(heavy, CELL, "left_anti")
     return Pyramid(grid, start, most, total, counts, even.unionByName(leaves), rest.unionByName(down).drop("_x", "_y"))
 
@@ -142,31 +144,28 @@ def nearest_leaves(points: DataFrame, pyramid: Pyramid, k: int, key: str) -> Dat
     rows, with the cells around that are no farther than that cell reaches.
     """
     grid, wanted = pyramid.grid, min(k, pyramid.total)
-    px, py = F.col("px"), F.col("py")
-    levels = points.select(key, "px", "py").withColumns(grid.finest(px, py)).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(pyramid.start)))).withColumns(_up(F.col("level")))
+    levels = grid.finest(points.select(key, "px", "py"), "px", "py").withColumn("level", F.expr(f"explode(sequence(0, {pyramid.start}))")).withColumns(_up())
     enough = levels.join(pyramid.counts.where(F.col("n") >= wanted), CELL)
     own = enough.groupBy(key, "px", "py").agg(F.max("level").alias("level"))
-    width, cells = grid.width(F.col("level")), F.pow(F.lit(4), F.col("level")).cast("long")
-    around = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-2, 3) for b in range(-2, 3)])
-    at = own.withColumns({"cx": grid.index(px, grid.x0, cells, width), "cy": grid.index(py, grid.y0, cells, width), "_d": F.explode(around)})
-    at = at.withColumns({"cx": F.col("cx") + F.col("_d.a"), "cy": F.col("cy") + F.col("_d.b")}).where(F.col("cx").between(0, cells - 1) & F.col("cy").between(0, cells - 1))
-    # a point outside the square would need more cells; the square holds all points
+    # the square holds all points, so their cells are those that they lie in
+    at = own.withColumns({"cx": F.expr(grid.index("px", grid.x0)), "cy": F.expr(grid.index("py", grid.y0)), "_d": F.expr("explode(sequence(0, 24))")})
+    at = at.withColumns({"cx": F.expr("cx + _d div 5 - 2"), "cy": F.expr("cy + _d % 5 - 2")}).where("cx >= 0 AND cy >= 0 AND cx < pow(4D, level) AND cy < pow(4D, level)")
     now = at.select(key, "px", "py", *CELL).join(pyramid.counts, CELL)
-    low, high = grid.bounds2(px, py)
+    low, high = grid.bounds2("px", "py")
     own_rows = Window.partitionBy(key)
     by_reach = own_rows.orderBy("_high", *CELL).rowsBetween(Window.unboundedPreceding, 0)
 
     def pruned(cells: DataFrame) -> DataFrame:
         """Without cells farther than a reach within which there are enough rows."""
         reach = F.min(F.when(F.col("_sum") >= wanted, F.col("_high"))).over(own_rows)
-        cells = cells.withColumn("_high", high).withColumn("_sum", F.sum("n").over(by_reach)).withColumn("_reach", reach)
-        return cells.where(low <= F.col("_reach")).drop("_high", "_sum", "_reach")
+        cells = cells.withColumn("_high", F.expr(high)).withColumn("_sum", F.sum("n").over(by_reach)).withColumn("_reach", reach)
+        return cells.where(f"{low} <= _reach").drop("_high", "_sum", "_reach")
 
     now, done = pruned(now), None
     while True:
         for _ in range(ROUNDS):
-            now = pruned(pyramid.opened(now, pyramid.open_cells()))
-        now = cut(now.withColumn("_more", F.max(pyramid.open_cells()).over(own_rows)))
+            now = pruned(pyramid.opened(now, pyramid.open_cells))
+        now = cut(now.withColumn("_more", F.max(F.expr(pyramid.open_cells)).over(own_rows)))
         settled, now = now.where("NOT _more").drop("_more"), now.where("_more").drop("_more")
         done = settled if done is None else done.unionByName(settled)
         if now.isEmpty():
@@ -206,22 +205,21 @@ def covered_cells(pyramid: Pyramid, circles: DataFrame, circle: str) -> Cover:
     """Cells that circles (sx, sy, sr) hold or cross.  A circle begins with cells about as wide as its radius, at most nine."""
     grid = pyramid.grid
     c = circles.select(circle, *[F.col(v).cast("double").alias(v) for v in ("sx", "sy", "sr")]).where(F.col("sr") >= 0)
-    fit = F.floor(F.log2(F.lit(grid.size) / F.greatest(F.col("sr"), F.lit(grid.size / SIDE))) / HALVINGS)
-    c = c.withColumn("level", F.greatest(F.lit(0), F.least(F.lit(pyramid.start), fit)).cast("int"))
-    width, cells = grid.width(F.col("level")), F.pow(F.lit(4), F.col("level")).cast("long")
-    margin = F.col("sr") + grid.slack + EPS
-    span = lambda v, o: F.sequence(grid.index(F.col(v) - margin, o, cells, width), grid.index(F.col(v) + margin, o, cells, width))
-    c = c.withColumn("cx", F.explode(span("sx", grid.x0))).withColumn("cy", F.explode(span("sy", grid.y0)))
-    low, high = grid.bounds2(F.col("sx"), F.col("sy"))
-    r2 = F.col("sr") * F.col("sr")
-    met = lambda cells: cells.where(low <= r2 + EPS).withColumn("_in", high <= r2)
+    fit = f"floor(log2({grid.size!r}D / greatest(sr, {grid.size / SIDE!r}D)) / {HALVINGS})"
+    c = c.withColumn("level", F.expr(f"cast(greatest(0, least({pyramid.start}, {fit})) AS INT)"))
+    margin = f"(sr + {grid.slack + EPS!r}D)"
+    for name, v, o in (("cx", "sx", grid.x0), ("cy", "sy", grid.y0)):
+        c = c.withColumn(name, F.expr(f"explode(sequence({grid.index(f'{v} - {margin}', o)}, {grid.index(f'{v} + {margin}', o)}))"))
+    low, high = grid.bounds2("sx", "sy")
+    met = lambda cells: cells.where(f"{low} <= sr * sr + {EPS!r}D").withColumn("_in", F.expr(f"{high} <= sr * sr"))
     now = met(c.select(circle, "sx", "sy", "sr", *CELL).join(pyramid.counts, CELL))
-    still, done = ~F.col("_in") & pyramid.open_cells(), None
+    still, done = f"(NOT _in AND {pyramid.open_cells})", None
     while True:
         for _ in range(ROUNDS):
             now = met(pyramid.opened(now, still))
         now = cut(now)
-        done = now.where(~still) if done is None else done.unionByName(now.where(~still))
+        over = now.where(f"NOT {still}")
+        done = over if done is None else done.unionByName(over)
         now = now.where(still)
         if now.isEmpty():
             return Cover(pyramid, done.where("_in").select(circle, *CELL, "n"), done.where("NOT _in").drop("_in"))
@@ -232,7 +230,7 @@ def _leaf_sums(cover: Cover, circle: str) -> DataFrame:
     held = cover.inside.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n"), F.min(circle).alias("_c"))
     leaves = cover.pyramid.leaves.withColumnRenamed("n", "leaf_n")
     named = leaves.select(*[F.col(c).alias(f"_{c}") for c in CELL])
-    up = named.withColumn("level", F.explode(F.sequence(F.lit(0), F.col("_level")))).withColumns(_up(F.col("level"), "_cx", "_cy", F.col("_level")))
+    up = named.withColumn("level", F.expr("explode(sequence(0, _level))")).withColumns(_up("_cx", "_cy", "_level"))
     sums = up.join(held, CELL).groupBy(*[F.col(f"_{c}").alias(c) for c in CELL]).agg(F.sum("_n").alias("inner"), F.min("_c").alias("one"))
     return leaves.join(sums, CELL, "left").withColumn("inner", F.coalesce("inner", F.lit(0).cast("long")))
 
