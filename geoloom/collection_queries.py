@@ -9,7 +9,7 @@ from .functions import scalars as S
 from .plans import collect
 from .queries import HAV, query
 from .session import new_folder
-from .sources import replay, sinks, tables
+from .sources import raster, replay, sinks, tables
 from .views import WITH, view
 
 _REACH = f"hits AS (SELECT s.input_index AS seed_index, s.radius, p.place_id, p.k, p.lat, p.lng, {HAV} AS distance FROM seeds s, places p WHERE {HAV} <= 2 * s.radius)"
@@ -108,6 +108,29 @@ def cells_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.cells(spark, folder).select(F.round("lon_center", 6).alias("lon_center"), F.round("lat_center", 6).alias("lat_center"), F.round("population_density", 4).alias("population_density"))
 
 
+_GRID = f"{WITH}, grid AS (SELECT CAST(id // 50 AS INT) AS \"row\", CAST(id % 50 AS INT) AS col, density FROM cells)"
+
+
+@query(f"""{_GRID} SELECT "row", col, round(98.853e0 + (col + 0.5e0) * 0.004e0, 6) AS lon, round(21e0 - ("row" + 0.5e0) * 0.003e0, 6) AS lat, round(density, 6) AS value,
+ CAST((SELECT greatest(1, least(20, max("row")) // 4 - 3 // 4 + 1) FROM grid) AS INT) AS strips FROM grid WHERE "row" BETWEEN 3 AND 20 AND col > 4 AND 98.853e0 + (col + 0.5e0) * 0.004e0 < 98.99e0""")
+def raster_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Density cells written as a GeoTIFF, and those of a window read again; ``strips``: how many of its strips the scan reads."""
+    grid = view(spark, sf_dir, "cells").select(F.expr("cast(id div 50 AS INT) AS row"), F.expr("cast(id % 50 AS INT) AS col"), F.col("density").alias("value"))
+    path = f"{new_folder(spark, 'raster')}.tif"
+    height = grid.agg(F.max("row")).first()[0] + 1
+    raster.write_raster(grid, path, 50, height, (98.853, 21.0), (0.004, 0.003), rows_per_strip=4)
+    found = raster.scan(spark, path, "row BETWEEN 3 AND 20 AND col > 4 AND lon < 98.99 AND value <> -9999")
+    return found.select("row", "col", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), F.round("value", 6).alias("value"), F.lit(found.rdd.getNumPartitions()).alias("strips"))
+
+
+@query(f"{WITH} SELECT round(lat, 6) AS lat, round(lng, 6) AS lng, radius + 0e0 AS radius, collected FROM seeds")
+def circle_plan_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Circles written by tasks as one JSON document, and read again."""
+    path = f"{new_folder(spark, 'plan')}.json"
+    sinks.circles_document(view(spark, sf_dir, "seeds").select("lat", "lng", "radius", "collected"), path)
+    return tables.circles(spark, path).select(F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"), "radius", "collected")
+
+
 @query(f"""{WITH} SELECT place_id, 'N "' || place_id || '", x' || chr(10) || 'y' AS name, round(lat, 6) AS lat, round(lng, 6) AS lon, CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(rating AS VARCHAR) END AS average_rating FROM places""")
 def places_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places written as CSV with quotes, commas and line feeds in texts and empty values, and read again."""

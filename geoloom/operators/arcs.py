@@ -25,6 +25,8 @@ from . import polygons as P
 TURN = 2 * math.pi
 #: Ends of edges count as crossings a little beyond; needless cuts of an arc do no harm.
 NEAR = 1e-9
+#: Where a piece of an arc is tested; not the middle, which touches an edge in symmetric plans.
+WITHIN = 0.4142
 
 
 def distinct_circles(circles: DataFrame, circle: str = "circle", x: str = "x", y: str = "y", r: str = "r") -> DataFrame:
@@ -116,8 +118,8 @@ def meetings(circles: DataFrame, edges: DataFrame) -> DataFrame:
 def uncovered(edges: DataFrame, circles: DataFrame) -> DataFrame:
     """(polygon, area, uncovered): area of each polygon, and of what no disk covers of it.
 
-    Exposed arcs are cut where they cross any edge; the middle of each piece tells
-    the polygons that it lies in.
+    Exposed arcs are cut where they cross any edge; a place of each piece tells the
+    polygons that it lies in.
     """
     c = cut(distinct_circles(circles))
     e = cut(edges.select("polygon", *[F.col(v).cast("double").alias(v) for v in ("x1", "y1", "x2", "y2")]).withColumn("edge", F.monotonically_increasing_id()))
@@ -140,9 +142,9 @@ def uncovered(edges: DataFrame, circles: DataFrame) -> DataFrame:
     w = Window.partitionBy("circle", "x", "y", "r").orderBy("at", "turn")
     pieces = events.withColumns({"open": F.sum("turn").over(w.rowsBetween(Window.unboundedPreceding, 0)), "to": F.lead("at").over(w)})
     pieces = cut(pieces.where((F.col("open") > 0) & (F.col("to") > F.col("at"))).select("x", "y", "r", "at", "to", F.monotonically_increasing_id().alias("piece")))
-    middle = (F.col("at") + F.col("to")) / 2
-    points = pieces.select("piece", (F.col("x") + F.col("r") * F.cos(middle)).alias("mx"), (F.col("y") + F.col("r") * F.sin(middle)).alias("my"))
-    inside = P.containing(points, e, "piece", "mx", "my")
+    place = F.col("at") + WITHIN * (F.col("to") - F.col("at"))
+    points = pieces.select("piece", (F.col("x") + F.col("r") * F.cos(place)).alias("mx"), (F.col("y") + F.col("r") * F.sin(place)).alias("my"))
+    inside = P.containing(points, e, "piece", "mx", "my", boundary=False)
     rims = inside.join(pieces.select("piece", (-_swept("at", "to")).alias("part")), "piece").select("polygon", "part")
     left = stretches.unionByName(rims).groupBy("polygon").agg(F.sum("part").alias("uncovered"))
     return area.join(left, "polygon", "left").select("polygon", "area", F.coalesce("uncovered", F.lit(0.0)).alias("uncovered"))

@@ -128,24 +128,47 @@ def nearest_band(rows: DataFrame, bands: list[tuple[int, int, int]], value: str)
     return F.array_min(options)["idx"]
 
 
+def _first_two(pairs: DataFrame, side: str, order: Column, rank: str) -> DataFrame:
+    """The two best pairs of each row of a side."""
+    w = Window.partitionBy(side).orderBy(order)
+    return pairs.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= 2)
+
+
 def greedy_match(pairs: DataFrame, new: str = "new_id", old: str = "old_id") -> DataFrame:
     """One-to-one matching by ascending d2 (ties: new, then old), each side used once.
 
-    Rounds: a pair that is the best of both its sides is matched, for no earlier
-    pair can take either side; the rest goes on without those sides.  That gives
-    the sequential greedy result by joins, without a group that holds all pairs.
+    A pair waits for the better pairs of its two sides.  One that waits for none is
+    matched.  One that waits for a single other is matched just if that isn't;
+    such pairs point at the one they wait for, and pointers are doubled, so that a
+    chain of n pairs is decided in log2(n) joins.  What is left without the matched
+    sides begins again; a round decides all pairs but those that wait for two or
+    more.  That gives the sequential greedy result by joins, without a group that
+    holds all pairs.  ``rounds`` of the result: how many joins of pointers and
+    beginnings it took.
     """
     order = F.struct("d2", new, old)
-    rest, done = pairs.select(new, old, "d2"), None
-    spark = pairs.sparkSession
-    rest = cut(rest)
+    rest, done, rounds = cut(pairs.groupBy(new, old).agg(F.min("d2").alias("d2"))), None, 0
     while not rest.isEmpty():
-        by_new = rest.groupBy(new).agg(F.min(order).alias("m")).select("m.*")
-        by_old = rest.groupBy(old).agg(F.min(order).alias("m")).select("m.*")
-        won = by_new.join(by_old, ["d2", new, old], "left_semi")
-        won = cut(won)
+        own = F.struct(F.col("d2").alias("a"), F.col(new).alias("b"), F.col(old).alias("c"))
+        both = _first_two(rest, new, order, "_rn").join(_first_two(rest, old, order, "_ro"), [new, old, "d2"]).withColumn("_id", own)
+        first = cut(both.where("_rn + _ro <= 3").select(new, old, "d2", "_rn", "_ro", "_id"))
+        free = first.where("_rn = 1 AND _ro = 1")
+        # a pair that is second on one side alone waits for the best one there, which is among the first two of its own sides or waits itself
+        best = [_first_two(rest, side, order, "_r").where("_r = 1").select(side, own.alias("_to")) for side in (new, old)]
+        waits = first.where("_rn = 2").join(best[0], new).unionByName(first.where("_ro = 2").join(best[1], old)).select("_id", "_to", F.lit(1).alias("_odd"))
+        points, moved = cut(waits), True
+        rounds += 1
+        while moved:
+            onward = points.select(F.col("_id").alias("_to"), F.col("_to").alias("_next"), F.col("_odd").alias("_more"))
+            points = cut(points.join(onward, "_to", "left").select("_id", F.coalesce("_next", "_to").alias("_to"), ((F.col("_odd") + F.coalesce("_more", F.lit(0))) % 2).alias("_odd"), F.col("_next").isNotNull().alias("_moved")))
+            moved, points = not points.where("_moved").isEmpty(), points.drop("_moved")
+            rounds += 1
+        even = points.where("_odd = 0").join(free.select(F.col("_id").alias("_to")), "_to", "left_semi").select("_id.*").toDF("d2", new, old)
+        won = cut(free.select(new, old, "d2").unionByName(even.select(new, old, "d2")))
         done = won if done is None else done.unionByName(won)
         rest = cut(rest.join(won, new, "left_anti").join(won, old, "left_anti"))
     if done is None:
-        return spark.createDataFrame([], T.StructType([f for f in pairs.select(new, old, "d2").schema]))
-    return done.select(new, old, "d2")
+        done = pairs.sparkSession.createDataFrame([], T.StructType([f for f in pairs.select(new, old, "d2").schema]))
+    out = done.select(new, old, "d2")
+    out.rounds = rounds
+    return out

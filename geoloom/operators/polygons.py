@@ -114,8 +114,8 @@ def _own(x: Column, y: Column) -> Column:
     return F.when((y1 > y) != (y2 > y), crosses.cast("int")).otherwise(0) + ends[0] + ends[1]
 
 
-def containing(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y", reach: float = 0.0) -> DataFrame:
-    """(key, polygon): polygons that hold each point, its boundary included, or come within ``reach`` of it.
+def containing(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y", reach: float = 0.0, boundary: bool = True) -> DataFrame:
+    """(key, polygon): polygons that hold each point, or come within ``reach`` of it; their boundary belongs to them unless ``boundary`` is false.
 
     A cell with very many points or edges is one key of inner joins, which adaptive
     execution splits.
@@ -128,4 +128,5 @@ def containing(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: s
     cell = ["level", "cx", "cy"]
     hits = p.join(inner, cell).select(key, "polygon")
     tested = p.join(near, cell).groupBy(key, "polygon").agg(((F.sum(_own(px, py)) + F.first("odd")) % 2 == 1).alias("inside"), F.min(distance2(px, py)).alias("d2"))
-    return hits.unionByName(tested.where(F.col("inside") | (F.col("d2") <= max(reach * reach, ON_EDGE))).select(key, "polygon"))
+    within = F.col("inside") | (F.col("d2") <= max(reach * reach, ON_EDGE)) if boundary or reach else F.col("inside")
+    return hits.unionByName(tested.where(within).select(key, "polygon"))

@@ -175,10 +175,10 @@ def nearest_leaves(points: DataFrame, pyramid: Pyramid, k: int, key: str) -> Dat
 def knn(points: DataFrame, sites: DataFrame, k: int, key: str, order: str) -> DataFrame:
     """The ``k`` nearest sites (sx, sy) of each point (px, py), with ``d2`` and ``rank``; ties go to the lower ``order`` of the site.
 
-    A leaf holds at most ``8 * k`` sites (32 at least); of sites at one place only the
+    A leaf holds at most ``4 * k`` sites (16 at least); of sites at one place only the
     first ``k`` in order can be among a point's nearest.
     """
-    pyramid = build(sites, "sx", "sy", max(8, 2 * k), points, "px", "py")
+    pyramid = build(sites, "sx", "sy", max(4, k), points, "px", "py")
     if pyramid is None:
         return points.crossJoin(sites.limit(0)).withColumns({"d2": F.lit(0.0), "rank": F.lit(1)})
     rows = pyramid.rows

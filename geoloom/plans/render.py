@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import html
-import json
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,12 +83,8 @@ CELL_LEGEND = tuple((f"#{c}", t) for c, t in zip(RAMP, ("lowest density", "", ""
 
 
 def write_html(layer: DataFrame, path: str, title: str = "map", entries: tuple[tuple[str, str], ...] = ()) -> int:
-    """One page that draws the layer's rows, with a legend; rows are fetched one partition at a time.  Returns how many there were."""
-    n = 0
-    with open(path, "w", encoding="utf-8") as f:
-        f.write(_PAGE.format(title=html.escape(title), legend=legend(list(entries))))
-        for r in chain(layer.toLocalIterator()):
-            f.write(("," if n else "") + json.dumps(r.asDict()).replace("</", "<\\/") + "\n")
-            n += 1
-        f.write(_DRAW)
-    return n
+    """One page that draws the layer's rows, with a legend; tasks write the rows, the commit joins them.  Returns how many there were."""
+    from ..sources.staged import DocumentSource, save
+
+    head = _PAGE.format(title=html.escape(title), legend=legend(list(entries)))
+    return save(layer, DocumentSource, path, single="true", head=head, between="\n,", tail="\n" + _DRAW, empty=_DRAW, escape="true")

@@ -79,7 +79,7 @@ holding AS (SELECT p.piece, e.polygon FROM pieces p JOIN box b ON mx BETWEEN bx1
 rims AS (SELECT w.polygon, -{SWEPT} AS part FROM holding w JOIN pieces USING (piece)),
 bare AS (SELECT polygon, sum(part) AS uncovered FROM (SELECT * FROM stretches UNION ALL SELECT * FROM rims) GROUP BY 1),
 whole AS (SELECT polygon, sum(x1 * y2 - x2 * y1) / 2 AS area FROM e GROUP BY 1)
-SELECT polygon, round(area, 1) AS area_m2, abs(round(coalesce(uncovered, 0), 1)) AS uncovered_m2 FROM whole LEFT JOIN bare USING (polygon)"""
+SELECT polygon, round(area, 2) AS area_m2, abs(round(coalesce(uncovered, 0), 2)) AS uncovered_m2 FROM whole LEFT JOIN bare USING (polygon)"""
 
 
 def _oriented_region() -> str:
@@ -97,7 +97,7 @@ PLAIN = STARS + ", c AS (SELECT min(circle) AS circle, sx AS x, sy AS y, sr * 0.
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.select("polygon", F.round("area", 1).alias("area_m2"), F.abs(F.round("uncovered", 1)).alias("uncovered_m2"))
+    return df.select("polygon", F.round("area", 2).alias("area_m2"), F.abs(F.round("uncovered", 2)).alias("uncovered_m2"))
 
 
 @query(f"{SHIFTED}, {_oriented_region()}, {UNCOVERED}")

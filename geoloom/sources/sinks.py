@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fixed
 from ..plans.collect import PLACE_COLUMNS
+from .staged import DocumentSource, save
 
+#: Columns of the cells table, in order.
 CELL_COLUMNS = ("row", "col", "lon_center", "lat_center", "lon_left", "lon_right", "lat_bottom", "lat_top", "population_density")
 
 
@@ -31,17 +33,18 @@ def write_circles(circles: DataFrame, path: str) -> None:
     circles.write.mode("overwrite").json(path)
 
 
+#: A JSON array with a row on lines of its own, two spaces in, and a line feed at the end.
+_ARRAY = {"head": "[", "first": "\n", "between": ",\n", "tail": "\n]\n", "empty": "]\n", "indent": "2"}
+
+
 def circles_document(circles: DataFrame, path: str) -> int:
-    """One JSON array, indented, ASCII, with a line feed at its end; for plans that people read."""
-    n = 0
-    with open(path, "w", encoding="ascii") as f:
-        f.write("[")
-        for r in circles.toLocalIterator():
-            text = json.dumps(r.asDict(), indent=2).replace("\n", "\n  ")
-            f.write(("," if n else "") + "\n  " + text)
-            n += 1
-        f.write("\n]\n" if n else "]\n")
-    return n
+    """One JSON array, indented, ASCII, with a line feed at its end; tasks write its parts, which the commit joins."""
+    return save(circles, DocumentSource, path, single="true", **_ARRAY)
+
+
+def circles_documents(circles: DataFrame, folder: str) -> int:
+    """A folder with a JSON array for each task that had rows, and a manifest."""
+    return save(circles, DocumentSource, folder, suffix=".json", **_ARRAY)
 
 
 def cached_boundary(path: str, settings: dict, make) -> dict:
