@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from .functions import scalars as S
 from .plans import collect
 from .queries import HAV, query
-from .session import new_folder
+from .session import cut, new_folder
 from .sources import raster, replay, sinks, tables
+from .streaming import places as stream
 from .views import WITH, view
 
 _REACH = f"hits AS (SELECT s.input_index AS seed_index, s.radius, p.place_id, p.k, p.lat, p.lng, {HAV} AS distance FROM seeds s, places p WHERE {HAV} <= 2 * s.radius)"
@@ -54,6 +55,31 @@ def collection_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collect.collected(log, seeds, _details(spark, sf_dir))[1]
 
 
+@query(f"{_FOUND} SELECT seed_index, ord, place_id, outcome FROM judged")
+def collection_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same outcomes from a stream: the tries arrive in an order of their own, a file at a time, and the last file lets time pass."""
+    seeds, log = _searches(spark, sf_dir)
+    folder, days = new_folder(spark, "tries"), 86_400
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + 60 * F.col("seed_index"))
+    tries = cut(collect.tried(log, seeds, _details(spark, sf_dir)).select("seed_index", "ord", "place_id", "success", at.alias("seen_at")))
+    span = int(tries.agg(F.max("seen_at").cast("long") - F.min("seen_at").cast("long")).first()[0] or 0) // days + 1
+    tries.repartition(3, F.xxhash64("place_id", "seed_index")).write.json(folder)
+    end = spark.createDataFrame([(0, k, "", False, 2_000_000_000 + k) for k in range(2)], "seed_index int, ord int, place_id string, success boolean, s long")
+    for k in range(2):
+        end.where(F.col("ord") == k).select("seed_index", "ord", "place_id", "success", F.timestamp_seconds("s").alias("seen_at")).coalesce(1).write.mode("append").json(folder)
+    out, key = new_folder(spark, "outcomes"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, stream.ROCKS)
+    try:
+        arriving = spark.readStream.schema(stream.TRY).option("maxFilesPerTrigger", 1).json(folder)
+        judged = stream.first_success(arriving, f"{span} days", span * days * 1000)
+        run = judged.writeStream.format("parquet").option("checkpointLocation", new_folder(spark, "stream")).trigger(availableNow=True).start(out)
+        run.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(stream.OUTCOME).parquet(out).where("place_id <> ''")
+
+
 @query(f"""{_FOUND} SELECT CAST(count(*) AS BIGINT) AS discovered, CAST(count(CASE WHEN outcome = 'written' THEN 1 END) AS BIGINT) AS written, CAST(count(CASE WHEN outcome = 'duplicate' THEN 1 END) AS BIGINT) AS duplicates,
  CAST(count(CASE WHEN outcome = 'error' THEN 1 END) AS BIGINT) AS details_errors FROM judged""")
 def collection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,12 +65,17 @@ def place_row(payload: Column, queried_id: Column) -> list[Column]:
     ]
 
 
-def collected(log: DataFrame, seeds: DataFrame, details: DataFrame, cap: int = SEED_CAP) -> tuple[DataFrame, DataFrame]:
-    """(places, outcomes).  ``details``: (place_id, payload as JSON text); an id fails where it has none or it isn't an object."""
+def tried(log: DataFrame, seeds: DataFrame, details: DataFrame, cap: int = SEED_CAP) -> DataFrame:
+    """(seed_index, ord, place_id, v, success): what each request for details gives.  ``details``: (place_id, payload as JSON text); an id fails where it has none or it isn't an object."""
     payload = F.try_parse_json("payload")
     answers = details.withColumn("v", payload).where(F.col("v").isNotNull() & D.kind(F.col("v")).startswith("OBJECT")).select("place_id", "v")
     tries = discovered(log, seeds, cap).join(answers.dropDuplicates(["place_id"]), "place_id", "left")
-    judged = attempts(tries.withColumn("success", F.col("v").isNotNull()), "place_id", ["seed_index", "ord"])
+    return tries.withColumn("success", F.col("v").isNotNull())
+
+
+def collected(log: DataFrame, seeds: DataFrame, details: DataFrame, cap: int = SEED_CAP) -> tuple[DataFrame, DataFrame]:
+    """(places, outcomes)."""
+    judged = attempts(tried(log, seeds, details, cap), "place_id", ["seed_index", "ord"])
     places = judged.where("outcome = 'written'").select("seed_index", "ord", *place_row(F.col("v"), F.col("place_id")))
     return places, judged.select("seed_index", "ord", "place_id", "outcome")
 

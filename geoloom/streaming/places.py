@@ -1,13 +1,17 @@
 """Collection as a stream (an extension: the batch rules over micro-batches).
 
 New log files arrive in a folder; each place id is passed on once, within a
-watermark that bounds the state.
+watermark that bounds the state.  ``first_success`` judges tries as the batch rule
+does, in whatever order they arrive.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 LOG = "seed_index int, place_id string, lat double, lng double, seen_at timestamp"
 
@@ -25,3 +29,62 @@ def seed_counts(log: DataFrame, window: str = "1 hour", lateness: str = "1 day")
     """Places for each seed and window of event time."""
     w = F.window("seen_at", window)
     return log.withWatermark("seen_at", lateness).groupBy(w, "seed_index").agg(F.approx_count_distinct("place_id").alias("places"))
+
+
+TRY = "seed_index int, ord int, place_id string, success boolean, seen_at timestamp"
+OUTCOME = "seed_index int, ord int, place_id string, outcome string"
+#: The state store that timers need.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class FirstSuccess(StatefulProcessor):
+    """Of each id the failed tries, the successful ones and a timer.
+
+    A try that comes late can still be the first in the order of the seeds, so an
+    id is judged when its timer ends it: ``horizon_ms`` after its last try, by event
+    time.  Then errors, the one written and duplicates leave, and the state goes.
+    """
+
+    def __init__(self, horizon_ms: int) -> None:
+        self.horizon_ms = horizon_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.failed = handle.getListState("failed", "seed_index int, ord int")
+        self.succeeded = handle.getListState("succeeded", "seed_index int, ord int")
+        self.last = handle.getValueState("last", "ms long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N803
+        last = self.last.get()[0] if self.last.exists() else None
+        before, latest, good, bad = last, last or 0, [], []
+        for r in rows:
+            (good if r["success"] else bad).append((r["seed_index"], r["ord"]))
+            latest = max(latest, int(r["seen_at"].timestamp() * 1000))
+        for state, more in ((self.succeeded, good), (self.failed, bad)):
+            if more:
+                state.appendList(more)
+        if latest != before:
+            if before is not None:
+                self.handle.deleteTimer(before + self.horizon_ms)
+            self.handle.registerTimer(latest + self.horizon_ms)
+            self.last.update((latest,))
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N803
+        good = sorted(tuple(r) for r in self.succeeded.get()) if self.succeeded.exists() else []
+        bad = [tuple(r) for r in self.failed.get()] if self.failed.exists() else []
+        for state in (self.succeeded, self.failed, self.last):
+            state.clear()
+        for t in bad:
+            yield Row(seed_index=t[0], ord=t[1], place_id=key[0], outcome="duplicate" if good and t > good[0] else "error")
+        for t in good:
+            yield Row(seed_index=t[0], ord=t[1], place_id=key[0], outcome="written" if t == good[0] else "duplicate")
+
+    def close(self) -> None:
+        pass
+
+
+def first_success(tries: DataFrame, lateness: str = "1 day", horizon_ms: int = 86_400_000) -> DataFrame:
+    """(seed_index, ord, place_id, outcome) of a stream of tries (``TRY``); a new state begins for an id that is tried again after its horizon."""
+    late = tries.withWatermark("seen_at", lateness)
+    return late.groupBy("place_id").transformWithState(FirstSuccess(horizon_ms), OUTCOME, "Append", "EventTime")
