@@ -76,11 +76,11 @@ def in_box(x: Column, y: Column, box: tuple[float, float, float, float], margin:
     return x.between(box[0] - margin, box[2] + margin) & y.between(box[1] - margin, box[3] + margin)
 
 
-def area_and_centroid(table: DataFrame) -> DataFrame:
-    """Shoelace sums over an edge table; holes count against."""
+def area_and_centroid(table: DataFrame, *keys: str) -> DataFrame:
+    """Shoelace sums over an edge table, one row for each of the keys; holes count against."""
     c = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
-    s = table.agg(F.sum(c).alias("c"), F.sum((F.col("x1") + F.col("x2")) * c).alias("cx"), F.sum((F.col("y1") + F.col("y2")) * c).alias("cy"))
-    return s.select((F.col("c") / 2).alias("area"), (F.col("cx") / (3 * F.col("c"))).alias("centroid_x"), (F.col("cy") / (3 * F.col("c"))).alias("centroid_y"))
+    s = table.groupBy(*keys).agg(F.sum(c).alias("c"), F.sum((F.col("x1") + F.col("x2")) * c).alias("cx"), F.sum((F.col("y1") + F.col("y2")) * c).alias("cy"))
+    return s.select(*keys, (F.col("c") / 2).alias("area"), (F.col("cx") / (3 * F.col("c"))).alias("centroid_x"), (F.col("cy") / (3 * F.col("c"))).alias("centroid_y"))
 
 
 def disk(x: float, y: float, r: float, per_quarter: int = 64) -> Ring:

@@ -59,6 +59,11 @@ def hex_spacing(radius: float, least: int, most: int, step: int) -> int:
     return int(min(most, max(least, round(math.sqrt(3.0) * radius / step) * step)))
 
 
+def hex_spacing_of(radius: Column, least: int, most: int, step: int) -> Column:
+    """The same for radii in rows."""
+    return F.least(F.lit(most), F.greatest(F.lit(least), (F.rint(math.sqrt(3.0) * radius / step) * step).cast("int")))
+
+
 def spacing_range(least: int, most: int, step: int) -> Column:
     return F.sequence(F.lit(least), F.lit(most), F.lit(step))
 

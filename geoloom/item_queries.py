@@ -79,10 +79,10 @@ def coordinate_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "seeds").select("input_index", coordinate_box(shape).alias("b")).select("input_index", *[F.col(f"b.{c}").alias(c) for c in ("min_lng", "min_lat", "max_lng", "max_lat")])
 
 
-@query("""SELECT CAST(r AS INT) AS radius, CAST(s AS INT) AS spacing, CAST((s - 600) / 25 + 1 AS BIGINT) AS place FROM (SELECT r, least(3000, greatest(600, round_even(sqrt(3e0) * r / 25, 0) * 25)) AS s FROM generate_series(300, 1900, 20) g(r))""")
+@query(f"""{WITH} SELECT input_index, CAST(s AS INT) AS spacing, CAST((s - 600) / 25 + 1 AS BIGINT) AS place FROM (SELECT input_index, least(3000, greatest(600, round_even(sqrt(3e0) * radius / 25, 0) * 25)) AS s FROM seeds)""")
 def hex_spacings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapped spacings of radii, and the place of each in the range of all spacings."""
-    rows = spark.createDataFrame([(r, S.hex_spacing(r, 600, 3000, 25)) for r in range(300, 1901, 20)], "radius int, spacing int")
+    """Snapped spacing of each seed's radius, and its place in the range of all spacings."""
+    rows = view(spark, sf_dir, "seeds").select("input_index", S.hex_spacing_of(F.col("radius"), 600, 3000, 25).alias("spacing"))
     return rows.withColumn("place", F.array_position(S.spacing_range(600, 3000, 25), F.col("spacing")).cast("long"))
 
 
@@ -168,15 +168,15 @@ def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BAND_BOX, _PHASE, _SCALE = (0.0, 0.0, 9000.0, 7000.0), (0.25, 0.5), 0.94
 
 
-@query(f"""WITH bands AS (SELECT CAST(i AS INT) AS band_idx, {num(E.ROOT3)} * CAST(1900 - i * 200 AS DOUBLE) * {num(_SCALE)} AS spacing FROM generate_series(0, 7) g(i)),
+@query(f"""{WITH}, bands AS (SELECT radius AS band_high, {num(E.ROOT3)} * CAST(radius AS DOUBLE) * {num(_SCALE)} AS spacing FROM seeds GROUP BY radius),
 b AS (SELECT *, spacing * {num(E.ROOT3 / 2)} AS row_step, {num(_PHASE[0])} * spacing AS ox, {num(_PHASE[1])} * (spacing * {num(E.ROOT3 / 2)}) AS oy FROM bands),
 r AS (SELECT b.*, unnest(generate_series(CAST(floor((0 - oy) / row_step) AS BIGINT) - 1, CAST(ceil((7000 - oy) / row_step) AS BIGINT) + 1)) AS "row" FROM b), l AS (SELECT *, ox + (("row" % 2) + 2) % 2 * spacing / 2 AS left0 FROM r),
 c AS (SELECT *, unnest(generate_series(CAST(floor((0 - left0) / spacing) AS BIGINT) - 1, CAST(ceil((9000 - left0) / spacing) AS BIGINT) + 1)) AS col FROM l)
-SELECT band_idx, CAST("row" AS INT) AS "row", CAST(col AS INT) AS col, round(left0 + col * spacing, 3) AS x, round(oy + "row" * row_step, 3) AS y FROM c""")
+SELECT band_high, CAST("row" AS INT) AS "row", CAST(col AS INT) AS col, round(left0 + col * spacing, 3) AS x, round(oy + "row" * row_step, 3) AS y FROM c""")
 def band_lattice_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nodes of each radius band's shifted lattice in a box, with one ring around."""
-    bands = E.band_lattice(E.bands_table(spark, 500, 1900, 200), _BAND_BOX, _SCALE, _PHASE)
-    return E.lattice_nodes(bands, _BAND_BOX).select("band_idx", "row", "col", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+    """Nodes of the shifted lattice of each radius that seeds have, in a box, with one ring around."""
+    of = E.band_lattice(view(spark, sf_dir, "seeds").select(F.col("radius").alias("band_high")).distinct(), _BAND_BOX, _SCALE, _PHASE)
+    return E.lattice_nodes(of, _BAND_BOX).select("band_high", "row", "col", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
 
 
 @query(PLANE + f""" SELECT place_id, CAST(count(CASE WHEN {D2} <= sr * sr + 1e-9 THEN 1 END) AS BIGINT) AS n_cover, round(min(sqrt({D2})), 6) AS nearest FROM samples, circles GROUP BY 1""")

@@ -6,31 +6,40 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.scalars import EPS
 
 ROOT3 = math.sqrt(3.0)
 
 
-def hex_lattice(spark: SparkSession, box: tuple[float, float, float, float], spacing: float) -> DataFrame:
-    """(row, col, x, y): odd rows shifted by half a spacing; places are made by multiplication, so errors don't add up."""
+def lattices(rows: DataFrame, box: tuple[Column, Column, Column, Column], spacing: Column) -> DataFrame:
+    """Each row with the nodes (row, col, x, y) of a hex lattice in its box; odd rows are shifted by half a spacing, and places are made by multiplication, so errors don't add up."""
     x0, y0, x1, y1 = box
-    step = spacing * ROOT3 / 2
-    rows = spark.range(int(math.floor((y1 - y0 + EPS) / step)) + 1).select(F.col("id").cast("int").alias("row"))
-    shift = (F.col("row") % 2) * (spacing / 2)
-    cols = F.floor((F.lit(x1 - x0 + EPS) - shift) / spacing).cast("int")
-    out = rows.where(cols >= 0).select("row", F.explode(F.sequence(F.lit(0), cols)).alias("col"))
-    return out.select("row", "col", (x0 + shift + F.col("col") * spacing).alias("x"), (y0 + F.col("row") * step).alias("y"))
+    step, row = spacing * (ROOT3 / 2), F.col("row")
+    shift = (row % 2) * (spacing / 2)
+    out = rows.withColumn("row", F.explode(F.sequence(F.lit(0), F.floor((y1 - y0 + EPS) / step).cast("int"))))
+    out = out.withColumn("_n", F.floor((x1 - x0 + EPS - shift) / spacing).cast("int")).where("_n >= 0")
+    out = out.withColumn("col", F.explode(F.sequence(F.lit(0), F.col("_n")))).drop("_n")
+    return out.withColumns({"x": x0 + shift + F.col("col") * spacing, "y": y0 + row * step})
+
+
+def hex_lattice(spark: SparkSession, box: tuple[float, float, float, float], spacing: float) -> DataFrame:
+    """(row, col, x, y) of one lattice."""
+    return lattices(spark.range(1), tuple(F.lit(float(v)) for v in box), F.lit(float(spacing))).select("row", "col", "x", "y")
+
+
+def grids(rows: DataFrame, box: tuple[Column, Column, Column, Column], step: float) -> DataFrame:
+    """Each row with the multiples (i, j, x, y) of a step around its box."""
+    at = lambda lo, hi: F.sequence(F.floor(lo / step).cast("long"), F.ceil(hi / step).cast("long"))
+    out = rows.withColumn("j", F.explode(at(box[1], box[3]))).withColumn("i", F.explode(at(box[0], box[2])))
+    return out.withColumns({"x": (F.col("i") * step).cast("double"), "y": (F.col("j") * step).cast("double")})
 
 
 def sample_grid(spark: SparkSession, box: tuple[float, float, float, float], step: float) -> DataFrame:
-    """(idx, x, y): multiples of the step around the box, row by row from below."""
-    i0, j0 = math.floor(box[0] / step), math.floor(box[1] / step)
-    i1, j1 = math.ceil(box[2] / step), math.ceil(box[3] / step)
-    n = i1 - i0 + 1
-    j, i = F.floor(F.col("id") / n), F.col("id") % n
-    return spark.range(n * (j1 - j0 + 1)).select(F.col("id").alias("idx"), ((i + i0) * step).cast("double").alias("x"), ((j + j0) * step).cast("double").alias("y"))
+    """(idx, x, y) of one grid, row by row from below."""
+    i0, j0, i1 = math.floor(box[0] / step), math.floor(box[1] / step), math.ceil(box[2] / step)
+    out = grids(spark.range(1), tuple(F.lit(float(v)) for v in box), step)
+    return out.select(((F.col("j") - j0) * (i1 - i0 + 1) + F.col("i") - i0).alias("idx"), "x", "y")
 
 
 def radius_bands(least: int, most: int, step: int) -> list[tuple[int, int, int]]:
@@ -39,24 +48,29 @@ def radius_bands(least: int, most: int, step: int) -> list[tuple[int, int, int]]
     return [(k, highs[k + 1] + 1 if k + 1 < len(highs) else least, h) for k, h in enumerate(highs)]
 
 
+def bands(rows: DataFrame, least: Column, most: Column, step: int) -> DataFrame:
+    """Each row with the same bands (band_idx, band_low, band_high) between its own least and largest radius."""
+    highs = F.concat(F.when(most > least, F.sequence(most, least + 1, F.lit(-step))).otherwise(F.array().cast("array<int>")), F.array(least))
+    out = rows.withColumn("_highs", highs).select("*", F.posexplode("_highs").alias("band_idx", "band_high"))
+    return out.withColumn("band_low", F.coalesce(F.get("_highs", F.col("band_idx") + 1) + 1, least)).drop("_highs")
+
+
 def bands_table(spark: SparkSession, least: int, most: int, step: int) -> DataFrame:
-    """The same bands made by the engine."""
-    highs = spark.range(1).select(F.explode(F.concat(F.sequence(F.lit(most), F.lit(least + 1), F.lit(-step)), F.array(F.lit(least)))).alias("band_high"))
-    w = Window.orderBy(F.desc("band_high"))
-    return highs.select((F.row_number().over(w) - 1).alias("band_idx"), F.coalesce(F.lead("band_high").over(w) + 1, F.lit(least)).alias("band_low"), "band_high")
+    """The bands of one range."""
+    return bands(spark.range(1), F.lit(least), F.lit(most), step).select("band_idx", "band_low", "band_high")
 
 
-def band_lattice(bands: DataFrame, box: tuple[float, float, float, float], scale: float, phase: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
+def band_lattice(of: DataFrame, box: tuple[float, float, float, float], scale: float, phase: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
     """Adds spacing, row_step and origin of each band's lattice."""
     spacing = ROOT3 * F.col("band_high").cast("double") * scale
-    out = bands.withColumns({"spacing": spacing, "row_step": spacing * (ROOT3 / 2)})
+    out = of.withColumns({"spacing": spacing, "row_step": spacing * (ROOT3 / 2)})
     return out.withColumns({"origin_x": box[0] + phase[0] * F.col("spacing"), "origin_y": box[1] + phase[1] * F.col("row_step")})
 
 
-def lattice_nodes(bands: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+def lattice_nodes(of: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
     """Nodes of each band's lattice inside the box, and one ring around it."""
     index = lambda lo, hi, step: F.sequence((F.floor(lo / step) - 1).cast("int"), (F.ceil(hi / step) + 1).cast("int"))
-    rows = bands.withColumn("row", F.explode(index(box[1] - F.col("origin_y"), box[3] - F.col("origin_y"), F.col("row_step"))))
+    rows = of.withColumn("row", F.explode(index(box[1] - F.col("origin_y"), box[3] - F.col("origin_y"), F.col("row_step"))))
     left = F.col("origin_x") + F.pmod(F.col("row"), F.lit(2)) * F.col("spacing") / 2
     out = rows.withColumn("_left", left).withColumn("col", F.explode(index(box[0] - F.col("_left"), box[2] - F.col("_left"), F.col("spacing"))))
     return out.withColumns({"x": F.col("_left") + F.col("col") * F.col("spacing"), "y": F.col("origin_y") + F.col("row") * F.col("row_step")}).drop("_left")

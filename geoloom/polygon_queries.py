@@ -119,3 +119,10 @@ def union_area_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area that the seeds' circles cover together."""
     c = circles(spark, sf_dir).select("circle", (F.col("sx") + 4000).alias("x"), (F.col("sy") + 3500).alias("y"), F.col("sr").alias("r"))
     return A.union_area(c).select(F.round("area", 1).alias("area_m2"))
+
+
+@query(STARS + """, s AS (SELECT polygon, sum(x1 * y2 - x2 * y1) AS c, sum((x1 + x2) * (x1 * y2 - x2 * y1)) AS cx, sum((y1 + y2) * (x1 * y2 - x2 * y1)) AS cy FROM edges GROUP BY 1)
+SELECT polygon, round(c / 2, 3) AS area, round(cx / (3 * c), 3) + 0e0 AS centroid_x, round(cy / (3 * c), 3) + 0e0 AS centroid_y FROM s""")
+def polygon_area_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = G.area_and_centroid(star_edges(spark, sf_dir), "polygon")
+    return r.select("polygon", F.round("area", 3).alias("area"), (F.round("centroid_x", 3) + 0.0).alias("centroid_x"), (F.round("centroid_y", 3) + 0.0).alias("centroid_y"))

@@ -43,6 +43,7 @@ def num(x: float) -> str:
 KX, KY = S.METRES_PER_DEGREE * math.cos(math.radians(LAT0)), S.METRES_PER_DEGREE
 TRIANGLE = [[[(98.86, 18.75), (99.03, 18.76), (98.98, 18.84)]]]
 EDGES_SQL = "edges(x1, y1, x2, y2) AS (VALUES " + ", ".join("(" + ", ".join(num(v) for v in e) + ")" for e in G.edges(TRIANGLE)) + ")"
+SEGMENT = "least(1, greatest(0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))))"
 #: A region in metres with a hole, and a second part.
 REGION = [[[(0, 0), (6000, 0), (6000, 4000), (2500, 4000), (2500, 6500), (0, 6500)], [(1000, 1000), (2000, 1000), (2000, 2000), (1000, 2000)]], [[(7000, 500), (8500, 500), (8000, 2500)]]]
 REGION_EDGES = "edges(x1, y1, x2, y2) AS (VALUES " + ", ".join("(" + ", ".join(num(v) for v in e) + ")" for e in G.edges(REGION)) + ")"
@@ -110,11 +111,13 @@ _EXPECTED = """('true', NULL, true, NULL, NULL), ('12', 12, NULL, '12', 12), ('3
 ('"1e3"', 1000, NULL, '1e3', NULL), ('{"text": 5}', NULL, NULL, NULL, NULL)"""
 
 
-@query(f"SELECT json, CAST(f AS DOUBLE) AS as_float, CAST(b AS BOOLEAN) AS as_bool, t AS as_text, CAST(n AS BIGINT) AS as_count FROM (VALUES {_EXPECTED}) v(json, f, b, t, n)")
+@query(f"""{WITH}, v AS (SELECT *, row_number() OVER () - 1 AS i FROM (VALUES {_EXPECTED}) v(json, f, b, t, n))
+SELECT place_id, json, CAST(f AS DOUBLE) AS as_float, CAST(b AS BOOLEAN) AS as_bool, t AS as_text, CAST(n AS BIGINT) AS as_count FROM places JOIN v ON k % {len(VALUES)} = i""")
 def dynamic_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON value of one of many kinds for each place."""
     v = F.try_parse_json("json")
-    rows = spark.createDataFrame([(x,) for x in VALUES], "json string")
-    return rows.select("json", D.to_float(v).alias("as_float"), D.to_bool(v).alias("as_bool"), D.to_text(v).alias("as_text"), D.to_count(v).alias("as_count"))
+    rows = view(spark, sf_dir, "places").select("place_id", F.get(F.array(*[F.lit(x) for x in VALUES]), F.col("k") % len(VALUES)).alias("json"))
+    return rows.select("place_id", "json", D.to_float(v).alias("as_float"), D.to_bool(v).alias("as_bool"), D.to_text(v).alias("as_text"), D.to_count(v).alias("as_count"))
 
 
 @query("""SELECT conv_id, turn, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text FROM conversations""")
@@ -234,7 +237,6 @@ def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "places").where(G.in_box(x, y, G.bounds(TRIANGLE))).where(G.covers(x, y, G.edge_array(TRIANGLE))).select("place_id")
 
 
-SEGMENT = "least(1, greatest(0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))))"
 
 
 @query(f"""{PLANE}, {REGION_EDGES}, p AS (SELECT place_id, px + 6000e0 AS x, py + 4000e0 AS y FROM samples), t AS (SELECT p.*, e.*, {SEGMENT} AS t FROM p, edges e)
@@ -246,26 +248,6 @@ def buffer_covers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.where(G.buffer_covers(F.col("x"), F.col("y"), G.edge_array(REGION), 300.0)).select("place_id")
 
 
-@query()
-def polygon_area_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = G.area_and_centroid(G.edge_table(spark, REGION))
-    return r.select(F.round("area", 3).alias("area"), F.round("centroid_x", 6).alias("centroid_x"), F.round("centroid_y", 6).alias("centroid_y"))
-
-
-def _oriented_sql() -> str:
-    rows = []
-    for polygon in REGION:
-        for k, ring in enumerate(polygon):
-            own = G.edges([[ring]])
-            sign = 1 if (sum(a * d - c * b for a, b, c, d in own) > 0) == (k == 0) else -1
-            rows += [f"({', '.join(num(v) for v in e)}, {sign})" for e in own]
-    return f"""WITH edges(x1, y1, x2, y2, sign) AS (VALUES {', '.join(rows)}), s AS (SELECT sum(sign * (x1 * y2 - x2 * y1)) AS c, sum(sign * (x1 + x2) * (x1 * y2 - x2 * y1)) AS cx,
- sum(sign * (y1 + y2) * (x1 * y2 - x2 * y1)) AS cy FROM edges) SELECT round(c / 2, 3) AS area, round(cx / (3 * c), 6) AS centroid_x, round(cy / (3 * c), 6) AS centroid_y FROM s"""
-
-
-SQL["polygon_area_centroid"] = _oriented_sql()
-
-
 # --- aggregates ---
 
 
@@ -327,32 +309,54 @@ def worst_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- generators ---
 
-BOX = (0.0, 0.0, 9000.0, 7000.0)
 
-
-@query(f"""SELECT CAST(r.r AS INT) AS "row", CAST(c.c AS INT) AS col, round(r.r % 2 * 432.5e0 + c.c * 865e0, 3) AS x, round(r.r * {num(865 * E.ROOT3 / 2)}, 3) AS y
-FROM generate_series(0, CAST(floor(7000 / {num(865 * E.ROOT3 / 2)}) AS BIGINT)) r(r), generate_series(0, 11) c(c) WHERE r.r % 2 * 432.5e0 + c.c * 865e0 <= 9000 + 1e-9""")
+@query(f"""{WITH}, b AS (SELECT input_index, radius + 0e0 AS r, radius * 0.865e0 AS w FROM seeds), l AS (SELECT *, unnest(generate_series(0, CAST(floor((2 * r + 1e-9) / (w * {num(E.ROOT3 / 2)})) AS BIGINT))) AS "row" FROM b),
+c AS (SELECT *, unnest(generate_series(0, CAST(floor((2 * r + 1e-9 - "row" % 2 * (w / 2)) / w) AS BIGINT))) AS col FROM l)
+SELECT input_index, CAST("row" AS INT) AS "row", CAST(col AS INT) AS col, round(-r + "row" % 2 * (w / 2) + col * w, 3) + 0e0 AS x, round(-r + "row" * (w * {num(E.ROOT3 / 2)}), 3) + 0e0 AS y FROM c""")
 def hex_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.hex_lattice(spark, BOX, 865.0).select("row", "col", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+    """A lattice in the square around each seed's circle, as wide as its radius asks for."""
+    r = F.col("radius").cast("double")
+    nodes = E.lattices(view(spark, sf_dir, "seeds").select("input_index", "radius"), (-r, -r, r, r), F.col("radius") * 0.865)
+    return nodes.select("input_index", "row", "col", (F.round("x", 3) + 0.0).alias("x"), (F.round("y", 3) + 0.0).alias("y"))
 
 
-@query("""SELECT CAST(i AS INT) AS band_idx, CAST(CASE WHEN i < 14 THEN greatest(501, 1900 - (i + 1) * 100 + 1) ELSE 500 END AS INT) AS band_low, CAST(1900 - i * 100 AS INT) AS band_high FROM generate_series(0, 14) g(i)""")
+@query(f"""{WITH}, h AS (SELECT input_index, unnest(CASE WHEN radius > 500 THEN list_append(range(radius, 500, -100), 500) ELSE [500] END) AS band_high FROM seeds WHERE radius >= 500)
+SELECT input_index, CAST(row_number() OVER w - 1 AS INT) AS band_idx, CAST(coalesce(lead(band_high) OVER w + 1, 500) AS INT) AS band_low, CAST(band_high AS INT) AS band_high FROM h WINDOW w AS (PARTITION BY input_index ORDER BY band_high DESC)""")
 def radius_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.bands_table(spark, 500, 1900, 100)
+    """Bands from each seed's radius down to 500 m."""
+    s = view(spark, sf_dir, "seeds").select("input_index", "radius").where("radius >= 500")
+    return E.bands(s, F.lit(500), F.col("radius"), 100).select("input_index", "band_idx", "band_low", "band_high")
+
+
+_SAMPLES = PLANE + """, g AS (SELECT *, unnest(generate_series(CAST(floor((sy - sr) / 250) AS BIGINT), CAST(ceil((sy + sr) / 250) AS BIGINT))) AS j FROM circles),
+grid AS (SELECT *, unnest(generate_series(CAST(floor((sx - sr) / 250) AS BIGINT), CAST(ceil((sx + sr) / 250) AS BIGINT))) AS i FROM g)"""
+
+
+def seed_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y, r = F.col("sx"), F.col("sy"), F.col("sr")
+    return E.grids(circles(spark, sf_dir).select("circle", "sx", "sy", "sr"), (x - r, y - r, x + r, y + r), 250.0)
 
 
-@query("SELECT CAST((j + 10) * 111 + i + 20 AS BIGINT) AS idx, i * 100e0 AS x, j * 100e0 AS y FROM generate_series(-20, 90) g(i), generate_series(-10, 70) h(j)")
+@query(_SAMPLES + " SELECT circle, i, j, i * 250e0 AS x, j * 250e0 AS y FROM grid")
 def sample_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.sample_grid(spark, (-1990.0, -950.0, 8990.0, 6990.0), 100.0)
+    """Samples every 250 m around each seed's circle."""
+    return seed_grid(spark, sf_dir).select("circle", "i", "j", "x", "y")
 
 
-@query(f"""WITH {REGION_EDGES}, p AS (SELECT i * 100e0 AS x, j * 100e0 AS y FROM generate_series(0, 85) g(i), generate_series(0, 65) h(j)), t AS (SELECT p.*, e.*, {SEGMENT} AS t FROM p, edges e),
-k AS (SELECT x, y FROM t GROUP BY x, y HAVING sum(CASE WHEN (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END) % 2 = 1
+@query(f"""{_SAMPLES}, {REGION_EDGES}, p AS (SELECT circle, i * 250e0 + 4000 AS x, j * 250e0 + 3500 AS y FROM grid), t AS (SELECT p.*, e.*, {SEGMENT} AS t FROM p, edges e),
+k AS (SELECT circle, x, y FROM t GROUP BY circle, x, y HAVING sum(CASE WHEN (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END) % 2 = 1
  OR min((x - (x1 + t * (x2 - x1))) * (x - (x1 + t * (x2 - x1))) + (y - (y1 + t * (y2 - y1))) * (y - (y1 + t * (y2 - y1)))) <= 1e-12)
-SELECT CAST(count(*) AS BIGINT) AS n, sum(x) AS sx, sum(y) AS sy FROM k""")
+SELECT circle, CAST(count(*) AS BIGINT) AS n, sum(x) AS sx, sum(y) AS sy FROM k GROUP BY circle""")
 def covered_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = E.sample_grid(spark, G.bounds(REGION), 100.0)
-    return s.where(G.covers(F.col("x"), F.col("y"), G.edge_array(REGION))).agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"))
+    """Samples around each seed that the region holds."""
+    s = seed_grid(spark, sf_dir).select("circle", (F.col("x") + 4000).alias("x"), (F.col("y") + 3500).alias("y"))
+    return s.where(G.covers(F.col("x"), F.col("y"), G.edge_array(REGION))).groupBy("circle").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"))
+
+
+_NEAREST = PLANE + f""", r AS (SELECT place_id, px, py, k, CAST(round_even(py / {num(865 * E.ROOT3 / 2)}, 0) AS INT) + k - 1 AS "row" FROM samples, generate_series(0, 2) g(k)),
+c AS (SELECT *, ((("row" % 2) + 2) % 2) * 432.5e0 AS left_x FROM r), d AS (SELECT *, CAST(round_even((px - left_x) / 865e0, 0) AS INT) AS col FROM c),
+e AS (SELECT *, sqrt(pow(left_x + col * 865e0 - px, 2) + pow("row" * {num(865 * E.ROOT3 / 2)} - py, 2)) AS dist FROM d),
+nearest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY dist, k) AS rn FROM e) WHERE rn = 1)"""
 
 
 def _near_node(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,25 +364,26 @@ def _near_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples(spark, sf_dir).withColumn("n", node)
 
 
-@query(PLANE + f""", r AS (SELECT place_id, px, py, k, CAST(round_even(py / {num(865 * E.ROOT3 / 2)}, 0) AS INT) + k - 1 AS "row" FROM samples, generate_series(0, 2) g(k)),
-c AS (SELECT *, ((("row" % 2) + 2) % 2) * 432.5e0 AS left_x FROM r), d AS (SELECT *, CAST(round_even((px - left_x) / 865e0, 0) AS INT) AS col FROM c),
-e AS (SELECT *, sqrt(pow(left_x + col * 865e0 - px, 2) + pow("row" * {num(865 * E.ROOT3 / 2)} - py, 2)) AS dist FROM d)
-SELECT place_id, CAST("row" AS INT) AS "row", CAST(col AS INT) AS col, round(dist, 3) AS dist FROM (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY dist, k) AS rn FROM e) WHERE rn = 1""")
+@query(_NEAREST + ''' SELECT place_id, CAST("row" AS INT) AS "row", CAST(col AS INT) AS col, round(dist, 3) AS dist FROM nearest''')
 def lattice_nearest_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _near_node(spark, sf_dir).select("place_id", F.col("n.row").alias("row"), F.col("n.col").alias("col"), F.round("n.dist", 3).alias("dist"))
 
 
-@query("""SELECT CAST(r AS INT) AS "row", CAST(c AS INT) AS col, CAST(r + dr AS INT) AS n_row, CAST(CASE WHEN dr = 0 THEN c + dc ELSE c + dc + ((r % 2) + 2) % 2 END AS INT) AS n_col
-FROM generate_series(-2, 3) g(r), generate_series(-1, 2) h(c), (VALUES (0, -1), (0, 1), (-1, -1), (-1, 0), (1, -1), (1, 0)) v(dr, dc)""")
+@query(_NEAREST + """, n AS (SELECT place_id, "row" AS r, col AS c FROM nearest)
+SELECT place_id, CAST(r AS INT) AS "row", CAST(c AS INT) AS col, CAST(r + dr AS INT) AS n_row, CAST(CASE WHEN dr = 0 THEN c + dc ELSE c + dc + ((r % 2) + 2) % 2 END AS INT) AS n_col
+FROM n, (VALUES (0, -1), (0, 1), (-1, -1), (-1, 0), (1, -1), (1, 0)) v(dr, dc)""")
 def hex_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = spark.range(24).select((F.floor(F.col("id") / 4) - 2).cast("int").alias("row"), (F.col("id") % 4 - 1).cast("int").alias("col"))
-    return nodes.select("row", "col", F.explode(E.hex_neighbors(F.col("row"), F.col("col"))).alias("n")).select("row", "col", F.col("n.row").alias("n_row"), F.col("n.col").alias("n_col"))
+    """The six neighbours of the node nearest to each place."""
+    nodes = _near_node(spark, sf_dir).select("place_id", F.col("n.row").alias("row"), F.col("n.col").alias("col"))
+    return nodes.select("place_id", "row", "col", F.explode(E.hex_neighbors(F.col("row"), F.col("col"))).alias("n")).select("place_id", "row", "col", F.col("n.row").alias("n_row"), F.col("n.col").alias("n_col"))
 
 
-@query(f"""SELECT CAST(0 AS INT) AS "order", 0e0 AS dx, 0e0 AS dy UNION ALL SELECT CAST(i + 1 AS INT), round((i // 16 + 1) * 100e0 * cos((i % 16) * {num(2 * math.pi / 16)}), 6) + 0e0, round((i // 16 + 1) * 100e0 * sin((i % 16) * {num(2 * math.pi / 16)}), 6) + 0e0 FROM generate_series(0, 319) g(i)""")
+@query(PLANE + f""" SELECT circle, CAST(0 AS INT) AS "order", round(sx, 3) AS x, round(sy, 3) AS y FROM circles
+UNION ALL SELECT circle, CAST(i + 1 AS INT), round(sx + (i // 16 + 1) * 100e0 * cos((i % 16) * {num(2 * math.pi / 16)}), 3), round(sy + (i // 16 + 1) * 100e0 * sin((i % 16) * {num(2 * math.pi / 16)}), 3) FROM circles, generate_series(0, 79) g(i)""")
 def spiral_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spark.range(1).select(F.explode(E.spiral()).alias("o"))
-    return o.select("o.order", (F.round("o.dx", 6) + 0.0).alias("dx"), (F.round("o.dy", 6) + 0.0).alias("dy"))
+    """Places to try around each seed, in order."""
+    o = circles(spark, sf_dir).select("circle", "sx", "sy", F.explode(E.spiral(500)).alias("o"))
+    return o.select("circle", "o.order", F.round(F.col("sx") + F.col("o.dx"), 3).alias("x"), F.round(F.col("sy") + F.col("o.dy"), 3).alias("y"))
 
 
 @query(WITH + f""", r AS (SELECT id, CAST(id // 50 AS INT) AS "row", CAST(id % 50 AS INT) AS col, density FROM cells), w AS (SELECT *, 98.855e0 + col * 0.004e0 AS l, 18.945e0 - "row" * 0.003e0 AS t FROM r
@@ -464,20 +469,6 @@ def nearest_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "seeds").select("input_index", J.nearest_band(None, E.radius_bands(500, 1900, 100), "radius").alias("band_idx"))
 
 
-@query("""SELECT CAST(row_number() OVER (ORDER BY abs(s - 0.94e0), abs(b - 100), s, b) AS INT) AS "order", s AS scale, CAST(b AS INT) AS band FROM (VALUES (0.86e0), (0.9e0), (0.94e0), (0.98e0), (1.02e0)) v(s), (VALUES (75), (100), (125)) w(b)""")
-def config_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .plans.adaptive import AdaptiveConfig, baseline_grid
-
-    return baseline_grid(spark, AdaptiveConfig()).select("order", "scale", "band")
-
-
-@query("""SELECT CAST(row_number() OVER (ORDER BY CASE WHEN px = 0 AND py = 0 THEN 0 ELSE 1 END, abs(px - 0.5e0) + abs(py - 0.25e0), px, py) AS INT) AS "order", px, py FROM (VALUES (0e0), (0.25e0), (0.5e0), (0.75e0)) v(px), (VALUES (0e0), (0.25e0), (0.5e0), (0.75e0)) w(py)""")
-def phase_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .plans.adaptive import AdaptiveConfig, phase_grid
-
-    return phase_grid(spark, AdaptiveConfig()).select("order", "px", "py")
-
-
 # --- reviews, popups, maps ---
 
 
@@ -568,14 +559,6 @@ def _cells_array(spark: SparkSession, sf_dir: str):
     return np.array([tuple(r) for r in near.orderBy("sx", "sy", "density").collect()])
 
 
-@query()
-def cover_fixed_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .plans import fixed
-
-    border, small = _regions()
-    return fixed.plan(spark, fixed.Zones.of(border, small)).select(F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), "radius")
-
-
 @query()
 def cover_adaptive_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .config import AdaptiveConfig
