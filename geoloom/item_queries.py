@@ -14,9 +14,11 @@ from .functions import text as T
 from .operators import aggregates as A
 from .operators import generators as E
 from .operators import joins as J
+from .operators import overlay as O
 from .operators import validity as V
 from .operators import windows as W
 from .queries import D2, PLANE, SQL, XY, _near_node, circles, num, query, samples
+from .session import cut
 from .sources.tables import coordinate_box
 from .views import LAT0, LNG0, WITH, table, view
 
@@ -108,12 +110,6 @@ CITY, HILL, DISTRICT = (98.90005, 18.76005, 98.99005, 18.83005), (98.86005, 18.7
 ANCHOR, WEST = (99.02, 18.77), 98.96005
 
 
-def _box(r: tuple[float, float, float, float]):
-    import numpy as np
-
-    return np.array(G.edges([[[(r[0], r[1]), (r[2], r[1]), (r[2], r[3]), (r[0], r[3])]]]), float)
-
-
 def _in(r: tuple[float, float, float, float]) -> str:
     return f"(lng BETWEEN {num(r[0])} AND {num(r[2])} AND lat BETWEEN {num(r[1])} AND {num(r[3])})"
 
@@ -124,18 +120,29 @@ _EXTRA = f"({_in(DISTRICT)} AND NOT {_in(CITY)} AND NOT {_in(HILL)})"
 @query(f"""{WITH} SELECT place_id, {_EXTRA} AS in_supplement, {_in(CITY)} OR {_in(HILL)} OR {_EXTRA} AS in_border, {_in(CITY)} OR ({_EXTRA} AND lng > {num(WEST)}) AS in_small, lng <= {num(WEST)} AS west FROM places""")
 def zone_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places in the supplement around an anchor, in the merged border, in the zone of small circles, and west of a meridian."""
-    from .plans import zones as Z
-
-    city, hill, district = _box(CITY), _box(HILL), _box(DISTRICT)
-    extra = Z.supplement(district, city, hill, ANCHOR)
-    border = Z.merged_border(city, hill, extra)
-    small, west = Z.small_zone(city, extra, border, WEST), Z.half_plane((98.0, 18.0, 100.0, 19.0), WEST)
-
-    def inside(e):
-        own = F.array(*[F.struct(*[F.lit(float(v)).alias(n) for v, n in zip(row, ("x1", "y1", "x2", "y2"), strict=True)]) for row in e])
-        return G.covers(F.col("lng"), F.col("lat"), own)
-
-    return view(spark, sf_dir, "places").select("place_id", *[inside(e).alias(n) for n, e in (("in_supplement", extra), ("in_border", border), ("in_small", small), ("west", west))])
+    layers = [(0, k, *map(float, e)) for k, (w, so, ea, n) in enumerate((CITY, HILL, DISTRICT)) for e in ((w, so, ea, so), (ea, so, ea, n), (ea, n, w, n), (w, n, w, so))]
+    cells = cut(O.cells(spark.createDataFrame(layers, "zone int, layer int, x1 double, y1 double, x2 double, y2 double")))
+    # the supplement: what the district has besides city and hill, of that the part with the anchor
+    extra = O.anchored(O.parts(cells.where("mask = 4")), *ANCHOR)
+    chosen = cut(cells.where("mask & 3 <> 0").unionByName(extra.select(*cells.columns)).withColumn("cell", F.monotonically_increasing_id()))
+    p = view(spark, sf_dir, "places").select("place_id", "lng", "lat")
+    in_any = O.holding(p, chosen, "place_id", "lng", "lat").groupBy("place_id").agg(F.bool_or(F.expr("mask = 4")).alias("e"), F.bool_or(F.expr("mask & 1 <> 0")).alias("c"))
+    west = F.col("lng") <= WEST
+    found = p.join(in_any, "place_id", "left")
+    e, c = F.coalesce("e", F.lit(False)), F.coalesce("c", F.lit(False))
+    return found.select("place_id", e.alias("in_supplement"), F.col("e").isNotNull().alias("in_border"), (c | (e & ~west)).alias("in_small"), west.alias("west"))
+
+
+@query(PLANE + """, r AS (SELECT circle AS zone, l, sx + a * sr AS w, sx + b * sr AS e, sy + c * sr AS s, sy + d * sr AS n FROM circles, (VALUES (0, -1, 1, -1, 1), (1, 0.25, 1.5, -0.5, 1.75), (2, -0.5, 0.5, -1.25, 1.25)) v(l, a, b, c, d)),
+xs AS (SELECT zone, x AS x0, lead(x) OVER (PARTITION BY zone ORDER BY x) AS x1 FROM (SELECT zone, w AS x FROM r UNION SELECT zone, e FROM r)), ys AS (SELECT zone, y AS y0, lead(y) OVER (PARTITION BY zone ORDER BY y) AS y1 FROM (SELECT zone, s AS y FROM r UNION SELECT zone, n FROM r)),
+k AS (SELECT xs.zone, x0, y0, any_value((x1 - x0) * (y1 - y0)) AS area, sum(1 << l) AS mask FROM xs JOIN ys USING (zone) JOIN r ON r.zone = xs.zone AND w <= x0 AND x1 <= e AND s <= y0 AND y1 <= n GROUP BY 1, 2, 3)
+SELECT zone, CAST(mask AS BIGINT) AS mask, round(sum(area), 4) AS area FROM k GROUP BY 1, 2""")
+def zone_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three overlapping rectangles around each seed: the area of every combination of them."""
+    box = F.array(*[F.struct(F.lit(k).alias("l"), *[F.lit(float(v)).alias(n) for n, v in zip("abcd", b, strict=True)]) for k, b in enumerate(((-1, 1, -1, 1), (0.25, 1.5, -0.5, 1.75), (-0.5, 0.5, -1.25, 1.25)))])
+    r = circles(spark, sf_dir).select("circle", "sx", "sy", "sr", F.explode(box).alias("v")).selectExpr("circle AS zone", "v.l AS layer", "sx + v.a * sr AS w", "sx + v.b * sr AS e", "sy + v.c * sr AS s", "sy + v.d * sr AS n")
+    sides = r.selectExpr("zone", "layer", "stack(4, w, s, e, s, e, s, e, n, e, n, w, n, w, n, w, s) AS (x1, y1, x2, y2)")
+    return O.cells(sides).groupBy("zone", "mask").agg(F.round(F.sum(O.area()), 4).alias("area"))
 
 
 @query(f"{WITH} SELECT input_index, input_index % 4 IN (0, 1) AS near, input_index % 4 <> 3 AS finite FROM seeds")
