@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 from ..session import cut
 from . import polygons as P
 
-#: Spans that overlap by less don't connect.
+#: Spans that overlap by less don't connect; sides closer than that are one.
 TOUCH = 1e-9
 
 
@@ -82,17 +82,21 @@ def parts(chosen: DataFrame) -> DataFrame:
     """``chosen`` cells with a number ``cell`` and ``part``, the least number of their connected part; numbers differ from run to run."""
     c = cut(chosen.withColumn("cell", F.monotonically_increasing_id()))
     side = Window.partitionBy("zone", "slab").orderBy("k")
-    inside = c.select(F.col("cell").alias("a"), F.lead("cell").over(side).alias("b"), (F.lead("k").over(side) == F.col("k") + 1).alias("touch")).where("touch")
-    # along each border of slabs, which cell to its left and which to its right is open at each height
-    ends = []
+    # cells without height between two others are left out, so it is heights that tell whether these touch
+    touch = F.greatest(F.abs(F.lead("low0").over(side) - F.col("high0")), F.abs(F.lead("low1").over(side) - F.col("high1"))) <= TOUCH
+    inside = c.select(F.col("cell").alias("a"), F.lead("cell").over(side).alias("b"), touch.alias("touch")).where("touch")
+    # along each border of slabs, the cells to its left and right that were opened last, and how far up they reach
+    events = None
     for name, border, low, high in (("left", "slab", "low1", "high1"), ("right", "slab - 1", "low0", "high0")):
-        for y, opens, order in ((high, "CAST(NULL AS LONG)", 0), (low, "cell", 1)):
-            ends.append(c.where(f"{high} > {low}").selectExpr("zone", f"{border} AS border", f"{y} AS y", f"{order} AS o", f"'{name}' AS side", f"{opens} AS open"))
-    events = ends[0].unionByName(ends[1]).unionByName(ends[2]).unionByName(ends[3])
-    at = Window.partitionBy("zone", "border").orderBy("y", "o")
-    now = lambda s: F.last(F.when(F.col("side") == s, F.struct("open")), ignorenulls=True).over(at.rowsBetween(Window.unboundedPreceding, 0))["open"]
-    over = events.select(now("left").alias("a"), now("right").alias("b"), (F.lead("y").over(at) - F.col("y")).alias("span"))
-    links = inside.select("a", "b").unionByName(over.where(f"a IS NOT NULL AND b IS NOT NULL AND span > {TOUCH}").select("a", "b")).distinct()
+        open_here = c.where(f"{high} > {low}")
+        for y, opens in ((low, f"struct(cell, {high} AS upto)"), (high, "NULL")):
+            more = open_here.selectExpr("zone", f"{border} AS border", f"{y} AS y", f"'{name}' AS side", f"CAST({opens} AS STRUCT<cell: LONG, upto: DOUBLE>) AS open")
+            events = more if events is None else events.unionByName(more)
+    at = Window.partitionBy("zone", "border").orderBy("y", F.col("open").isNotNull())
+    now = lambda s: F.last(F.when(F.col("side") == s, F.col("open")), ignorenulls=True).over(at.rowsBetween(Window.unboundedPreceding, 0))
+    over = events.select("y", now("left").alias("l"), now("right").alias("r"), F.lead("y").over(at).alias("next"))
+    over = over.where(f"least(next, l.upto, r.upto) - y > {TOUCH}").select(F.col("l.cell").alias("a"), F.col("r.cell").alias("b"))
+    links = inside.select("a", "b").unionByName(over).distinct()
     return c.join(_roots(c.select(F.col("cell").alias("node")), links).withColumnsRenamed({"node": "cell", "root": "part"}), "cell")
 
 

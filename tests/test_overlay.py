@@ -76,7 +76,7 @@ def test_connected_parts(cells, zone, rule, test):
     if zone == 1:  # parts that meet in a point alone are two: a raster sees that once its rim is taken off
         for axis, step in itertools.product((0, 1), (1, -1)):
             mask = mask & np.roll(mask, step, axis)
-        least, near = 0.2, 0.25
+        least, near = 0.2, 0.4
     chosen = cells.where(F.col("zone") == zone).where(rule)
     labelled = overlay.parts(chosen)
     got = sorted(r["area"] for r in overlay.part_areas(labelled).collect() if r["area"] > least)
