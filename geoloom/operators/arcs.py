@@ -100,19 +100,25 @@ def union_area(circles: DataFrame) -> DataFrame:
 
 
 def meetings(circles: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges with circles that cross their line near them: all columns of both, and the two places t1 < t2 along the edge (0 to 1)."""
+    """Edges with circles that cross their line near them: all columns of both, and the two places t1 < t2 along the edge (0 to 1).
+
+    A circle visits the cells that it reaches, at most nine, an edge those that it
+    touches; of the cells where both are, the one with the edge's nearest place counts.
+    """
     c = _levels(circles)
     levels = sorted(r[0] for r in c.select("level").distinct().collect())
     e = edges.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>"))).withColumn("size", F.pow(F.lit(2.0), F.col("level")))
-    cells = P.border(e, F.col("size"), keep=("polygon", "edge"))
-    at = c.withColumns({"cx": F.floor(F.col("x") / F.col("size")).cast("long"), "cy": F.floor(F.col("y") / F.col("size")).cast("long")}).drop("size")
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    fx, fy = F.col("x1") - F.col("x"), F.col("y1") - F.col("y")
-    a, b = dx * dx + dy * dy, fx * dx + fy * dy
-    disc = b * b - a * (fx * fx + fy * fy - F.col("r") * F.col("r"))
-    pairs = at.join(cells, ["level", "cx", "cy"]).where(a > 0).withColumn("disc", disc).where(F.col("disc") > 0)
-    root = F.sqrt("disc")
-    return pairs.withColumns({"t1": (-b - root) / a, "t2": (-b + root) / a}).where((F.col("t2") > -NEAR) & (F.col("t1") < 1 + NEAR)).drop("disc")
+    cells = P.border(e, keep=("polygon", "edge")).drop("size")
+    reach = f"(r + {2 * P.MARGIN!r}D)"
+    for name, v in (("cx", "x"), ("cy", "y")):
+        c = c.withColumn(name, F.expr(f"explode(sequence(cast(floor(({v} - {reach}) / size) AS BIGINT), cast(floor(({v} + {reach}) / size) AS BIGINT)))"))
+    pairs = c.join(cells, ["level", "cx", "cy"]).withColumns({
+        "a": F.expr("(x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)"), "b": F.expr("(x1 - x) * (x2 - x1) + (y1 - y) * (y2 - y1)"),
+        "c": F.expr("(x1 - x) * (x1 - x) + (y1 - y) * (y1 - y) - r * r"),
+    }).where("a > 0 AND b * b - a * c > 0").withColumn("t", F.expr("greatest(0D, least(1D, -b / a))"))
+    own = pairs.where("cx = floor((x1 + t * (x2 - x1)) / size) AND cy = floor((y1 + t * (y2 - y1)) / size)")
+    met = own.withColumns({"t1": F.expr("(-b - sqrt(b * b - a * c)) / a"), "t2": F.expr("(-b + sqrt(b * b - a * c)) / a")})
+    return met.where((F.col("t2") > -NEAR) & (F.col("t1") < 1 + NEAR)).drop("a", "b", "c", "t", "size")
 
 
 def uncovered(edges: DataFrame, circles: DataFrame) -> DataFrame:
