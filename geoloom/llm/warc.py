@@ -146,8 +146,8 @@ def with_references(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> tuple[D
 _FIRST = -(1 << 63)
 
 
-def sharding(slim: DataFrame, shard_bytes: int = SHARD_BYTES) -> Column:
-    """Number of the shard of a row (page_id, tie); of ``slim`` a bounded number of rows places the bounds, the same for the same rows."""
+def sharding(slim: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[Column, int]:
+    """Number of the shard of a row (page_id, tie), and how many shards there are; of ``slim`` a bounded number of rows places the bounds, the same for the same rows."""
     n, size = slim.agg(F.count(F.lit(1)), F.sum("bytes")).first()
     shards = min(-(-(size or 0) // shard_bytes) or 1, MOST_SHARDS)
     page = F.coalesce("page_id", F.lit(_FIRST))
@@ -167,7 +167,7 @@ def sharding(slim: DataFrame, shard_bytes: int = SHARD_BYTES) -> Column:
             out[i] = bisect_left(places, (p[i], t[i]))
         return pd.Series(out.astype(np.int32))
 
-    return shard(page, F.col("tie"))
+    return shard(page, F.col("tie")), len(places) + 1
 
 
 def write(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, least_bytes: int = LEAST_BYTES, shard_bytes: int = SHARD_BYTES) -> list[dict]:
@@ -177,7 +177,8 @@ def write(pages: DataFrame, uri: str, roll_bytes: int = ROLL_BYTES, least_bytes:
     store, path = store_of(uri)
     store.create_dir(f"{path}/_temporary", recursive=True)
     rows, slim = with_references(pages, least_bytes)
-    dealt = rows.withColumn("shard", sharding(slim, shard_bytes)).repartition("shard").sortWithinPartitions("shard", "page_id", "url", "tie", "refers_to")
+    shard, shards = sharding(slim, shard_bytes)
+    dealt = rows.withColumn("shard", shard).repartitionById(shards, "shard").sortWithinPartitions("shard", "page_id", "url", "tie", "refers_to")
     done = dealt.select("shard", "page_id", "url", "html", "refers_to").mapInPandas(_writer(uri, roll_bytes), "temp string, file string, records long, bytes long")
     done = sorted(done.collect(), key=lambda r: r["file"])
     if done:
