@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators.joins import pairs_on_sphere
-from ..operators.windows import top
+from ..operators.spots import first_places
 
 LOG = "seed_index int, source string, page int, pos int, place_id string, lat double, lng double, next_token string"
 PAGE = 20
@@ -23,11 +22,7 @@ PAGE = 20
 
 def nearby(seeds: DataFrame, places: DataFrame, most: int = PAGE) -> DataFrame:
     """Strict circle, the first ``most`` places by their order ``k``."""
-    s = seeds.select(F.col("input_index").alias("seed_index"), "radius", F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
-    p = places.select("place_id", "k", F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng"))
-    reach = seeds.agg(F.max("radius")).first()[0] or 1
-    inside = pairs_on_sphere(s, p, float(reach)).where(F.col("distance") <= F.col("radius"))
-    ranked = top(inside, ["seed_index"], ["k"], most, "pos")
+    ranked = first_places(seeds, places, most).withColumnsRenamed({"input_index": "seed_index", "rank": "pos"})
     return ranked.select("seed_index", F.lit("nearby").alias("source"), F.lit(0).alias("page"), "pos", "place_id", F.col("s_lat").alias("lat"), F.col("s_lng").alias("lng"), F.lit(None).cast("string").alias("next_token"))
 
 
@@ -36,11 +31,8 @@ def text_search(seeds: DataFrame, places: DataFrame, cap: int = 60, page: int =
 
     A page has a token for the next one as long as there is more; the service ends at ``cap`` results.
     """
-    s = seeds.select(F.col("input_index").alias("seed_index"), "radius", F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
-    p = places.select("place_id", "k", F.col("lat").alias("s_lat"), F.col("lng").alias("s_lng"))
-    reach = float(seeds.agg(F.max("radius")).first()[0] or 1) * reach_factor
-    near = pairs_on_sphere(s, p, reach).where(F.col("distance") <= F.col("radius") * reach_factor).withColumn("outside", F.col("distance") > F.col("radius"))
-    ranked = top(near, ["seed_index"], ["outside", "k"], cap, "n")
+    near = first_places(seeds, places, cap, reach_factor, F.col("distance") > F.col("radius"))
+    ranked = near.withColumnsRenamed({"input_index": "seed_index", "rank": "n"})
     last = F.max("n").over(Window.partitionBy("seed_index"))
     number = F.floor((F.col("n") - 1) / page).cast("int")
     token = F.when(last > (F.col("page") + 1) * page, F.concat(F.lit("t"), (F.col("page") + 1).cast("string")))
