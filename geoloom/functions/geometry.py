@@ -49,8 +49,13 @@ def edge_table(spark: SparkSession, region: Region) -> DataFrame:
 
 def covers(x: Column, y: Column, own: Column) -> Column:
     """Even-odd rule; places on an edge count."""
+    return inside(x, y, own) | (segment_distance2(x, y, own) <= ON_EDGE)
+
+
+def inside(x: Column, y: Column, own: Column) -> Column:
+    """Even-odd rule with half-open spans: of two regions that share an edge, one has the places on it."""
     crossed = F.size(F.filter(own, lambda e: ((e["y1"] > y) != (e["y2"] > y)) & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])))
-    return (crossed % 2 == 1) | (segment_distance2(x, y, own) <= ON_EDGE)
+    return crossed % 2 == 1
 
 
 def segment_distance2(x: Column, y: Column, own: Column) -> Column:
