@@ -49,10 +49,15 @@ def csv_table(spark: SparkSession, path: str, required: tuple[str, ...]) -> Data
     return df
 
 
+def cell_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(lon_center, lat_center, population_density) of all rows, null where a text is no number."""
+    names = ("lon_center", "lat_center", "population_density")
+    return csv_table(spark, path, names).select(*[D.text_to_float(F.col(c)).alias(c) for c in names])
+
+
 def cells(spark: SparkSession, path: str) -> DataFrame:
     """Density cells (lon_center, lat_center, population_density); malformed ones go, none left is fatal."""
-    names = ("lon_center", "lat_center", "population_density")
-    df = csv_table(spark, path, names).select(*[D.text_to_float(F.col(c)).alias(c) for c in names])
+    df = cell_rows(spark, path)
     df = df.where(density_valid(F.col("lat_center"), F.col("lon_center"), F.col("population_density")))
     if df.isEmpty():
         raise InputError(f"{path}: no valid cell")
