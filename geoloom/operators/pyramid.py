@@ -243,12 +243,19 @@ def _border_hits(cover: Cover) -> DataFrame:
 
 def coverage(samples: DataFrame, circles: DataFrame, key: str, cap: int = 16) -> DataFrame:
     """(key, n_cover): circles (sx, sy, sr) over each sample (px, py), zero included.  ``key`` is unique."""
-    cover = _covered(samples, circles, key, cap)
+    places = by_place(samples, key)
+    cover = _covered(places, circles, key, cap)
     if cover is None:
         return samples.select(key).withColumn("n_cover", F.lit(0).cast("long"))
     sums, hits = _leaf_sums(cover, "_c"), _border_hits(cover).groupBy(key).agg(F.count(F.lit(1)).alias("_hits"))
-    out = cover.pyramid.rows.select(key, *CELL).join(sums, CELL).join(hits, key, "left")
-    return out.select(key, (F.col("inner") + F.coalesce("_hits", F.lit(0))).cast("long").alias("n_cover"))
+    out = cover.pyramid.rows.select(key, "px", "py", *CELL).join(sums, CELL).join(hits, key, "left")
+    out = out.select("px", "py", (F.col("inner") + F.coalesce("_hits", F.lit(0))).cast("long").alias("n_cover"))
+    return samples.select(key, "px", "py").join(out, ["px", "py"]).select(key, "n_cover")
+
+
+def by_place(rows: DataFrame, key: str, x: str = "px", y: str = "py") -> DataFrame:
+    """One row for each place: the least key of those there."""
+    return cut(rows.groupBy(x, y).agg(F.min(key).alias(key)))
 
 
 def _covered(samples: DataFrame, circles: DataFrame, key: str, cap: int) -> Cover | None:

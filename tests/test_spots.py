@@ -36,3 +36,22 @@ def test_first_places_against_all_pairs(spark):
         want = {i: [r[3] for r in sorted(r for r in rows if r[0] == i)[:most]] for i in {r[0] for r in rows}}
         got = O.first_places(s, p, most, 2.0, F.col("distance") > F.col("radius")).orderBy("input_index", "rank").collect()
         assert {i: [r["place_id"] for r in got if r["input_index"] == i] for i in {r["input_index"] for r in got}} == want
+
+
+def test_steps_by_place(spark):
+    """Copies at a place, circles in larger ones and polygons far away cost no rows of their own."""
+    from geoloom.operators import arcs, joins, polygons
+
+    copies = spark.range(20_000).select("id", (F.col("id") % 4).cast("double").alias("px"), F.lit(0.0).alias("py"))
+    circles = spark.range(20_000).select(F.col("id").alias("c"), (F.col("id") % 2).cast("double").alias("sx"), F.lit(0.0).alias("sy"), (1.0 + F.col("id") % 5).alias("sr"))
+    got = joins.coverage_and_nearest(copies, circles, "id", "c").groupBy("nearest").count()
+    assert sorted(map(tuple, got.collect())) == [(0.0, 10_000), (1.0, 5000), (2.0, 5000)]
+    outer = arcs.outer_circles(circles.select(F.col("c").alias("circle"), F.col("sx").alias("x"), F.col("sy").alias("y"), F.col("sr").alias("r")))
+    assert sorted((r["x"], r["r"]) for r in outer.collect()) == [(0.0, 5.0), (1.0, 5.0)]
+    near = joins.nearest_norm(circles.select("c", F.col("sx").alias("px"), F.col("sy").alias("py"), F.col("sr").alias("pr")), circles.withColumnRenamed("c", "o"), "c", "o")
+    assert [tuple(r) for r in near.groupBy("nn").count().collect()] == [(0.0, 20_000)]
+    square = [(0.0, -1.0, 2.5, -1.0), (2.5, -1.0, 2.5, 1.0), (2.5, 1.0, 0.0, 1.0), (0.0, 1.0, 0.0, -1.0)]
+    edges = spark.createDataFrame([(p, a + 100 * p, b, c + 100 * p, d) for p in range(50) for a, b, c, d in square], "polygon int, x1 double, y1 double, x2 double, y2 double")
+    places = copies.select("px", "py").distinct()
+    assert [r[0] for r in polygons._beside(edges, places, 0.1).select("polygon").distinct().collect()] == [0]
+    assert polygons.containing(copies, edges, "id", "px", "py").count() == 15_000
