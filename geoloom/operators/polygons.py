@@ -117,16 +117,30 @@ def _own(x: Column, y: Column) -> Column:
 def containing(points: DataFrame, edges: DataFrame, key: str, x: str = "x", y: str = "y", reach: float = 0.0, boundary: bool = True) -> DataFrame:
     """(key, polygon): polygons that hold each point, or come within ``reach`` of it; their boundary belongs to them unless ``boundary`` is false.
 
-    A cell with very many points or edges is one key of inner joins, which adaptive
-    execution splits.
+    Points of one place are looked up once, and polygons beyond the box of all points
+    not at all.  Points come from small files and give a row for each level, so
+    their side isn't left to be broadcast by its size.  A cell with very many points
+    or edges is one key of inner joins, which adaptive execution splits.
     """
-    inner, near, levels = cover(edges, reach)
     px, py = F.col("px"), F.col("py")
-    p = points.select(key, F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"))
-    p = p.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>"))).withColumn("size", F.pow(F.lit(2.0), F.col("level")))
-    p = p.withColumns({"cx": _index(px, F.col("size")), "cy": _index(py, F.col("size"))}).drop("size")
+    every = points.select(key, F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py"))
+    places = cut(every.select("px", "py").distinct())
+    inner, near, levels = cover(_beside(edges, places, reach + MARGIN), reach)
+    p = places.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>"))).withColumn("size", F.pow(F.lit(2.0), F.col("level")))
+    p = p.withColumns({"cx": _index(px, F.col("size")), "cy": _index(py, F.col("size"))}).drop("size").hint("merge")
     cell = ["level", "cx", "cy"]
-    hits = p.join(inner, cell).select(key, "polygon")
-    tested = p.join(near, cell).groupBy(key, "polygon").agg(((F.sum(_own(px, py)) + F.first("odd")) % 2 == 1).alias("inside"), F.min(distance2(px, py)).alias("d2"))
+    hits = p.join(inner, cell).select("px", "py", "polygon")
+    tested = p.join(near, cell).groupBy("px", "py", "polygon").agg(((F.sum(_own(px, py)) + F.first("odd")) % 2 == 1).alias("inside"), F.min(distance2(px, py)).alias("d2"))
     within = F.col("inside") | (F.col("d2") <= max(reach * reach, ON_EDGE)) if boundary or reach else F.col("inside")
-    return hits.unionByName(tested.where(within).select(key, "polygon"))
+    found = hits.unionByName(tested.where(within).select("px", "py", "polygon"))
+    return every.hint("merge").join(found, ["px", "py"]).select(key, "polygon")
+
+
+def _beside(edges: DataFrame, places: DataFrame, margin: float) -> DataFrame:
+    """Edges of the polygons whose box meets that of the places (px, py)."""
+    low_x, high_x, low_y, high_y = places.agg(F.min("px"), F.max("px"), F.min("py"), F.max("py")).first()
+    if low_x is None:
+        return edges.limit(0)
+    box = edges.groupBy("polygon").agg(F.min(F.least("x1", "x2")).alias("a"), F.max(F.greatest("x1", "x2")).alias("b"), F.min(F.least("y1", "y2")).alias("c"), F.max(F.greatest("y1", "y2")).alias("d"))
+    meets = (F.col("a") <= high_x + margin) & (F.col("b") >= low_x - margin) & (F.col("c") <= high_y + margin) & (F.col("d") >= low_y - margin)
+    return edges.join(box.where(meets).select("polygon"), "polygon", "left_semi")
