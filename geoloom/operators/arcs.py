@@ -27,6 +27,8 @@ TURN = 2 * math.pi
 NEAR = 1e-9
 #: Where a piece of an arc is tested; not the middle, which touches an edge in symmetric plans.
 WITHIN = 0.4142
+#: Cells of middles to the largest radius, where circles in larger ones are looked for.
+ACROSS = 12
 
 
 def distinct_circles(circles: DataFrame, circle: str = "circle", x: str = "x", y: str = "y", r: str = "r") -> DataFrame:
@@ -34,6 +36,26 @@ def distinct_circles(circles: DataFrame, circle: str = "circle", x: str = "x", y
     return c.where(F.col("r") > 0).groupBy("x", "y", "r").agg(F.min("circle").alias("circle"))
 
 
+def outer_circles(circles: DataFrame) -> DataFrame:
+    """Distinct circles without such that lie in a larger one: those that share a middle with it, and those that the largest of a cell of middles holds.
+
+    They add nothing to a union.  A circle that only one without a cell's largest radius holds stays, to be hidden by its arcs.
+    """
+    c = cut(distinct_circles(circles).groupBy("x", "y").agg(F.max("r").alias("r"), F.min("circle").alias("circle")).select("x", "y", "r", "circle"))
+    most = c.agg(F.max("r")).first()[0]
+    if most is None:
+        return c
+    width, reach = most / ACROSS, F.lit(most) - F.col("r")
+    cell = lambda v: F.floor(v / width).cast("long")
+    best = c.groupBy(cell(F.col("x")).alias("cx"), cell(F.col("y")).alias("cy")).agg(F.max(F.struct(F.col("r").alias("o_r"), F.col("x").alias("ox"), F.col("y").alias("oy"))).alias("o")).select("cx", "cy", "o.*")
+    looks = c.where(reach > 0)
+    for name, v in (("cx", F.col("x")), ("cy", F.col("y"))):
+        looks = looks.withColumn(name, F.explode(F.sequence(cell(v - reach), cell(v + reach))))
+    d = F.sqrt((F.col("x") - F.col("ox")) * (F.col("x") - F.col("ox")) + (F.col("y") - F.col("oy")) * (F.col("y") - F.col("oy")))
+    held = looks.join(best, ["cx", "cy"]).where((F.col("o_r") > F.col("r")) & (d <= F.col("o_r") - F.col("r"))).select("circle").distinct()
+    return c.join(held, "circle", "left_anti").select("x", "y", "r", "circle")
+
+
 def _levels(circles: DataFrame) -> DataFrame:
     """With the power of two, at least the radius, whose cells the circle's middle is looked up in."""
     level = F.ceil(F.log2("r")).cast("int")
@@ -96,7 +118,7 @@ def _swept(a: Column | str, b: Column | str) -> Column:
 
 def union_area(circles: DataFrame) -> DataFrame:
     """One row, ``area``: the area of the union of disks (circle, x, y, r)."""
-    return exposed(cut(distinct_circles(circles))).agg(F.coalesce(F.sum(_swept("a", "b")), F.lit(0.0)).alias("area"))
+    return exposed(cut(outer_circles(circles))).agg(F.coalesce(F.sum(_swept("a", "b")), F.lit(0.0)).alias("area"))
 
 
 def meetings(circles: DataFrame, edges: DataFrame) -> DataFrame:
@@ -127,7 +149,7 @@ def uncovered(edges: DataFrame, circles: DataFrame) -> DataFrame:
     Exposed arcs are cut where they cross any edge; a place of each piece tells the
     polygons that it lies in.
     """
-    c = cut(distinct_circles(circles))
+    c = cut(outer_circles(circles))
     e = cut(edges.select("polygon", *[F.col(v).cast("double").alias(v) for v in ("x1", "y1", "x2", "y2")]).withColumn("edge", F.monotonically_increasing_id()))
     cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
     area = e.groupBy("polygon").agg((F.sum(cross) / 2).alias("area"))
