@@ -16,8 +16,9 @@ def kind(v: Column) -> Column:
 
 
 def strip(s: Column) -> Column:
-    """Without white space of any kind at both ends."""
-    return F.regexp_replace(F.regexp_replace(s, r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    """Without white space of any kind at both ends; between two printable characters of ASCII there is nothing to look for."""
+    plain = F.substring(s, 1, 1).between("!", "~") & F.substring(s, -1, 1).between("!", "~")
+    return F.when(plain, s).otherwise(F.regexp_replace(F.regexp_replace(s, r"(?U)^\s+", ""), r"(?U)\s+$", ""))
 
 
 def blank_to_null(s: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import cut
 from .joins import pairs_on_sphere
 from .windows import top
 
@@ -33,33 +34,44 @@ def reached(seeds: DataFrame, spots: DataFrame, factor: float = 1.0) -> DataFram
     own = seeds.select("input_index", "radius", F.col("lat").alias("p_lat"), F.col("lng").alias("p_lng"))
     sites = dealt(own, "p_lat", "p_lng").groupBy("p_lat", "p_lng").agg(F.max("radius").alias("_most"))
     reach = float(seeds.agg(F.max("radius")).first()[0] or 1) * factor
-    near = pairs_on_sphere(sites, spots, reach).where(F.col("distance") <= F.col("_most") * factor).drop("_most")
+    # spots are few rows, each of which meets many sites: left to their bytes, one task would measure all pairs
+    near = pairs_on_sphere(sites, dealt(spots), reach).where(F.col("distance") <= F.col("_most") * factor).drop("_most")
     met = near.join(dealt(own, "p_lat", "p_lng").hint("merge"), ["p_lat", "p_lng"]).where(F.col("distance") <= F.col("radius") * factor)
     return met.drop("p_lat", "p_lng")
 
 
 def ranked(places: DataFrame, most: int, order: str = "k") -> DataFrame:
     """(place_id, order, s_lat, s_lng, i): the first ``most`` places of each spot, numbered from 1."""
-    return top(placed(places, "place_id", order), AT, [order, "place_id"], most, "i")
+    return top(dealt(placed(places, "place_id", order), *AT), AT, [order, "place_id"], most, "i")
 
 
-def first_places(seeds: DataFrame, places: DataFrame, most: int, factor: float = 1.0, before: Column | None = None, order: str = "k") -> DataFrame:
-    """(input_index, radius, distance, place_id, order, s_lat, s_lng, before, rank): the first ``most`` places in reach of each seed, by ``before`` (of radius and distance), then ``order``.
+def first_places(seeds: DataFrame, places: DataFrame, most: int, factor: float = 1.0, before: Column | None = None, order: str = "k", within: Column | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """(input_index, radius, distance, before, order, place_id, s_lat, s_lng, rank): the first ``most`` places in reach of each seed, by ``before`` (of radius and distance), then ``order``.
 
-    The first ``most`` spots by their first places hold all that count.  If there are
-    so many, no place after the last of these first ones counts; so few spots
-    are read beyond their first place.
+    ``within`` (of radius and distance) narrows the reach; ``rows``: what ``ranked``
+    gives for the places, if it is there already.  The first ``most`` spots by their
+    first places hold all that count.  If these are m spots of j places at least, and
+    m times j is ``most`` or more, no place after the last of their j-th ones counts;
+    so few places are read beyond those, and a seed that needs none but the spots'
+    first places has its answer in these spots' order.
     """
-    rows = ranked(places, most, order)
-    first = rows.groupBy(*AT).agg(F.min(order).alias("_k"), F.min(F.when(F.col("i") == 2, F.col(order))).alias("_second"))
-    met = reached(seeds, first, factor).withColumn("before", F.lit(False) if before is None else before)
-    spots = top(met, ["input_index"], ["before", "_k"], most, "_spot")
+    rows = cut(ranked(places, most, order)) if rows is None else rows
+    lists = rows.groupBy(*AT).agg(F.array_sort(F.collect_list(order)).alias("_ks"))
+    first = lists.select(*AT, F.get("_ks", F.lit(0)).alias("_k"), F.get("_ks", F.lit(1)).alias("_second"))
+    met = reached(seeds, first, factor).where(F.lit(True) if within is None else within)
+    spots = top(met.withColumn("before", F.lit(False) if before is None else before), ["input_index"], ["before", "_k"], most, "_spot")
     each = Window.partitionBy("input_index")
-    last = F.when(F.count(F.lit(1)).over(each) >= most, F.max(F.struct("before", F.col("_k").alias("k"))).over(each))
-    spots = spots.withColumn("_last", last)
-    counts = lambda k: F.col("_last").isNull() | (F.struct("before", F.col(k).alias("k")) <= F.col("_last"))
+    spots = spots.withColumns({"_n": F.count(F.lit(1)).over(each), "_last": F.max(F.struct("before", F.col("_k").alias("k"))).over(each)})
+    # m times j with j = 1: only second places up to the last spot's first one count besides
+    again = F.col("_second").isNotNull() & ((F.col("_n") < most) | (F.struct("before", F.col("_second").alias("k")) <= F.col("_last")))
     own = ["input_index", "radius", "distance", "before", *AT]
-    ones = spots.select(*own, F.col("_k").alias(order), F.lit(1).alias("i"))
-    more = spots.where(F.col("_second").isNotNull() & counts("_second")).join(rows.where("i > 1").drop("place_id"), AT).where(counts(order))
-    best = top(ones.unionByName(more.select(*own, order, "i")), ["input_index"], ["before", order], most)
-    return best.join(rows.drop(order), [*AT, "i"]).drop("i")
+    spots = cut(spots.select(*own, "_k", "_spot", "_n", F.max(again).over(each).alias("_more")))
+    # few seeds are left; each of their spots meets the list of its places
+    more = spots.where("_more").withColumn("_j", F.ceil(F.lit(most) / F.col("_n")).cast("int")).join(lists, AT)
+    last = F.max(F.struct("before", F.get("_ks", F.col("_j") - 1).alias("k"))).over(each)
+    more = more.withColumn("_last", F.when(F.min(F.size("_ks")).over(each) >= F.col("_j"), last))
+    more = more.select(*own, "_last", F.posexplode("_ks").alias("_pos", order)).where(F.col("_last").isNull() | (F.struct("before", F.col(order).alias("k")) <= F.col("_last")))
+    more = more.select(*own, order, (F.col("_pos") + 1).alias("i"))
+    best = top(more, ["input_index"], ["before", order], most)
+    ones = spots.where("NOT _more").select(*own, F.col("_k").alias(order), F.lit(1).alias("i"), F.col("_spot").alias("rank"))
+    return best.unionByName(ones).join(rows.drop(order), [*AT, "i"]).drop("i")

@@ -15,7 +15,9 @@ from pyspark.sql.window import Window
 from ..functions import dynamic as D
 from ..functions.scalars import haversine
 from ..functions.text import earliest_date
+from ..operators.spots import dealt
 from ..operators.windows import attempts, before_repeated_token, first_seen
+from ..session import cut
 
 SEED_CAP, REVIEW_SLOTS = 60, 5
 #: Columns of the places table, in order.
@@ -34,7 +36,8 @@ def discovered(log: DataFrame, seeds: DataFrame, cap: int = SEED_CAP) -> DataFra
     text = text.where(haversine(F.col("_la"), F.col("_ln"), F.col("lat"), F.col("lng")) <= F.col("radius"))
     both = log.where("source = 'nearby'").withColumn("stage", F.lit(0)).unionByName(text.select(*log.columns).withColumn("stage", F.lit(1)))
     both = both.withColumn("place_id", D.blank_to_null(F.col("place_id"))).where(F.col("place_id").isNotNull())
-    once = first_seen(both, ["seed_index", "place_id"], ["stage", "page", "pos"])
+    # one shuffle by seeds serves both windows
+    once = first_seen(dealt(both, "seed_index"), ["seed_index", "place_id"], ["stage", "page", "pos"])
     w = Window.partitionBy("seed_index").orderBy("stage", "page", "pos")
     ranked = once.withColumn("ord", F.row_number().over(w))
     return ranked.where((F.col("stage") == 0) | (F.col("ord") <= cap)).select("seed_index", "ord", "place_id")
@@ -66,10 +69,15 @@ def place_row(payload: Column, queried_id: Column) -> list[Column]:
 
 
 def tried(log: DataFrame, seeds: DataFrame, details: DataFrame, cap: int = SEED_CAP) -> DataFrame:
-    """(seed_index, ord, place_id, v, success): what each request for details gives.  ``details``: (place_id, payload as JSON text); an id fails where it has none or it isn't an object."""
+    """(seed_index, ord, place_id, v, success): what each request for details gives.  ``details``: (place_id, payload as JSON text); an id fails where it has none or it isn't an object.
+
+    Only the answers for ids that were discovered are made and parsed.
+    """
     payload = F.try_parse_json("payload")
-    answers = details.withColumn("v", payload).where(F.col("v").isNotNull() & D.kind(F.col("v")).startswith("OBJECT")).select("place_id", "v")
-    tries = discovered(log, seeds, cap).join(answers.dropDuplicates(["place_id"]), "place_id", "left")
+    found = cut(discovered(log, seeds, cap))
+    asked = cut(details.join(found.select("place_id").distinct(), "place_id", "left_semi"))
+    answers = asked.withColumn("v", payload).where(F.col("v").isNotNull() & D.kind(F.col("v")).startswith("OBJECT")).select("place_id", "v")
+    tries = found.join(answers.dropDuplicates(["place_id"]), "place_id", "left")
     return tries.withColumn("success", F.col("v").isNotNull())
 
 
