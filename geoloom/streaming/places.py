@@ -37,12 +37,18 @@ OUTCOME = "seed_index int, ord int, place_id string, outcome string"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class FirstSuccess(StatefulProcessor):
-    """Of each id the failed tries, the successful ones and a timer.
+_JUDGED = Row("seed_index", "ord", "place_id", "outcome")
+
 
-    A try that comes late can still be the first in the order of the seeds, so an
-    id is judged when its timer ends it: ``horizon_ms`` after its last try, by event
-    time.  Then errors, the one written and duplicates leave, and the state goes.
+class FirstSuccess(StatefulProcessor):
+    """Of each id the least successful try, the failed tries before it, the time of its last try and a timer.
+
+    A try after a successful one is a duplicate whatever comes later, and leaves at
+    once.  Others wait, as a try that comes late can still be the first in the order
+    of the seeds, until the id's timer ends it: ``horizon_ms`` after its last try, by
+    event time.  Then errors and the one written leave, and the state goes.  Calls
+    for state cost more than rows do, so that one value holds all but the failed
+    tries, and a timer that ends before the last try's horizon is only set anew then.
     """
 
     def __init__(self, horizon_ms: int) -> None:
@@ -51,34 +57,47 @@ class FirstSuccess(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.failed = handle.getListState("failed", "seed_index int, ord int")
-        self.succeeded = handle.getListState("succeeded", "seed_index int, ord int")
-        self.last = handle.getValueState("last", "ms long")
+        self.known = handle.getValueState("known", "ms long, waits boolean, seed_index int, ord int")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N803
-        last = self.last.get()[0] if self.last.exists() else None
-        before, latest, good, bad = last, last or 0, [], []
-        for r in rows:
-            (good if r["success"] else bad).append((r["seed_index"], r["ord"]))
-            latest = max(latest, int(r["seen_at"].timestamp() * 1000))
-        for state, more in ((self.succeeded, good), (self.failed, bad)):
-            if more:
-                state.appendList(more)
-        if latest != before:
-            if before is not None:
-                self.handle.deleteTimer(before + self.horizon_ms)
+        known = self.known.get()
+        last, waits, *at = known or (None, False, None, None)
+        latest, good, bad = last or 0, [] if at[0] is None else [tuple(at)], []
+        for seed, ord_, _, success, seen_at in rows:
+            (good if success else bad).append((seed, ord_))
+            latest = max(latest, int(seen_at.timestamp() * 1000))
+        first = min(good, default=None)
+        if first is not None:
+            good.remove(first)
+        early = [t for t in bad if first is None or t <= first]
+        if early:
+            self.failed.appendList(early)
+        now = (latest, waits or bool(early), *(first or (None, None)))
+        if known is None:
             self.handle.registerTimer(latest + self.horizon_ms)
-            self.last.update((latest,))
-        return iter(())
+        if known is None or now != tuple(known):
+            self.known.update(now)
+        for t in good:
+            yield _JUDGED(*t, key[0], "duplicate")
+        if len(early) < len(bad):
+            for t in bad:
+                if t > first:
+                    yield _JUDGED(*t, key[0], "duplicate")
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N803
-        good = sorted(tuple(r) for r in self.succeeded.get()) if self.succeeded.exists() else []
-        bad = [tuple(r) for r in self.failed.get()] if self.failed.exists() else []
-        for state in (self.succeeded, self.failed, self.last):
-            state.clear()
+        last, waits, *at = self.known.get()
+        if last + self.horizon_ms > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(last + self.horizon_ms)
+            return
+        first = None if at[0] is None else tuple(at)
+        bad = [tuple(r) for r in self.failed.get()] if waits else []
+        if waits:
+            self.failed.clear()
+        self.known.clear()
         for t in bad:
-            yield Row(seed_index=t[0], ord=t[1], place_id=key[0], outcome="duplicate" if good and t > good[0] else "error")
-        for t in good:
-            yield Row(seed_index=t[0], ord=t[1], place_id=key[0], outcome="written" if t == good[0] else "duplicate")
+            yield _JUDGED(*t, key[0], "duplicate" if first and t > first else "error")
+        if first:
+            yield _JUDGED(*first, key[0], "written")
 
     def close(self) -> None:
         pass
@@ -86,5 +105,5 @@ class FirstSuccess(StatefulProcessor):
 
 def first_success(tries: DataFrame, lateness: str = "1 day", horizon_ms: int = 86_400_000) -> DataFrame:
     """(seed_index, ord, place_id, outcome) of a stream of tries (``TRY``); a new state begins for an id that is tried again after its horizon."""
-    late = tries.withWatermark("seen_at", lateness)
+    late = tries.select("seed_index", "ord", "place_id", "success", "seen_at").withWatermark("seen_at", lateness)
     return late.groupBy("place_id").transformWithState(FirstSuccess(horizon_ms), OUTCOME, "Append", "EventTime")
