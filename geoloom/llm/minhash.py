@@ -3,7 +3,8 @@
 Two texts link where the Jaccard similarity of their sets of ``WORDS``-word
 shingles is ``LEAST`` or more; connected texts are one component.
 
-Texts that agree in all ``ROWS`` least hashes of one of ``BANDS`` bands meet: a
+Texts whose fingerprints link are candidates (operator 1, see ``simhash``), and so are those beyond its
+radius that bands find: texts that agree in all ``ROWS`` least hashes of one of ``BANDS`` bands meet: a
 pair at similarity s does with probability 1 - (1 - s ** ROWS) ** BANDS, 0.9999
 at 0.8 and more above, so one link in ten thousand at the limit itself is missed
 and fewer beyond.  Texts that meet, directly or over others, go to one group
@@ -21,7 +22,7 @@ other than those asked for are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -73,22 +74,24 @@ def band_keys(s: np.ndarray) -> np.ndarray:
     return key ^ (key >> np.uint64(32))
 
 
-def signatures(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` without the text, with ``key`` (hash of the set of shingles), its characters and its band keys."""
+def signatures(docs: DataFrame, text: str, fingerprint: Callable[[np.ndarray], int] | None = None) -> DataFrame:
+    """``docs`` without the text, with ``key`` (hash of the set of shingles), its characters, its band keys and ``fp``, its fingerprint (0 without a function for it)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keys, bands = np.empty(len(pdf), np.uint64), []
+            keys, fp, bands = np.empty(len(pdf), np.uint64), np.zeros(len(pdf), np.uint64), []
             for i, x in enumerate(pdf[text]):
                 s = shingles(x or "")
                 keys[i] = xxhash.xxh64_intdigest(s.tobytes(), SEED)
+                if fingerprint is not None:
+                    fp[i] = fingerprint(s)
                 bands.append(band_keys(s).view(np.int64))
             sizes = [len(x or "") for x in pdf[text]]
-            yield pdf.drop(columns=[text]).assign(key=keys.view(np.int64), chars=sizes, bands=bands)
+            yield pdf.drop(columns=[text]).assign(key=keys.view(np.int64), chars=sizes, bands=bands, fp=fp.view(np.int64))
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
-    return docs.mapInPandas(run, f"{kept}, key long, chars long, bands array<long>")
+    return docs.mapInPandas(run, f"{kept}, key long, chars long, bands array<long>, fp long")
 
 
 def forest(sets: list[np.ndarray], least: float = LEAST) -> tuple[list[int], list[int]]:
@@ -161,18 +164,35 @@ def _compared(least: float):
     return run
 
 
-def near_copies(docs: DataFrame, ids: tuple[str, ...], keep: tuple[str, ...] = (), text: str = "text", least: float = LEAST, block_chars: int = BLOCK_CHARS, block_texts: int = BLOCK_TEXTS) -> DataFrame:
-    """Rows (ids, columns to keep, root), one for each row; rows of one root are one component.  ``ids`` name a text: rows that repeat them have the same one."""
+def _by_fingerprints(first: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Edges (a, b) of keys: sets with one fingerprint, and one set for each of two that link."""
+    heads = stored(first.groupBy("fp").agg(F.min("key").alias("head")), "heads")
+    same = first.join(heads, "fp").where("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b"))
+    edges = stored(linked(heads.select("fp")).distinct(), "links")
+    ends = [heads.select(F.col("fp").alias(c), F.col("head").alias(f"key_{c}")) for c in "ab"]
+    return same.unionByName(edges.join(ends[0], "a").join(ends[1], "b").select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
+
+
+def near_copies(docs: DataFrame, ids: tuple[str, ...], keep: tuple[str, ...] = (), text: str = "text", least: float = LEAST, block_chars: int = BLOCK_CHARS, block_texts: int = BLOCK_TEXTS, fingerprint: Callable[[np.ndarray], int] | None = None, linked: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Rows (ids, columns to keep, root), one for each row; rows of one root are one component.
+
+    ``ids`` name a text: rows that repeat them have the same one.  ``fingerprint`` of a
+    set of shingles and ``linked``, edges (a, b) of a table of distinct ``fp``, give
+    candidates besides those of the bands.
+    """
     docs = docs.select(*ids, *keep, text)
-    prints = stored(signatures(docs, text), "signatures")
-    first = prints.groupBy("key").agg(F.min(F.struct(*ids)).alias("one"), F.max("chars").alias("chars"), F.first("bands").alias("bands"))
+    prints = stored(signatures(docs, text, fingerprint), "signatures")
+    first = prints.groupBy("key").agg(F.min(F.struct(*ids)).alias("one"), F.max("chars").alias("chars"), F.first("bands").alias("bands"), F.first("fp").alias("fp"))
     first = stored(first, "sets")
     with batch_rows(docs.sparkSession, 1 << 16):
         met = first.select("key", F.explode("bands").alias("bucket"))
         hubs = met.groupBy("bucket").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
         # tables that are joined by a key which very many rows may have are written first, so that adaptive execution can split the join
         hubs = stored(hubs, "hubs")
-        near = components(stored(met.join(hubs, "bucket").where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct(), "met"))
+        met = met.join(hubs, "bucket").where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b"))
+        if linked is not None:
+            met = met.unionByName(_by_fingerprints(first, linked))
+        near = components(stored(met.distinct(), "met"))
     near = stored(near, "groups")
     sizes = near.join(first.select(F.col("key").alias("node"), "chars"), "node").groupBy("root").agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"))
     parts = F.greatest(F.ceil(F.col("chars") / block_chars), F.ceil(F.col("n") / block_texts), F.lit(1)).cast("int")

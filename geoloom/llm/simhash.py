@@ -26,7 +26,7 @@ ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -56,11 +56,17 @@ def fingerprint(text: str, words: int = WORDS) -> int:
     ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
     begins = np.concatenate([[0], ends[:-1] + 1])
     digest = xxhash.xxh64_intdigest
-    total, n = np.zeros(64, np.int64), len(w) - words + 1
+    n = len(w) - words + 1
     b, e = begins[:n].tolist(), ends[words - 1 :].tolist()
-    for i in range(0, n, 4096):
-        h = np.array([digest(joined[x:y], SEED) for x, y in zip(b[i : i + 4096], e[i : i + 4096], strict=True)], dtype=np.uint64)
+    return majority(np.array([digest(joined[x:y], SEED) for x, y in zip(b[i : i + 4096], e[i : i + 4096], strict=True)], dtype=np.uint64) for i in range(0, n, 4096))
+
+
+def majority(runs: Iterable[np.ndarray]) -> int:
+    """Fingerprint of hashes, given in runs: the bits set in over half of them."""
+    total, n = np.zeros(64, np.int64), 0
+    for h in runs:
         total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(h)
     bits = (2 * total > n).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
@@ -286,18 +292,34 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+STAGE_RADIUS, STAGE_BLOCKS = 6, 8
+
+
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """Fingerprint of a set of shingles' hashes."""
+    return majority(hashes[i : i + 4096] for i in range(0, len(hashes), 4096))
+
+
+def stage_links(distinct: DataFrame) -> DataFrame:
+    """Operator 1's links of distinct fingerprints, with the stage's radius."""
+    return links(distinct, STAGE_RADIUS, STAGE_BLOCKS)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each component of near copies stays, that with the smallest id.
 
-    The stage has parameters of its own, not those of operator 1: five-word
-    shingles of similarity 0.8 or more link (see ``minhash``).  Of rows that
-    repeat id and text, one stays; where no row of a component has an id, one of
-    its rows does.
+    Operator 1's fingerprints and links find candidates, with parameters of the
+    stage: five-word shingles, each once, and 6 bits by 8 blocks.  An exact test of
+    each candidate follows: sets of shingles of similarity 0.8 or more link.  Copies
+    at 0.8 differ in some 10 bits of 64, which no choice of blocks can search, so
+    bands of least hashes add the candidates beyond the radius (see ``minhash``) and
+    none is lost.  Of rows that repeat id and text, one stays; where no row of a
+    component has an id, one of its rows does.
     """
     name, digest, at = fresh(docs, "_id", "_hash", "_at")
     keyed = docs.withColumns({name: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest: F.xxhash64(F.coalesce("text", F.lit("")))})
     named = keyed.withColumn(at, F.struct(F.col("doc_id").isNull().alias("n"), "doc_id"))
-    groups = near_copies(named.select(name, digest, at, "text"), (name, digest), (at,))
+    groups = near_copies(named.select(name, digest, at, "text"), (name, digest), (at,), fingerprint=set_fingerprint, linked=stage_links)
     keep = groups.groupBy("root").agg(F.min(F.struct(at, name, digest)).alias("r")).select(F.col("r")[name].alias(name), F.col("r")[digest].alias(digest)).distinct()
     keep = stored(keep, "kept")
     return keyed.join(keep, [name, digest], "left_semi").dropDuplicates([name, digest]).select(*docs.columns)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import itertools
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from geoloom.llm import minhash, simhash
 
@@ -55,3 +57,24 @@ def test_components_by_brute_force(spark, block):
     got = {r["id"]: r["root"] for r in minhash.near_copies(df, ("id",), block_texts=block).collect()}
     for i, j in itertools.combinations(range(60), 2):
         assert (got[i] == got[j]) == (root[i] == root[j])
+
+
+def test_stage_meets_by_fingerprints(spark, monkeypatch):
+    """Operator 1's fingerprints and links alone find close copies: bands that never meet don't change them."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    rows = []
+    for k in range(20):
+        a = rng.choices(words, k=600)
+        b = [*a[:300], "changed", *a[301:]]
+        rows += [(2 * k, " ".join(a), k), (2 * k + 1, " ".join(b), k)]
+    prints = [minhash.shingles(t) for _, t, _ in rows]
+    bits = [(simhash.set_fingerprint(x) ^ simhash.set_fingerprint(y)).bit_count() for x, y in zip(prints[::2], prints[1::2], strict=True)]
+    close = {k for k, n in enumerate(bits) if n <= simhash.STAGE_RADIUS}
+    assert len(close) > 15
+    lone = lambda s: np.full(minhash.BANDS, int(s[0]) if len(s) else 0, np.uint64) ^ np.uint64(int(s.sum(dtype=np.uint64)))
+    monkeypatch.setattr(minhash, "band_keys", lone)
+    df = spark.createDataFrame(rows, "doc_id long, text string, pair int").select("doc_id", "text")
+    keyed = df.withColumn("id", F.col("doc_id").cast("string"))
+    got = {r["id"]: r["root"] for r in minhash.near_copies(keyed, ("id",), fingerprint=simhash.set_fingerprint, linked=simhash.stage_links).collect()}
+    assert {k for k in range(20) if got[str(2 * k)] == got[str(2 * k + 1)]} >= close
