@@ -24,11 +24,9 @@ def attempts(rows: DataFrame, key: str, order: list[str], success: str = "succes
     return rows.withColumn("outcome", F.when(before > 0, "duplicate").when(F.col(success), "written").otherwise("error"))
 
 
-def before_repeated_token(pages: DataFrame, key: str, page: str = "page", token: str = "next_token") -> DataFrame:
-    """Pages up to the first whose token is empty or that of the page before."""
-    w = Window.partitionBy(key).orderBy(page)
+def before_repeated_token(rows: DataFrame, keys: list[str], page: str = "page", token: str = "next_token") -> DataFrame:
+    """Rows of the pages up to the first whose token is empty or that of the page before; all rows of a page have its token."""
+    before = Window.partitionBy(*keys).orderBy(page).rangeBetween(Window.unboundedPreceding, -1)
     last = F.coalesce(F.nullif(F.trim(token), F.lit("")), F.lit("")) == ""
-    again = F.col(token).eqNullSafe(F.lag(token).over(w))
-    flagged = pages.withColumn("_stop", (last | again).cast("int"))
-    stops = F.coalesce(F.sum("_stop").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return flagged.withColumn("_stops", stops).where("_stops = 0").drop("_stop", "_stops")
+    flagged = rows.withColumn("_stop", last | F.col(token).eqNullSafe(F.last(token).over(before)))
+    return flagged.withColumn("_stops", F.coalesce(F.max("_stop").over(before), F.lit(False))).where("NOT _stops").drop("_stop", "_stops")

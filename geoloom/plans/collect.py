@@ -15,8 +15,7 @@ from pyspark.sql.window import Window
 from ..functions import dynamic as D
 from ..functions.scalars import haversine
 from ..functions.text import earliest_date
-from ..operators.spots import dealt
-from ..operators.windows import attempts, before_repeated_token, first_seen
+from ..operators.windows import attempts, before_repeated_token
 from ..session import cut
 
 SEED_CAP, REVIEW_SLOTS = 60, 5
@@ -30,17 +29,18 @@ def discovered(log: DataFrame, seeds: DataFrame, cap: int = SEED_CAP) -> DataFra
     The nearby search is strict on the service's side; text results are filtered
     here, as the service only prefers the circle.  The cap holds for the text stage.
     """
-    text_pages = log.where("source = 'text'").select("seed_index", "page", "next_token").distinct()
-    seen = before_repeated_token(text_pages, "seed_index").select("seed_index", "page")
-    text = log.where("source = 'text'").join(seen, ["seed_index", "page"], "left_semi").join(seeds.select(F.col("input_index").alias("seed_index"), F.col("lat").alias("_la"), F.col("lng").alias("_ln"), "radius"), "seed_index")
-    text = text.where(haversine(F.col("_la"), F.col("_ln"), F.col("lat"), F.col("lng")) <= F.col("radius"))
-    both = log.where("source = 'nearby'").withColumn("stage", F.lit(0)).unionByName(text.select(*log.columns).withColumn("stage", F.lit(1)))
-    both = both.withColumn("place_id", D.blank_to_null(F.col("place_id"))).where(F.col("place_id").isNotNull())
-    # one shuffle by seeds serves both windows
-    once = first_seen(dealt(both, "seed_index"), ["seed_index", "place_id"], ["stage", "page", "pos"])
-    w = Window.partitionBy("seed_index").orderBy("stage", "page", "pos")
-    ranked = once.withColumn("ord", F.row_number().over(w))
-    return ranked.where((F.col("stage") == 0) | (F.col("ord") <= cap)).select("seed_index", "ord", "place_id")
+    # the log is read once and dealt by seeds once; pages and places in them are numbers from 0
+    rows = log.withColumn("stage", F.when(F.col("source") == "nearby", 0).when(F.col("source") == "text", 1)).where("stage IS NOT NULL")
+    token = F.when(F.col("stage") == 1, F.col("next_token")).otherwise(F.concat(F.lit("t"), F.col("page").cast("string")))
+    rows = before_repeated_token(rows.withColumn("_token", token), ["seed_index", "stage"], token="_token")
+    own = seeds.select(F.col("input_index").alias("seed_index"), F.col("lat").alias("_la"), F.col("lng").alias("_ln"), "radius")
+    inside = haversine(F.col("_la"), F.col("_ln"), F.col("lat"), F.col("lng")) <= F.col("radius")
+    rows = rows.join(own, "seed_index", "left").where((F.col("stage") == 0) | inside)
+    rows = rows.withColumn("place_id", D.blank_to_null(F.col("place_id"))).where(F.col("place_id").isNotNull())
+    at = F.shiftleft(F.shiftleft(F.col("stage").cast("long"), 31) + F.col("page"), 31) + F.col("pos")
+    once = rows.groupBy("seed_index", "place_id").agg(F.min(at).alias("_at"))
+    ranked = once.withColumn("ord", F.row_number().over(Window.partitionBy("seed_index").orderBy("_at")))
+    return ranked.where((F.col("_at") < 1 << 62) | (F.col("ord") <= cap)).select("seed_index", "ord", "place_id")
 
 
 def review_columns(texts: Column) -> list[Column]:
@@ -68,24 +68,38 @@ def place_row(payload: Column, queried_id: Column) -> list[Column]:
     ]
 
 
-def tried(log: DataFrame, seeds: DataFrame, details: DataFrame, cap: int = SEED_CAP) -> DataFrame:
-    """(seed_index, ord, place_id, v, success): what each request for details gives.  ``details``: (place_id, payload as JSON text); an id fails where it has none or it isn't an object.
+def _answers(ids: DataFrame, details: DataFrame) -> DataFrame:
+    """(place_id, v): answers for the ids asked for that are objects; only those are made and parsed."""
+    asked = cut(details.join(ids, "place_id", "left_semi"))
+    answers = asked.withColumn("v", F.try_parse_json("payload")).where(F.col("v").isNotNull() & D.kind(F.col("v")).startswith("OBJECT"))
+    return answers.select("place_id", "v").dropDuplicates(["place_id"])
 
-    Only the answers for ids that were discovered are made and parsed.
+
+def tried(found: DataFrame, details: DataFrame) -> DataFrame:
+    """(seed_index, ord, place_id, success): what each request for details of ``discovered`` ids gives.  ``details``: (place_id, payload as JSON text); an id fails where it has none or it isn't an object."""
+    answers = _answers(found.select("place_id").distinct(), details).select("place_id", F.lit(True).alias("success"))
+    return found.join(answers, "place_id", "left").withColumn("success", F.coalesce("success", F.lit(False)))
+
+
+def outcomes(found: DataFrame, details: DataFrame) -> DataFrame:
+    """(seed_index, ord, place_id, outcome) of ``discovered`` ids."""
+    return attempts(tried(found, details), "place_id", ["seed_index", "ord"]).select("seed_index", "ord", "place_id", "outcome")
+
+
+def written(found: DataFrame, details: DataFrame) -> DataFrame:
+    """(seed_index, ord, the places' columns): places that are written, with the try that does it.
+
+    An id's details are the same at each try, so its first try writes it or none does: answers meet ids, not tries.
     """
-    payload = F.try_parse_json("payload")
-    found = cut(discovered(log, seeds, cap))
-    asked = cut(details.join(found.select("place_id").distinct(), "place_id", "left_semi"))
-    answers = asked.withColumn("v", payload).where(F.col("v").isNotNull() & D.kind(F.col("v")).startswith("OBJECT")).select("place_id", "v")
-    tries = found.join(answers.dropDuplicates(["place_id"]), "place_id", "left")
-    return tries.withColumn("success", F.col("v").isNotNull())
+    first = cut(found.groupBy("place_id").agg(F.min("seed_index").alias("seed_index"), F.min_by("ord", "seed_index").alias("ord")))
+    answers = _answers(first.select("place_id"), details)
+    return first.join(answers, "place_id").select("seed_index", "ord", *place_row(F.col("v"), F.col("place_id")))
 
 
 def collected(log: DataFrame, seeds: DataFrame, details: DataFrame, cap: int = SEED_CAP) -> tuple[DataFrame, DataFrame]:
     """(places, outcomes)."""
-    judged = attempts(tried(log, seeds, details, cap), "place_id", ["seed_index", "ord"])
-    places = judged.where("outcome = 'written'").select("seed_index", "ord", *place_row(F.col("v"), F.col("place_id")))
-    return places, judged.select("seed_index", "ord", "place_id", "outcome")
+    found = cut(discovered(log, seeds, cap))
+    return written(found, details), outcomes(found, details)
 
 
 def summary(outcomes: DataFrame) -> DataFrame:

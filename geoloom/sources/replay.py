@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators.spots import first_places, ranked
+from ..operators.spots import dealt, first_places, listed
 from ..session import cut
 
 LOG = "seed_index int, source string, page int, pos int, place_id string, lat double, lng double, next_token string"
@@ -51,18 +51,18 @@ def searches(seeds: DataFrame, places: DataFrame, cap: int = 60, most: int = PAG
 
 def _around(seeds: DataFrame, places: DataFrame, cap: int, reach_factor: float) -> DataFrame:
     """The first ``cap`` places of each seed, inside the circle first; only seeds with fewer inside look around it."""
-    rows = cut(ranked(places, cap))
-    inside = cut(first_places(seeds, places, cap, rows=rows))
+    lists = cut(listed(places, cap))
+    inside = cut(first_places(seeds, places, cap, lists=lists))
     rest = seeds.join(inside.groupBy("input_index").agg(F.count(F.lit(1)).alias("_n")), "input_index", "left").where(F.coalesce("_n", F.lit(0)) < cap)
     rest = cut(rest.select("input_index", "lat", "lng", "radius", F.coalesce("_n", F.lit(0)).cast("int").alias("_n")))
-    around = first_places(rest.drop("_n"), places, cap, reach_factor, within=F.col("distance") > F.col("radius"), rows=rows)
+    around = first_places(rest.drop("_n"), places, cap, reach_factor, within=F.col("distance") > F.col("radius"), lists=lists)
     around = around.join(rest.select("input_index", "_n"), "input_index").where(F.col("rank") + F.col("_n") <= cap)
     around = around.withColumns({"rank": F.col("rank") + F.col("_n"), "before": F.lit(True)}).drop("_n")
     return inside.unionByName(around)
 
 
 def _numbered(found: DataFrame) -> DataFrame:
-    return found.withColumn("last", F.max("rank").over(Window.partitionBy("input_index")))
+    return dealt(found, "input_index").withColumn("last", F.max("rank").over(Window.partitionBy("input_index")))
 
 
 def _nearby(rank: Column) -> list[Column]:

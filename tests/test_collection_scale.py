@@ -8,6 +8,8 @@ import random
 from pyspark.sql import functions as F
 
 from geoloom.operators import spots as O
+from geoloom.operators.windows import before_repeated_token
+from geoloom.plans import collect
 from geoloom.sources import replay
 from geoloom.streaming.places import FirstSuccess
 
@@ -35,6 +37,30 @@ def test_distances_by_all_tasks(spark):
     assert "REPARTITION_BY_NUM" in O.reached(seeds, sites)._jdf.queryExecution().executedPlan().toString().split("_most", 1)[1]
 
 
+def test_places_meet_answers_not_tries(spark):
+    """Answers don't go through a window of all tries; each place comes with its first try, and pages end where their token does."""
+    rnd = random.Random(4)
+    log = [(i, "text", p, n, f"p{rnd.randrange(300)}", 0.0, 0.0, f"t{p + (p < 4)}") for i in range(50) for p in range(6) for n in range(9)]
+    log += [(i, "nearby", 0, n, f"p{rnd.randrange(300)}", 9.0, 9.0, None) for i in range(60) for n in range(5)]
+    log = spark.createDataFrame(rnd.sample(log, len(log)), replay.LOG)
+    seeds = spark.createDataFrame([(i, 0.0, 0.0, 900 if i % 7 else 0, i % 5) for i in range(50)], "input_index int, lat double, lng double, radius int, x int")
+    details = spark.createDataFrame([(f"p{i}", "{}" if i % 3 else "[]") for i in range(290)], "place_id string, payload string")
+    places, outcomes = collect.collected(log, seeds, details, 20)
+    plan = places._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert sorted(tuple(r)[:3] for r in places.collect()) == sorted(tuple(r)[:3] for r in outcomes.where("outcome = 'written'").collect())
+    # by hand: page 5 has the token of page 4, so nothing comes after it; ids once, nearby first, the cap for texts
+    want = []
+    for i in range(60):
+        own = sorted((r for r in log.collect() if r.seed_index == i), key=lambda r: (r.source, r.page, r.pos)) if i < 3 else []
+        seen = list(dict.fromkeys((r.place_id) for r in own))
+        near = len({r.place_id for r in own if r.source == "nearby"})
+        want += [(i, n, p) for n, p in enumerate(seen, 1) if n <= max(near, 20)]
+    assert sorted(tuple(r)[:3] for r in outcomes.where("seed_index < 3").collect()) == sorted(want)
+    pages = spark.createDataFrame([(1, p, n, t) for p, t in enumerate(["a", "b", "b", "c"]) for n in range(3)], "s int, page int, pos int, next_token string")
+    assert sorted(r.page for r in before_repeated_token(pages, ["s"]).collect()) == [0, 0, 0, 1, 1, 1, 2, 2, 2]
+
+
 class _State:
     def __init__(self):
         self.v, self.calls = None, 0
