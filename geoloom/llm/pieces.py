@@ -34,8 +34,8 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -97,10 +97,23 @@ class Grown:
         return self.data[: self.n]
 
 
+class Numbers(dict):
+    """Numbers of words: a word that is not there yet gets the next one; ``new``: such words since they were last taken."""
+
+    def __init__(self, words: Iterable[str] = ()) -> None:
+        super().__init__(zip(words, count()))
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class Model:
     """A SentencePiece model with the lattices of the words met so far."""
 
-    def __init__(self, path: str = MODEL, theta: float = THETA, most_words: int = 100_000) -> None:
+    def __init__(self, path: str = MODEL, theta: float = THETA, most_words: int = 300_000) -> None:
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -115,17 +128,24 @@ class Model:
         codes = np.array([self._hash(p) for p, _ in pieces], np.uint64)
         order = np.argsort(codes)
         self.codes, self.ids = codes[order], np.array([i for _, i in pieces], np.int32)[order]
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[self._leading(self.codes)] = True
+        # by 22 bits of a code: 1, if a piece has them, 2, if one may begin a longer piece, and 4, if several pieces have them; and the place of the last such piece
+        self.kind, self.slot = np.zeros(1 << 22, np.uint8), np.zeros(1 << 22, np.int32)
+        self.slot[self._leading(self.codes)] = np.arange(len(self.codes))
+        taken, n = np.unique(self._leading(self.codes), return_counts=True)
+        self.kind[taken] = 1 + 4 * (n > 1)
+        heads = {p[:k] for p, _ in pieces for k in range(1, len(p))}
+        self.kind[self._leading(np.array([self._hash(p) for p in heads], np.uint64))] |= 2
         self.lead = sp.piece_to_id(SPACE)
+        line = sp.encode("\n")
+        self.line = line[1] if len(line) == 2 and line[0] == self.lead else -1
         self.weight = -theta * np.log(np.arange(sp.get_piece_size()) + 10.0)
         self.size = sp.get_piece_size()
         self._reset()
 
     @staticmethod
     def _leading(codes: np.ndarray) -> np.ndarray:
-        """20 bits by which a code is looked up in a table of flags before the search."""
-        return ((codes * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(44)).view(np.int64)
+        """22 bits by which a code is looked up."""
+        return ((codes * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(42)).view(np.int64)
 
     @staticmethod
     def _hash(p: str) -> int:
@@ -137,7 +157,7 @@ class Model:
 
     def _reset(self) -> None:
         """Forgets all words, so that a worker that goes on to other work holds nothing."""
-        self.table: dict[str, int] = {}
+        self.table = Numbers()
         self.met = Grown(np.int64)  # by word: how often, halved with each forgetting
         self.first, self.chars = Grown(np.int64), Grown(np.int64)  # by word: first node, characters
         self.own_at, self.own_n, self.own = Grown(np.int64), Grown(np.int64), Grown(np.int32)  # by word: the model's pieces
@@ -149,7 +169,7 @@ class Model:
         """Keeps the third of the table that is met most often."""
         keep = np.sort(np.argsort(-self.met.view, kind="stable")[: self.most_words // 3])
         words, chars, own_n = list(self.table), self.chars.view[keep], self.own_n.view[keep]
-        self.table = {words[i]: k for k, i in enumerate(keep.tolist())}
+        self.table = Numbers(words[i] for i in keep.tolist())
         nodes, own = ranges(self.first.view[keep], chars), ranges(self.own_at.view[keep], own_n)
         begin = self.edge_at.view[nodes]
         count = np.append(self.edge_at.view[1:], self.id.n)[nodes] - begin
@@ -208,11 +228,13 @@ class Model:
         if len(self.table) > self.most_words:
             self._forget()
         flat = list(chain.from_iterable(lists))
-        found = list(map(self.table.get, flat))
-        if None in found:
-            self._learn(sorted({w for w, i in zip(flat, found, strict=True) if i is None}))
-            found = list(map(self.table.get, flat))
-        found = np.array(found, np.int64)
+        try:
+            found = np.fromiter(map(self.table.__getitem__, flat), np.int64, len(flat))
+            self._learn(self.table.new)
+        except BaseException:
+            self._reset()  # numbers without lattices
+            raise
+        self.table.new = []
         self.met.view[:] += np.bincount(found, minlength=self.met.n)
         return found, np.cumsum([0] + [len(ws) for ws in lists])
 
@@ -220,8 +242,23 @@ class Model:
         for i in range(0, len(words), 1 << 12):
             self._lattices(words[i : i + (1 << 12)])
 
-    def _own(self, spelled: list[str]) -> list[list[int]]:
-        """The model's pieces of each word: spaces at its beginning are spaces to the model, the first of which it adds itself."""
+    def _own(self, spelled: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The model's pieces of all words, and how many each has: encoded as lines, 64 a text, as no piece reaches across lines."""
+        whole = np.fromiter((s[0] == "\n" for s in spelled), bool, len(spelled))  # line feeds are at words' beginnings only, and here the lines' own
+        lines = [s if w else "\n" + s for s, w in zip(spelled, whole.tolist(), strict=True)]
+        texts = ["".join(lines[i : i + 64]).replace(SPACE, " ") for i in range(0, len(lines), 64)]
+        out = self.sp.encode(texts, num_threads=1)
+        ids = np.fromiter(chain.from_iterable(out), np.int32, sum(map(len, out)))
+        at = np.flatnonzero(ids == self.line)
+        if self.line < 0 or len(at) != len(spelled) or any(x[:2] != [self.lead, self.line] for x in out):
+            return self._own_apart(spelled)
+        keep = np.ones(len(ids), bool)
+        keep[at[::64] - 1] = False  # the space that the model puts before a text
+        keep[at[~whole]] = False
+        return ids[keep], np.add.reduceat(keep, at, dtype=np.int64)
+
+    def _own_apart(self, spelled: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same, word by word: spaces at a word's beginning are spaces to the model, the first of which it adds itself."""
         plain = [s[1:].replace(SPACE, " ") if s[0] == SPACE else s.replace(SPACE, " ") for s in spelled]
         out = self.sp.encode(plain, num_threads=1)
         for i, s in enumerate(spelled):
@@ -229,17 +266,15 @@ class Model:
                 out[i] = out[i][1:]
             elif not out[i]:
                 out[i] = [self.lead]
-        return out
+        counts = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(chain.from_iterable(out), np.int32, int(counts.sum())), counts
 
     def _lattices(self, words: list[str]) -> None:
         spelled = [self.spelled(w) for w in words]
-        for w in words:
-            self.table[w] = len(self.table)
-        own = self._own(spelled)
-        counts = np.fromiter(map(len, own), np.int64, len(own))
+        own, counts = self._own(spelled)
         self.own_at.add(self.own.n + np.cumsum(counts) - counts)
         self.own_n.add(counts)
-        self.own.add(np.fromiter(chain.from_iterable(own), np.int32, int(counts.sum())))
+        self.own.add(own)
         n = np.fromiter(map(len, spelled), np.int64, len(spelled))
         x = np.frombuffer("".join(spelled).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         total, left = len(x), np.repeat(np.cumsum(n), n) - np.arange(len(x))  # characters to the word's end
@@ -253,12 +288,19 @@ class Model:
         single = np.zeros(total, bool)
         every = np.arange(total)
         for k in range(1, most + 1):
-            every = i = every[left[every] >= k]
+            i = every
             code = (h[i + k] - h[i]) * b[i]
-            hit = self.maybe[self._leading(code)]
-            i, code = i[hit], code[hit]
-            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            lead = self._leading(code)
+            kind = self.kind[lead]
+            every = i[(kind & 2 > 0) & (left[i] > k)]  # others begin no longer piece
+            hit = np.flatnonzero(kind & 1)
+            i, code, lead = i[hit], code[hit], lead[hit]
+            at = self.slot[lead]
             sure = self.codes[at] == code
+            apart = np.flatnonzero(~sure & (kind[hit] & 4 > 0))
+            if len(apart):
+                at[apart] = np.minimum(np.searchsorted(self.codes, code[apart]), len(self.codes) - 1)
+                sure[apart] = self.codes[at[apart]] == code[apart]
             i, at = i[sure], at[sure]
             node.append(i)
             size.append(np.full(len(i), k, np.int16))
@@ -270,16 +312,23 @@ class Model:
         size.append(np.ones(len(odd), np.int16))
         c = x[odd].astype(np.int32)
         piece.append(np.where(c < 0x80, self.bytes[np.minimum(c, 0x7F)], _BYTE + c))
-        # longer pieces are likelier and come first
-        node, size, piece = np.concatenate(node[::-1]), np.concatenate(size[::-1]), np.concatenate(piece[::-1])
-        order = np.argsort(node, kind="stable")
-        node, size, piece = node[order], size[order], piece[order]
+        # a node's edges side by side: longer pieces are likelier and come first
+        edges = np.zeros(total, np.int64)
+        for i in node:
+            edges[i] += 1
+        first = np.concatenate([np.zeros(1, np.int64), np.cumsum(edges)])
+        free, sizes, parts = first[:-1].copy(), size[::-1], piece[::-1]
+        size, piece = np.empty(int(first[-1]), np.int16), np.empty(int(first[-1]), np.int32)
+        for i, k, x_ in zip(node[::-1], sizes, parts, strict=True):
+            to = free[i]
+            size[to], piece[to] = k, x_
+            free[i] = to + 1
+        node = np.repeat(np.arange(total), edges)
         score = self.weight[np.minimum(piece, self.size - 1)]
         big = np.flatnonzero(piece >= _BYTE)
         if len(big):
             c = piece[big] - _BYTE
             score[big] = self.weight[self.bytes[0]] * (2 + (c >= 0x800) + (c >= 0x10000))
-        first = np.searchsorted(node, np.arange(total + 1))
         # probabilities from the words' ends: all places with the same distance to the end at once
         beta = np.zeros(total + 1)
         by_left = np.argsort(left, kind="stable")
