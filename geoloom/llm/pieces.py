@@ -47,6 +47,8 @@ from .common import slices, small_batches
 #: Where the model lies on every executor; each function takes another path, or the name of a file shipped with ``spark.files``.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES, THETA = 2, 1.0
+#: Words that a worker's table holds, about a kilobyte each: more where the operator has its executors to itself, fewer after a pipeline's other stages.
+WORDS, WORDS_STAGE = 300_000, 100_000
 SPACE = "▁"
 _MULT = 0x9E3779B97F4A7C15
 _INV = pow(_MULT, -1, 1 << 64)
@@ -113,7 +115,7 @@ class Numbers(dict):
 class Model:
     """A SentencePiece model with the lattices of the words met so far."""
 
-    def __init__(self, path: str = MODEL, theta: float = THETA, most_words: int = 300_000) -> None:
+    def __init__(self, path: str = MODEL, theta: float = THETA, most_words: int = WORDS) -> None:
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -508,14 +510,14 @@ def decode(model: Model, ids: list[list[int]]) -> list[str]:
     return model.sp.decode(ids, num_threads=1)
 
 
-_models: dict[tuple[str, float], Model] = {}
+_models: dict[tuple[str, float, int], Model] = {}
 
 
-def model_of(path: str = MODEL, theta: float = THETA) -> Model:
+def model_of(path: str = MODEL, theta: float = THETA, words: int = WORDS) -> Model:
     """One model for each worker process."""
-    if (path, theta) not in _models:
-        _models[path, theta] = Model(path if os.path.isabs(path) else SparkFiles.get(path), theta)
-    return _models[path, theta]
+    if (path, theta, words) not in _models:
+        _models[path, theta, words] = Model(path if os.path.isabs(path) else SparkFiles.get(path), theta, words)
+    return _models[path, theta, words]
 
 
 def _digest(ids: np.ndarray) -> str:
@@ -525,9 +527,9 @@ def _digest(ids: np.ndarray) -> str:
 SAMPLE = "n_pieces: bigint, ids_sha256: string, log_prob: double, perturbed: double, inclusion: double"
 
 
-def _runs(batch: pa.RecordBatch, key: str, text: str, path: str, samples: int, theta: float, most: int = 1 << 18):
+def _runs(batch: pa.RecordBatch, key: str, text: str, path: str, samples: int, theta: float, most: int = 1 << 18, words: int = WORDS):
     """Texts of a batch in runs of bounded size, with their pieces and samples."""
-    model = model_of(path, theta)
+    model = model_of(path, theta, words)
     texts = [x or "" for x in batch.column(text).to_pylist()]
     keys = ["" if k is None else str(k) for k in batch.column(key).to_pylist()]
     for a, b in slices(texts, most):
@@ -551,7 +553,7 @@ def _kept_schema(docs: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
 
-def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = MODEL, samples: int = SAMPLES, theta: float = THETA) -> DataFrame:
+def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = MODEL, samples: int = SAMPLES, theta: float = THETA, words: int = WORDS_STAGE) -> DataFrame:
     """``docs`` with ``pieces`` (ids), ``lossless`` and ``sampled`` (ids, log_prob, perturbed, inclusion), in place of columns of those names."""
     small_batches(docs.sparkSession, 256)
     docs = docs.drop("pieces", "lossless", "sampled")
@@ -559,13 +561,13 @@ def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pieces, lossless, drawn = [], [], []
-            for model, texts, made in _runs(batch, key, text, path, samples, theta):
+            for model, texts, made in _runs(batch, key, text, path, samples, theta, words=words):
                 pieces += [own for own, _ in made]
                 lossless += [x == y for x, y in zip(decode(model, [own.tolist() for own, _ in made]), texts, strict=True)]
                 drawn += [more for _, more in made]
             made = [_lists(pieces), pa.array(lossless, pa.bool_()), _drawn(drawn, {"ids": _lists([x[0] for more in drawn for x in more])})]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "pieces", "lossless", "sampled"])
-        model_of(path, theta)._reset()
+        model_of(path, theta, words)._reset()
 
     more = "pieces array<int>, lossless boolean, sampled array<struct<ids: array<int>, log_prob: double, perturbed: double, inclusion: double>>"
     return docs.mapInArrow(run, f"{_kept_schema(docs)}, {more}")
