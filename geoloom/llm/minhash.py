@@ -38,8 +38,8 @@ BANDS, ROWS = 40, 7
 BLOCK_CHARS, BLOCK_TEXTS = 1 << 24, 1 << 12
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _RANDOM = np.random.Generator(np.random.PCG64(13))
-_TIMES = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+_TIMES = (_RANDOM.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+_PLUS = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)[:, None]
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -59,15 +59,20 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
 
 
 def band_keys(s: np.ndarray) -> np.ndarray:
-    """One key for each band, of the least values of the shingles under its ``ROWS`` hash functions."""
-    low = np.full(BANDS * ROWS, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    """One key for each band, of the least values of the shingles under its ``ROWS`` hash functions.
+
+    The functions work on 32 bits, which processors multiply many at a time; chance agreement of values is for the exact test.
+    """
+    low = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    s = s.astype(np.uint32)
     for i in range(0, len(s), 512):
-        x = s[None, i : i + 512] * _TIMES[:, None] + _PLUS[:, None]
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0x9E3779B97F4A7C15)  # the upper half decides
+        x = s[None, i : i + 512] * _TIMES
+        x += _PLUS
+        x ^= x >> np.uint32(15)
+        x *= np.uint32(0x85EBCA6B)  # the upper half decides
         low = np.minimum(low, x.min(axis=1))
     key = np.arange(BANDS, dtype=np.uint64)
-    for column in low.reshape(BANDS, ROWS).T:
+    for column in low.astype(np.uint64).reshape(BANDS, ROWS).T:
         key = (key * np.uint64(0x9FB21C651E98DF25)) ^ column
         key ^= key >> np.uint64(29)
         key *= np.uint64(0xBF58476D1CE4E5B9)

@@ -11,11 +11,13 @@ compared bit-sliced: its fingerprints are stored as 64 bit planes, lanes of 64
 fingerprints to a word; differing planes are added into carry-save counters, and
 words all of whose lanes are beyond the radius are abandoned.
 
-A bucket gives a spanning forest of its links, not its pairs: what a fingerprint
-has reached needs no further comparison, so a bucket of near copies costs about
-its size, and one copy of a text stands for all of them (fingerprints are
-distinct).  A bucket larger than ``block`` is compared block against block, each
-pair of blocks a group of its own, so no task holds an unbounded bucket.
+A bucket gives about a spanning forest of its links, not its pairs, and one copy
+of a text stands for all of them (fingerprints are distinct).  Many buckets of up
+to ``MEDIUM`` fingerprints are compared by one call; in a larger one many
+fingerprints meet all others at once, and those that are one component already
+needn't meet each other, so a bucket of near copies costs about its size.  A
+bucket larger than ``block`` is compared block against block, each pair of blocks
+a group of its own, so no task holds an unbounded bucket.
 
 Defined results: null and empty texts have fingerprint zero and link like any
 other; a null doc_id is never a component's id unless it has no other; repeated
@@ -148,72 +150,101 @@ def lanes(packed: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(packed.view(np.uint8), bitorder="little", count=n))
 
 
-def forest(fp: np.ndarray, radius: int = RADIUS) -> tuple[list[int], list[int]]:
-    """Edges (places) that connect what links: each fingerprint is compared only with lanes not yet reached."""
-    left, right, queue = [], [], []
-    at, p = np.arange(len(fp)), planes(fp)
-    alive = np.packbits(np.arange(p.shape[1] * 64) < len(fp), bitorder="little").view(np.uint64)
-    rest, cursor = len(fp), 0
-    bit = np.arange(64, dtype=np.uint64)
-    while rest:
-        if queue:
-            q = queue.pop()
-        else:
-            while not (alive[cursor >> 6] >> np.uint64(cursor & 63)) & np.uint64(1):
-                cursor += 1
-            q = int(at[cursor])
-            alive[cursor >> 6] &= ~(np.uint64(1) << np.uint64(cursor & 63))
-            rest -= 1
-        flip = np.where((fp[q] >> bit) & np.uint64(1), _FULL, np.uint64(0))
-        hit = within(p, flip, radius) & alive
-        if hit.any():
-            alive = alive & ~hit
-            found = at[lanes(hit, len(at))].tolist()
-            rest -= len(found)
-            left += [q] * len(found)
-            right += found
-            queue += found
-        if 2 * rest < len(at) and len(at) > 256:
-            at = at[lanes(alive, len(at))]
-            p, cursor = planes(fp[at]), 0
-            alive = np.packbits(np.arange(p.shape[1] * 64) < len(at), bitorder="little").view(np.uint64)
-    return left, right
-
-
-def pairs_within(a: np.ndarray, b: np.ndarray, radius: int = RADIUS) -> np.ndarray:
-    """For each place, whether a and b link; the lanes are the pairs."""
-    out = np.zeros(len(a), bool)
-    for i in range(0, len(a), 1 << 18):
-        out[i + lanes(within(planes(a[i : i + (1 << 18)] ^ b[i : i + (1 << 18)]), None, radius), len(a[i : i + (1 << 18)]))] = True
-    return out
+def _flips(fp: np.ndarray) -> np.ndarray:
+    """64 rows of words: all bits of a word are those of its fingerprint's bit."""
+    return np.uint64(0) - ((fp[None, :] >> np.arange(64, dtype=np.uint64)[:, None]) & np.uint64(1))
+
 
+#: Words of lanes that are compared by one call, so that its cost is the words' own.
+WORDS_AT_ONCE = 1 << 12
 
-SMALL = 24
+
+def forest(fp: np.ndarray, radius: int = RADIUS) -> tuple[list[int], list[int]]:
+    """Edges (places) that connect what links: many fingerprints at once meet the lanes left, until these are one component."""
+    left, right, n = [], [], len(fp)
+    tree, rest = np.arange(n), np.arange(n)  # the tree of each, and who hasn't met all others yet
+    at, p, together = rest, planes(fp), 4  # few at first: they find out what is one large tree
+    while True:
+        trees = tree[rest]
+        if len(rest) < 2 or (trees == trees[0]).all():
+            return left, right
+        # members of the largest tree come last: they needn't meet each other
+        most = np.bincount(trees).argmax()
+        turn = np.concatenate([np.flatnonzero(trees != most), np.flatnonzero(trees == most)])[: max(1, min(together, WORDS_AT_ONCE // p.shape[1]))]
+        own, together = rest[turn], 8 * together
+        met = (p[:, None, :] ^ _flips(fp[own])[:, :, None]).reshape(64, -1)
+        hit = within(met, None, radius).view(np.uint8).reshape(len(own), -1)
+        row, lane = np.nonzero(np.unpackbits(hit, axis=1, bitorder="little", count=len(at)))
+        apart = tree[own[row]] != tree[at[lane]]
+        row, lane = row[apart], at[lane[apart]]
+        for r in np.unique(row).tolist():
+            q, found = own[r], lane[np.searchsorted(row, r) : np.searchsorted(row, r, "right")]
+            found = found[tree[found] != tree[q]]
+            if len(found):
+                joined, first = np.unique(tree[found], return_index=True)
+                left += [int(q)] * len(first)
+                right += found[first].tolist()
+                named = np.zeros(n, bool)
+                named[joined] = True
+                tree[named[tree]] = tree[q]
+        rest = np.delete(rest, turn)
+        if 2 * len(rest) < len(at) and len(at) > 256:
+            at, p = rest, planes(fp[rest])
+
+
+#: Buckets up to this size are compared together, larger ones one by one.
+MEDIUM = 1 << 8
+
+
+def _spans(end: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (places) of each place with the next ones before its ``end``, less those that others make needless.
+
+    All fingerprints lie in the lanes of one row of words; a place meets the words from it to its end.
+    """
+    left, right, p = [np.empty(0, np.int64)], [np.empty(0, np.int64)], planes(fp)
+    place = np.flatnonzero(np.arange(1, len(fp) + 1) < end)
+    begin, last = (place + 1) >> 6, (end[place] - 1) >> 6
+    upto = np.cumsum(last - begin + 1)
+    cut = 0
+    while cut < len(place):
+        done = int(upto[cut - 1]) if cut else 0
+        to = max(cut + 1, int(np.searchsorted(upto, done + WORDS_AT_ONCE, "right")))
+        n = last[cut:to] - begin[cut:to] + 1
+        q = np.repeat(place[cut:to], n)
+        word = np.arange(len(q)) - np.repeat(upto[cut:to] - n - done, n) + np.repeat(begin[cut:to], n)
+        hit = within(p[:, word] ^ _flips(fp[q]), None, radius)
+        after, upper = q + 1, end[q] - 1  # lanes from the next one to the bucket's last
+        hit &= np.where(word == after >> 6, _FULL << (after & 63).astype(np.uint64), _FULL)
+        hit &= np.where(word == upper >> 6, _FULL >> (63 - (upper & 63)).astype(np.uint64), _FULL)
+        some = np.flatnonzero(hit)
+        if len(some):
+            row, lane = np.nonzero(np.unpackbits(hit[some].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+            a, b = q[some[row]], (word[some[row]] << 6) + lane
+            # the first that links to b stands for it; every other one needs one link to that first one's
+            _, first, of = np.unique(b, return_index=True, return_inverse=True)
+            _, other = np.unique(a[first][of] * len(fp) + a, return_index=True)
+            keep = np.union1d(first, other)
+            left.append(a[keep])
+            right.append(b[keep])
+        cut = to
+    return np.concatenate(left), np.concatenate(right)
 
 
 def bucket_edges(key: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Links within runs of equal keys (sorted).  Small runs are compared together, place against next places."""
+    """Links within runs of equal keys (sorted): about a spanning forest of each.  Runs up to ``MEDIUM`` are compared together."""
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(key)]]))
-    left, right = [], []
-    run_of = np.repeat(np.arange(len(starts)), sizes)
-    small = np.flatnonzero((sizes[run_of] > 1) & (sizes[run_of] <= SMALL))
-    if len(small):
-        k, f = run_of[small], fp[small]
-        for s in range(1, SMALL):
-            i = np.flatnonzero(k[s:] == k[:-s])
-            if not len(i):
-                break
-            ok = i[pairs_within(f[i], f[i + s], radius)]
-            left.append(f[ok])
-            right.append(f[ok + s])
-    for r in np.flatnonzero(sizes > SMALL):
+    of = np.repeat(sizes, sizes)
+    some = (of > 1) & (of <= MEDIUM)
+    own, length = fp[some], sizes[(sizes > 1) & (sizes <= MEDIUM)]
+    a, b = _spans(np.repeat(np.cumsum(length), length), own, radius)
+    left, right = [own[a]], [own[b]]
+    for r in np.flatnonzero(sizes > MEDIUM):
         own = fp[starts[r] : starts[r] + sizes[r]]
         a, b = forest(own, radius)
         left.append(own[a])
         right.append(own[b])
-    empty = np.empty(0, np.uint64)
-    return np.concatenate([empty, *left]), np.concatenate([empty, *right])
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _links(radius: int):
